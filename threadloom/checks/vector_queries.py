@@ -117,7 +117,7 @@ def vector_topk_pruned(t):
 
 
 @query("embed_and_store", """
-SELECT 'doc ' || doc_id AS thread_id, i, round((length(text) - length(replace(text, c, ''))) / CAST(length(text) AS DOUBLE), 4) AS v
+SELECT 'doc ' || doc_id AS thread_id, i, round(CAST(CAST((length(text) - length(replace(text, c, ''))) / CAST(length(text) AS DOUBLE) AS FLOAT) AS DOUBLE), 4) AS v
 FROM documents, (VALUES (0, 'a'), (1, 'e'), (2, 'o'), (3, ' ')) s(i, c)
 """)
 def embed_and_store(t):

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.checks.registry import Tables
-from threadloom.operators.messages import enrich_time, has_text
-from threadloom.schemas import RAW_MESSAGE
+from threadloom.operators.messages import enrich_time, flatten_messages, has_text
 
 EMOJIS = ["👍", "🔥", "😂", "❤", "🎉"]
 
@@ -19,16 +18,19 @@ def raw_events(t: Tables) -> DataFrame:
     """events as (chat_id, chat_name, raw_msg), texts partly empty, replies in any order."""
     e = F.col("event_id")
     reply = (
-        F.when(e % 7 == 0, F.lit(None))
+        F.when(e % 7 == 0, F.lit(None).cast("bigint"))
         .when(e % 13 == 0, e + 20)
         .otherwise(e - 20 * (1 + e % 3))
     )
-    def reaction(j: int):
-        emoji = F.get(F.array(*[F.lit(x) for x in EMOJIS]), ((e + j) % 5).cast("int"))
-        return F.create_map(
-            F.lit("emoji"), emoji, F.lit("count"), ((e * (j + 3)) % 17).cast("string"),
+    emojis = F.array(*[F.lit(x) for x in EMOJIS])
+    reactions = F.transform(
+        F.slice(F.array(F.lit(0), F.lit(1), F.lit(2)), F.lit(1), (e % 4).cast("int")),
+        lambda j: F.create_map(
+            F.lit("emoji"), F.get(emojis, ((e + j) % 5).cast("int")),
+            F.lit("count"), ((e * (j + 3)) % 17).cast("string"),
             F.lit("type"), F.lit("emoji"),
-        )
+        ),
+    )
     message = F.struct(
         e.alias("id"),
         F.when(F.col("event_type") == "signup", "service").otherwise("message").alias("type"),
@@ -41,13 +43,12 @@ def raw_events(t: Tables) -> DataFrame:
             F.concat_ws(" ", "event_type", F.col("value").cast("decimal(18,2)"), "props")
         ).alias("text"),
         reply.alias("reply_to_message_id"),
-        F.slice(F.array(reaction(0), reaction(1), reaction(2)), F.lit(1), (e % 4).cast("int"))
-        .alias("reactions"),
+        reactions.alias("reactions"),
     )
     return t("events").select(
         (e % 20).alias("chat_id"),
         F.concat(F.lit("Chat "), (e % 20).cast("string")).alias("chat_name"),
-        message.cast(RAW_MESSAGE).alias("raw_msg"),
+        message.alias("raw_msg"),
     )
 
 
@@ -105,8 +106,6 @@ CASE WHEN {ts} IS NULL THEN NULL ELSE
 
 def event_messages(t: Tables) -> DataFrame:
     """raw_events as flat, time-enriched messages with text."""
-    from threadloom.operators.messages import flatten_messages
-
     bronze = raw_events(t).filter(has_text(F.col("raw_msg.text")))
     return enrich_time(flatten_messages(bronze))
 

@@ -13,13 +13,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from threadloom.lineage import cut
+from threadloom.lineage import cut, fresh_path
 from threadloom.operators.messages import dedupe, require_columns
 from threadloom.operators.skew import HOT_ROWS, frequent_keys, lookup, salts_for
 
 # Parent ids that mean "no parent".
 NO_PARENT = (0, -1)
 
+# Pointers written by one round: those still open, and those settled in it.
+STATE = "chat_id bigint, message_id bigint, ptr bigint, done boolean, round int"
+
 
 def parent_id(reply_to: Column) -> Column:
     """Parent message id, NULL where the message starts a thread."""
@@ -99,41 +102,46 @@ def resolve_targets(
         )
 
     waiting = ~F.col("done")
-    metrics = [
-        F.count_if(waiting).alias("open"),
-        frequent_keys(["chat_id", "ptr"], where=waiting).alias("hot"),
-    ]
-    seen = Observation()
-    latest = cut(state, "thread-state", seen, *metrics)
-    done = latest.filter("done")
-    open_rows, before = seen.get["open"], -1
-    parent_salts = salts_for(scan.get["hot"], hot_rows)
-    rounds = 0
+    folder = fresh_path(messages.sparkSession, "thread-state")
+
+    def write(rows: DataFrame, number: int) -> dict:
+        seen = Observation()
+        rows.observe(
+            seen,
+            F.count_if(waiting).alias("open"),
+            frequent_keys(["chat_id", "ptr"], where=waiting).alias("hot"),
+        ).write.parquet(f"{folder}/round={number}")
+        return seen.get
+
+    def written() -> DataFrame:
+        return messages.sparkSession.read.schema(STATE).parquet(folder)
+
+    seen, before, rounds = write(state, 0), -1, 0
     # Every round settles or drops at least one message that can be settled, so an
     # unchanged count means that only cycles are left.
-    while open_rows and open_rows != before:
-        undone = latest.filter(waiting)
-        targets = done.unionByName(undone).select(
+    while seen["open"] and seen["open"] != before:
+        # Rows settled in any round, and the latest pointers of the others.
+        latest = F.col("round") == rounds
+        undone = written().filter(latest & waiting).select("chat_id", "message_id", "ptr")
+        targets = written().filter(latest | F.col("done")).select(
             "chat_id",
             F.col("message_id").alias("ptr"),
             F.col("ptr").alias("next_ptr"),
             F.col("done").alias("next_done"),
         )
-        step = lookup(
-            undone.drop("done"),
-            targets,
-            ["chat_id", "ptr"],
-            salts_for(seen.get["hot"], hot_rows),
-            spread_by=["message_id"],
-        ).select(
-            "chat_id", "message_id", F.col("next_ptr").alias("ptr"), F.col("next_done").alias("done")
-        )
-        seen = Observation()
-        latest = cut(step, "thread-state", seen, *metrics)
-        done = done.unionByName(latest.filter("done"))
-        open_rows, before = seen.get["open"], open_rows
+        salts = salts_for(seen["hot"], hot_rows)
+        step = lookup(undone, targets, ["chat_id", "ptr"], salts, spread_by=["message_id"])
         rounds += 1
-    roots = done.select("chat_id", "message_id", F.col("ptr").alias("root_id"))
+        before = seen["open"]
+        seen = write(
+            step.select(
+                "chat_id", "message_id",
+                F.col("next_ptr").alias("ptr"), F.col("next_done").alias("done"),
+            ),
+            rounds,
+        )
+    roots = written().filter("done").select("chat_id", "message_id", F.col("ptr").alias("root_id"))
+    parent_salts = salts_for(scan.get["hot"], hot_rows)
     return ReplyTargets(roots, parent_salts, rounds)
 
 
