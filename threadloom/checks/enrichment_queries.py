@@ -5,22 +5,20 @@ import hashlib
 from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
-from threadloom.checks.thread_queries import CONVERSATION_THREADS_SQL
+from threadloom.checks.thread_queries import CONVERSATION_THREADS_SQL, conversation_threads
 from threadloom.checks.views import (
     LEXICON,
     ROUTED_SQL,
     TRIPLETS_SQL,
-    conversation_messages,
     document_summaries,
     line_triplets,
 )
 from threadloom.functions.text import extract_tag
+from threadloom.lineage import cut
 from threadloom.operators import graph as G
 from threadloom.operators import routing, taxonomy, triplets
 from threadloom.operators.models import map_model
 from threadloom.operators.speakers import tag_speakers
-from threadloom.operators.threads import assign_threads
-from threadloom.operators.transcripts import gold_threads
 from threadloom.plans.enrichment import run_enrichment
 
 
@@ -59,6 +57,11 @@ def routed_documents(t):
     return routing.route_by_lexicon(document_summaries(t), LEXICON)
 
 
+def anchored_documents(t):
+    """Routed once and stored, as the enrichment does."""
+    return cut(routed_documents(t), "anchored")
+
+
 @query("route_by_lexicon", f"WITH {ROUTED_SQL} SELECT thread_id, root FROM routed")
 def route_by_lexicon(t):
     return routed_documents(t).select("thread_id", "root")
@@ -101,7 +104,7 @@ SELECT root_id, batch_no, count(*) AS summaries,
 FROM batched GROUP BY ALL
 """)
 def summaries_by_root(t):
-    return routing.group_by_root(routed_documents(t), batch=200).select(
+    return routing.group_by_root(anchored_documents(t), batch=200).select(
         "root_id", "batch_no", F.size("summaries").cast("bigint").alias("summaries"),
         F.md5(F.array_join("summaries", "\n")).alias("text_md5"),
     )
@@ -143,7 +146,7 @@ FROM (SELECT DISTINCT p_brand AS root_id FROM part UNION ALL SELECT 'No brand')
 """)
 def current_tree(t):
     _, tree = _trees(t)
-    none = t("part").limit(1).select(F.lit("No brand").alias("root_id"))
+    none = t.spark.createDataFrame([("No brand",)], "root_id string")
     roots = t("part").select(F.col("p_brand").alias("root_id")).distinct().unionByName(none)
     domain = F.transform(
         "current_tree",
@@ -178,9 +181,9 @@ def induce_taxonomy(t):
         ),
         LEXICON,
     ).select("thread_id", F.col("short").alias("summary"), "root")
-    before = t("documents").limit(1).select(
-        F.explode(F.array(F.lit("ROOT A"), F.lit("ROOT X"))).alias("root_id"),
-        F.lit("kept").alias("domain"), F.lit("as it was").alias("topic"),
+    before = t.spark.createDataFrame(
+        [("ROOT A", "kept", "as it was"), ("ROOT X", "kept", "as it was")],
+        "root_id string, domain string, topic string",
     )
     tree, _ = taxonomy.induce_taxonomy(anchored, before, induce, batch=200)
     return tree
@@ -325,7 +328,7 @@ def _enriched(t):
             "cross_domain_relationships": [f"[{name}] -> (has lines) -> [Lines]: {messages}"],
         })
 
-    threads = gold_threads(assign_threads(conversation_messages(t)))
+    threads = conversation_threads(t)
     return run_enrichment(threads, summarise, F.col("message_count") > 2, lexicon=[("ROOT B", "msgs")])
 
 

@@ -3,14 +3,12 @@
 from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
-from threadloom.checks.thread_queries import CONVERSATION_THREADS_SQL
-from threadloom.checks.views import MESSAGES_SQL, conversation_messages, event_messages
+from threadloom.checks.thread_queries import CONVERSATION_THREADS_SQL, conversation_threads
+from threadloom.checks.views import MESSAGES_SQL, event_messages
 from threadloom.functions.text import contains_any
 from threadloom.lineage import fresh_path
 from threadloom.operators import retrieval as Q
 from threadloom.operators.messages import distinct_users
-from threadloom.operators.threads import assign_threads
-from threadloom.operators.transcripts import gold_threads
 from threadloom.sources.exports import read_users_csv
 from threadloom.sources.layers import (
     append_layer,
@@ -65,7 +63,7 @@ SELECT n AS larger_than, (SELECT count(*) FROM thread WHERE message_count > n) A
 FROM (VALUES (2), (4), (6)) s(n)
 """)
 def thread_size_counts(t):
-    threads = gold_threads(assign_threads(conversation_messages(t)))
+    threads = conversation_threads(t)
     return threads.agg(
         *[F.count_if(F.col("message_count") > n).alias(str(n)) for n in (2, 4, 6)]
     ).unpivot([], ["2", "4", "6"], "larger_than", "threads").select(
@@ -90,7 +88,7 @@ def load_threads(t):
     where = (F.col("message_count") > 3) & contains_any(
         F.col("transcript"), ["there", "eaux", "ción"]
     )
-    rows = Q.load_threads(gold_threads(assign_threads(conversation_messages(t))), where)
+    rows = Q.load_threads(conversation_threads(t), where)
     return rows.select("thread_id", F.md5("transcript").alias("transcript_md5"))
 
 

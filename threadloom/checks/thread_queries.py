@@ -23,7 +23,8 @@ from threadloom.streaming.stitcher import stream_threads, thread_index
 
 
 def attached_events(t):
-    return assign_threads(event_messages(t))
+    """Messages stored once, as the messages layer is, with their threads."""
+    return assign_threads(cut(event_messages(t), "messages"))
 
 
 @query("thread_assignment", f"""
@@ -94,7 +95,7 @@ FROM per GROUP BY ALL
 def reaction_summary(t):
     rows = R.reaction_summary(X.typed(attached_events(t)))
     entries = F.transform(
-        F.array_sort(F.map_entries("emoji_counts")),
+        F.sort_array(F.map_entries("emoji_counts")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
     )
     return rows.select(
@@ -161,7 +162,7 @@ FROM p GROUP BY ALL
 """)
 def nested_participants(t):
     names = F.transform(
-        F.array_sort(F.map_entries("participant_names")),
+        F.sort_array(F.map_entries("participant_names")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"]),
     )
     return R.nested_participants(attached_events(t)).select(
@@ -208,9 +209,13 @@ CONVERSATION_THREADS_SQL = CONVERSATIONS_SQL + """
 """
 
 
+def conversation_threads(t):
+    return X.gold_threads(assign_threads(cut(conversation_messages(t), "messages")))
+
+
 @query("conversation_transcripts", f"WITH RECURSIVE {CONVERSATION_THREADS_SQL} {BASIC_SQL}")
 def conversation_transcripts(t):
-    return X.gold_threads(assign_threads(conversation_messages(t))).select(
+    return conversation_threads(t).select(
         "thread_id", "message_count", "participant_count", "transcript"
     )
 

@@ -24,7 +24,7 @@ def centroids(t):
     parts = t("embeddings").select("label", F.posexplode("embedding").alias("i", "v"))
     means = parts.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
     return means.groupBy("label").agg(
-        F.array_sort(F.collect_list(F.struct("i", "m"))).alias("_m")
+        F.sort_array(F.collect_list(F.struct("i", "m"))).alias("_m")
     ).select(
         F.col("label").cast("bigint").alias("query_id"),
         F.transform("_m", lambda x: x["m"]).alias("embedding"),

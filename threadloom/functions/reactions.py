@@ -35,7 +35,7 @@ def top_reactions(reactions: Column, n: int = 2) -> Column:
         reactions,
         lambda r, i: F.struct((-r["count"]).alias("rank"), i.alias("pos"), r.alias("r")),
     )
-    return F.transform(F.slice(F.array_sort(ranked), 1, n), lambda x: x["r"])
+    return F.transform(F.slice(F.sort_array(ranked), 1, n), lambda x: x["r"])
 
 
 def reaction_suffix(reactions: Column) -> Column:

@@ -13,11 +13,18 @@ RELATION_UNSAFE = "[^a-zA-Z0-9_]"
 FENCES = ("```xml", "```")
 UNTAGGED_MIN_LENGTH = 50
 
+# Every character Unicode counts as white space, and the four separators \x1c-\x1f.
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
 
 def strip(text: Column) -> Column:
     """Trim all Unicode white space, not only blanks."""
-    # \x1c-\x1f count as white space too, beyond the regex class.
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def has_content(text: Column) -> Column:
+    """Whether anything is left after ``strip``; cheaper than comparing its result."""
+    return text.rlike(f"[^{WHITE_SPACE}]")
 
 
 def relation_name(predicate: Column) -> Column:

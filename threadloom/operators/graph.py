@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import relation_name, strip
+from threadloom.functions.text import has_content, relation_name, strip
 from threadloom.operators.messages import dedupe
 
 EDGE_KEY = ["subject", "predicate", "object"]
@@ -14,15 +14,14 @@ EDGE = [*EDGE_KEY, "thread_id", "topic", "context"]
 
 def clean_triplets(triplets: DataFrame) -> DataFrame:
     """Stripped fields, relation-style predicates; incomplete triplets are skipped."""
-    def field(name: str):
-        return F.coalesce(strip(F.col(name)), F.lit(""))
-
-    fields = triplets.select(
+    whole = has_content(F.col("subject")) & has_content(F.col("predicate")) & has_content(F.col("object"))
+    return triplets.filter(whole).select(
         "seq", "thread_id", "topic",
-        *[field(n).alias(n) for n in ["subject", "predicate", "object", "context"]],
+        strip(F.col("subject")).alias("subject"),
+        relation_name(strip(F.col("predicate"))).alias("predicate"),
+        strip(F.col("object")).alias("object"),
+        F.coalesce(strip(F.col("context")), F.lit("")).alias("context"),
     )
-    whole = (F.col("subject") != "") & (F.col("predicate") != "") & (F.col("object") != "")
-    return fields.filter(whole).withColumn("predicate", relation_name(F.col("predicate")))
 
 
 def edges(triplets: DataFrame) -> DataFrame:

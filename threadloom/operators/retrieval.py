@@ -77,7 +77,7 @@ def group_slice(
     rank = F.row_number().over(W.partitionBy(by).orderBy(*order))
     item = F.struct(F.col("_pos"), F.struct(*fields).alias("item"))
     grouped = kept.withColumn("_pos", rank).groupBy(by).agg(F.collect_list(item).alias("_items"))
-    return grouped.select(by, F.transform(F.array_sort("_items"), lambda x: x["item"]).alias("items"))
+    return grouped.select(by, F.transform(F.sort_array("_items"), lambda x: x["item"]).alias("items"))
 
 
 def unwind(df: DataFrame, column: str = "items") -> DataFrame:

@@ -91,8 +91,8 @@ def reaction_summary(attached: DataFrame) -> DataFrame:
         .select(
             *KEYS,
             "total_count",
-            F.array_sort(F.transform("_e", lambda e: e["emoji"])).alias("unique_emojis"),
-            F.map_from_entries(F.array_sort("_e")).alias("emoji_counts"),
+            F.sort_array(F.transform("_e", lambda e: e["emoji"])).alias("unique_emojis"),
+            F.map_from_entries(F.sort_array("_e")).alias("emoji_counts"),
         )
     )
 
@@ -137,7 +137,7 @@ def nested_participants(attached: DataFrame, limit: int = NEST_LIMIT) -> DataFra
         people.join(sizes, KEYS)
         .withColumn("part_no", part)
         .groupBy(*KEYS, "part_count", "part_no")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_p"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("_p"))
         .select(
             *KEYS,
             "part_no",

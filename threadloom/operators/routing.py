@@ -82,7 +82,7 @@ def group_by_root(anchored: DataFrame, batch: int = BATCH_SUMMARIES) -> DataFram
         anchored.join(sizes, "root")
         .withColumn("batch_no", batch_number("thread_id", F.col("batch_count")))
         .groupBy("root", "batch_no")
-        .agg(F.array_sort(F.collect_list(item)).alias("_items"))
+        .agg(F.sort_array(F.collect_list(item)).alias("_items"))
         .select(
             F.col("root").alias("root_id"),
             "batch_no",

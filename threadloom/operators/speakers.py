@@ -15,7 +15,7 @@ def tag_speakers(messages: DataFrame, ontology: DataFrame) -> DataFrame:
     regrouped. The planner broadcasts the ontology when its size allows.
     """
     roles = ontology.groupBy(F.col("speaker").alias("sender")).agg(
-        F.array_sort(F.collect_set("role")).alias("roles")
+        F.sort_array(F.collect_set("role")).alias("roles")
     )
     return messages.join(roles, "sender", "left").withColumn(
         "roles", F.coalesce("roles", F.array(F.lit(PARTICIPANT)))

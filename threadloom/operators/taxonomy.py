@@ -21,10 +21,10 @@ def merge_taxonomy(current: DataFrame, updated: DataFrame) -> DataFrame:
 def with_current_tree(batches: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Attach each root's tree as an array of (domain, topics), [] when it has none."""
     domains = taxonomy.groupBy("root_id", "domain").agg(
-        F.array_sort(F.collect_set("topic")).alias("topics")
+        F.sort_array(F.collect_set("topic")).alias("topics")
     )
     trees = domains.groupBy("root_id").agg(
-        F.array_sort(F.collect_list(F.struct("domain", "topics"))).alias("current_tree")
+        F.sort_array(F.collect_list(F.struct("domain", "topics"))).alias("current_tree")
     )
     empty = F.array().cast(TAXONOMY_UPDATE)
     return batches.join(trees, "root_id", "left").withColumn(

@@ -42,6 +42,21 @@ def identified(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("chat_id").isNotNull() & F.col("message_id").isNotNull())
 
 
+def unique_messages(messages: DataFrame) -> DataFrame:
+    """``dedupe_messages`` that moves only the rows of repeated ids.
+
+    A narrow count finds repeated ids; usually there are none and the messages
+    are returned as they are.
+    """
+    keys = ["chat_id", "message_id"]
+    counts = messages.groupBy(*keys).agg(F.count("*").alias("_n"))
+    repeated = cut(counts.filter(F.col("_n") > 1).select(*keys), "repeated-ids")
+    if repeated.isEmpty():
+        return messages
+    once = messages.join(repeated, keys, "left_anti")
+    return once.unionByName(dedupe_messages(messages.join(repeated, keys, "left_semi")))
+
+
 def parent_lookup(messages: DataFrame, columns: list[str]) -> DataFrame:
     """Each reply with its parent's ``columns`` (prefixed ``parent_``), same chat.
 
@@ -80,10 +95,8 @@ def resolve_targets(
     Messages on a cycle or under a missing parent get no root.
     """
     links = _links(identified(messages))
-    scan = Observation()
-    replies = links.filter(F.col("parent_id").isNotNull()).observe(
-        scan, frequent_keys(["chat_id", "parent_id"]).alias("hot")
-    )
+    replies = links.filter(F.col("parent_id").isNotNull())
+    hot_parents = replies.agg(frequent_keys(["chat_id", "parent_id"])).first()[0]  # no shuffle
     parents = replies.select("chat_id", F.col("parent_id").alias("message_id")).distinct()
 
     is_root = F.col("parent_id").isNull()
@@ -141,8 +154,7 @@ def resolve_targets(
             rounds,
         )
     roots = written().filter("done").select("chat_id", "message_id", F.col("ptr").alias("root_id"))
-    parent_salts = salts_for(scan.get["hot"], hot_rows)
-    return ReplyTargets(roots, parent_salts, rounds)
+    return ReplyTargets(roots, salts_for(hot_parents, hot_rows), rounds)
 
 
 def attach(messages: DataFrame, targets: ReplyTargets) -> DataFrame:
@@ -167,12 +179,12 @@ def assign_threads(
 ) -> DataFrame:
     """Messages with ``root_id`` and ``is_root``.
 
-    Pass ``unique_ids=True`` when (chat_id, message_id) is already unique, which
-    saves the deduplication and its table.
+    ``messages`` is read several times, so it should be a stored table. Pass
+    ``unique_ids=True`` when (chat_id, message_id) is known to be unique.
     """
     require_columns(messages, ["chat_id", "message_id", "reply_to_message_id"])
     if not unique_ids:
-        messages = cut(dedupe_messages(identified(messages)), "unique-messages")
+        messages = unique_messages(identified(messages))
     return attach(messages, resolve_targets(messages, hot_rows=hot_rows))
 
 

@@ -94,7 +94,7 @@ def _message() -> Column:
 
 def _collected(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key with its messages in time order, then message id."""
-    ordered = F.transform(F.array_sort("_xs"), lambda x: x["m"])
+    ordered = F.transform(F.sort_array("_xs"), lambda x: x["m"])
     return rows.groupBy(*keys).agg(F.collect_list(_message()).alias("_xs")).select(
         *keys, ordered.alias("messages")
     )
@@ -173,7 +173,7 @@ def with_sentiment(parts: DataFrame, attached: DataFrame) -> DataFrame:
     best = (
         top_emojis(typed(attached), 3)
         .groupBy(*KEYS)
-        .agg(F.array_sort(F.collect_list(F.struct("rank", shown.alias("s")))).alias("_t"))
+        .agg(F.sort_array(F.collect_list(F.struct("rank", shown.alias("s")))).alias("_t"))
         .select(
             "chat_id",
             F.col("root_id").alias("root_message_id"),

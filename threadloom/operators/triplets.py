@@ -13,7 +13,9 @@ from threadloom.operators.routing import DEFAULT_TOPIC
 from threadloom.schemas import PACKET, TRIPLETS
 
 # Fixed value: the line format "[Subject] -> (predicate) -> [Object]: context".
-RELATION_LINE = r"(?s)^\s*\[(.+?)\]\s*->\s*\((.+?)\)\s*->\s*\[(.+?)\]\s*(?::\s*(.*))?$"
+RELATION_LINE = r"(?s)^\s*\[(.+?)\]\s*->\s*\((.+?)\)\s*->\s*\[(.+?)\]\s*(?::(.*))?$"
+FIELDS = ["subject", "predicate", "object", "context"]
+SEPARATOR = "\x1f"  # stands between the fields of a matched line
 
 
 def with_topic(anchored: DataFrame) -> DataFrame:
@@ -37,13 +39,13 @@ def extract_triplets(anchored: DataFrame, fn: Callable[[dict], list[dict]]):
 
 
 def relation_fields(line):
-    """Struct of the four parts of a relation line; '' where the line has another form."""
-    return F.struct(
-        *[
-            F.regexp_extract(line, RELATION_LINE, i + 1).alias(name)
-            for i, name in enumerate(["subject", "predicate", "object", "context"])
-        ]
-    )
+    """The four fields of a relation line as an array; one entry for any other line.
+
+    One replacement finds all fields, so the pattern runs once per line.
+    """
+    fields = SEPARATOR.join(f"${i}" for i in range(1, 5))
+    clean = F.replace(line, F.lit(SEPARATOR), F.lit(" "))
+    return F.split(F.regexp_replace(clean, RELATION_LINE, fields), SEPARATOR)
 
 
 def parse_relationships(anchored: DataFrame) -> DataFrame:
@@ -51,16 +53,13 @@ def parse_relationships(anchored: DataFrame) -> DataFrame:
 
     Lines of another form and summaries that are no packet give no triplets.
     """
-    packet = F.from_json("summary", PACKET)
-    lines = with_topic(anchored).select(
-        "thread_id",
-        "topic",
-        F.posexplode(packet["cross_domain_relationships"]).alias("pos", "line"),
+    lines = F.from_json("summary", PACKET)["cross_domain_relationships"]
+    parsed = with_topic(anchored).select(
+        "thread_id", "topic", F.posexplode(F.transform(lines, relation_fields)).alias("pos", "t")
     )
-    parsed = lines.withColumn("t", relation_fields(F.col("line")))
-    return parsed.filter(F.col("t.subject") != "").select(
+    return parsed.filter(F.size("t") == len(FIELDS)).select(
         "thread_id",
         "topic",
         "pos",
-        *[strip(F.col(f"t.{n}")).alias(n) for n in ["subject", "predicate", "object", "context"]],
+        *[strip(F.get("t", F.lit(i))).alias(n) for i, n in enumerate(FIELDS)],
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from threadloom.lineage import cut
 from threadloom.operators.models import failed, map_model, succeeded
 
 # Default k, candidates per k, default dimensions.
@@ -146,6 +147,7 @@ def _query_blocks(queries: DataFrame) -> Iterator[list]:
     rows = queries.select(F.col("query_id").cast("bigint"), "embedding", "l1_domain").filter(
         F.exists("embedding", lambda x: x != 0)
     )
+    rows = cut(rows, "query-vectors")
     n_blocks = rows.count() // QUERY_BLOCK + 1
     for b in range(n_blocks):
         block = rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
@@ -185,7 +187,8 @@ def vector_topk(
     top = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     if not keep:
         return top
-    return top.join(corpus.select(id_col, *keep), id_col)
+    # Written, so that the planner sees its size and leaves the corpus unshuffled.
+    return cut(top, "top-k").join(corpus.select(id_col, *keep), id_col)
 
 
 def pick_leaders(

@@ -18,4 +18,5 @@ def read_export(spark: SparkSession, path: str | list[str], multiline: bool = Tr
 
 
 def read_users_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(USERS).option("header", True).csv(path)
+    """User list as CSV with header, quotes doubled inside quoted fields."""
+    return spark.read.schema(USERS).option("header", True).option("escape", '"').csv(path)
