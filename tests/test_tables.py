@@ -44,7 +44,10 @@ def test_write_all_and_store(spark, tmp_path):
     assert L.write_store(None, "noop") == L.write_store(df.filter("false"), "noop") == 0
 
 
-def test_upsert(spark, tmp_path):
+@pytest.mark.parametrize("small", [10_000, 0])
+def test_upsert(spark, tmp_path, monkeypatch, small):
+    """By broadcast and by shuffle."""
+    monkeypatch.setattr(L, "BROADCAST_UPDATES", small)
     base = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 0)], "k int, v string, x int")
     updates = spark.createDataFrame(
         [(2, None, 1), (2, "new", 2), (3, "c", 1), (None, "m", 1)], "k int, v string, at int"

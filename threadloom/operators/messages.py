@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from threadloom.functions.times import epoch_seconds, parse_time, week_id
+from threadloom.lineage import cut
+from threadloom.operators.skew import broadcast_if_small
 
 CHAT_LIST_LITERALS = 1_000  # longer chat lists go through a join
 
@@ -30,7 +32,8 @@ def keep_chats(chats: DataFrame, names: list[str] | DataFrame | None = None) ->
     ``names`` may also be a one-column DataFrame of any size.
     """
     if isinstance(names, DataFrame):
-        wanted = names.toDF("name").distinct()
+        # Chat rows carry all their messages: move the names, not the chats.
+        wanted = broadcast_if_small(cut(names.toDF("name").distinct(), "chat-names"))
         return chats.join(wanted, chats["chat.name"] == wanted["name"], "left_semi")
     if not names:
         return chats

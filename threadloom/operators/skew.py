@@ -58,9 +58,13 @@ def lookup(
     return salted_rows.join(salted_unique, on + ["_salt"], how).drop("_salt")
 
 
+def holds_at_most(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast once counted to hold at most ``max_rows`` narrow rows.
 
     Beyond that it is returned unmarked and joins by shuffle.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if holds_at_most(df, max_rows) else df

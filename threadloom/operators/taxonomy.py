@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.lineage import cut
 from threadloom.operators.models import failed, map_model, succeeded
 from threadloom.operators.routing import BATCH_SUMMARIES, group_by_root
+from threadloom.operators.skew import broadcast_if_small
 from threadloom.schemas import TAXONOMY_UPDATE
 
+MAX_TREES = 1_000  # trees of more roots are joined by shuffle
+
 
 def merge_taxonomy(current: DataFrame, updated: DataFrame) -> DataFrame:
     """Roots in ``updated`` replace the same roots of ``current`` as a whole."""
@@ -26,6 +30,8 @@ def with_current_tree(batches: DataFrame, taxonomy: DataFrame) -> DataFrame:
     trees = domains.groupBy("root_id").agg(
         F.sort_array(F.collect_list(F.struct("domain", "topics"))).alias("current_tree")
     )
+    # Few roots, many batches per root: a shuffle join would gather a root's batches.
+    trees = broadcast_if_small(cut(trees, "current-trees"), MAX_TREES)
     empty = F.array().cast(TAXONOMY_UPDATE)
     return batches.join(trees, "root_id", "left").withColumn(
         "current_tree", F.coalesce("current_tree", empty)

@@ -57,18 +57,21 @@ def unique_messages(messages: DataFrame) -> DataFrame:
     return once.unionByName(dedupe_messages(messages.join(repeated, keys, "left_semi")))
 
 
-def parent_lookup(messages: DataFrame, columns: list[str]) -> DataFrame:
-    """Each reply with its parent's ``columns`` (prefixed ``parent_``), same chat.
-
-    Hot parents are left to the engine's runtime skew-join split.
-    """
-    replies = messages.withColumn("parent_id", parent_id(F.col("reply_to_message_id")))
+def parent_lookup(
+    messages: DataFrame, columns: list[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Each reply with its parent's ``columns`` (prefixed ``parent_``), same chat."""
+    replies = messages.withColumn("parent_id", parent_id(F.col("reply_to_message_id"))).filter(
+        F.col("parent_id").isNotNull()
+    )
     parents = messages.select(
         "chat_id",
         F.col("message_id").alias("parent_id"),
         *[F.col(c).alias(f"parent_{c}") for c in columns],
     )
-    return replies.filter(F.col("parent_id").isNotNull()).join(parents, ["chat_id", "parent_id"])
+    on = ["chat_id", "parent_id"]
+    hot = replies.agg(frequent_keys(on)).first()[0]
+    return lookup(replies, parents, on, salts_for(hot, hot_rows), spread_by=["message_id"])
 
 
 @dataclass

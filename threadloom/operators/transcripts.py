@@ -17,10 +17,8 @@ from threadloom.lineage import cut
 from threadloom.operators.messages import require_columns
 from threadloom.operators.rollups import (
     KEYS,
-    is_thread,
-    reaction_counts,
+    MIN_MESSAGES,
     rollup_threads,
-    thread_totals,
     top_emojis,
 )
 from threadloom.operators.threads import thread_id
@@ -93,19 +91,20 @@ def _message() -> Column:
 
 
 def _collected(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key with its messages in time order, then message id."""
-    ordered = F.transform(F.sort_array("_xs"), lambda x: x["m"])
-    return rows.groupBy(*keys).agg(F.collect_list(_message()).alias("_xs")).select(
-        *keys, ordered.alias("messages")
-    )
+    """One row per key with its messages, not yet ordered, as ``_xs``."""
+    return rows.groupBy(*keys).agg(F.collect_list(_message()).alias("_xs"))
+
+
+def _in_order() -> Column:
+    """Collected messages by time, then message id."""
+    return F.transform(F.sort_array("_xs"), lambda x: x["m"]).alias("messages")
 
 
 def _whole(rows: DataFrame) -> DataFrame:
     """Gold rows for threads that fit one row: a single aggregation, no join."""
-    got = _collected(rows, KEYS).filter(
-        (F.size("messages") >= 2)
-        & ~F.exists("messages", lambda m: m["date_unixtime"].isNull())
-    )
+    dated = ~F.exists("_xs", lambda x: x["date_unixtime"].isNull())
+    kept = _collected(rows, KEYS).filter((F.size("_xs") >= MIN_MESSAGES) & dated)
+    got = kept.select(*KEYS, _in_order())
     root = F.get(F.filter("messages", lambda m: m["message_id"] == F.col("root_id")), F.lit(0))
     authors = F.filter(F.transform("messages", lambda m: m["from_id"]), lambda a: a != "")
     return got.withColumn("_root", root).select(
@@ -133,16 +132,17 @@ def _in_parts(rows: DataFrame, part_chars: int) -> DataFrame:
     cuts = slices.withColumn(
         "_cut", F.floor((F.sum("_weight").over(in_slice) - 1) / part_chars).cast("bigint")
     )
-    parts = _collected(cuts, [*KEYS, "_slice", "_cut"])
+    part_keys = [*KEYS, "_slice", "_cut"]
+    parts = _collected(cuts, part_keys).select(*part_keys, _in_order())
     order = W.partitionBy(*KEYS).orderBy("_slice", "_cut")
     numbers = (
-        cuts.select(*KEYS, "_slice", "_cut").distinct()
+        cuts.select(*part_keys).distinct()
         .withColumn("part_no", F.row_number().over(order) - 1)
         .withColumn("part_count", F.count("*").over(W.partitionBy(*KEYS)).cast("int"))
     )
     meta = rollup_threads(rows).withColumnRenamed("root_message_id", "root_id")
     return (
-        parts.join(numbers, [*KEYS, "_slice", "_cut"])
+        parts.join(numbers, part_keys)
         .join(meta, KEYS)
         .withColumnRenamed("root_id", "root_message_id")
         .drop("_slice", "_cut")

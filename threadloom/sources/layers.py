@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from threadloom.lineage import cut
 from threadloom.operators.messages import dedupe
+from threadloom.operators.skew import holds_at_most
+
+BROADCAST_UPDATES = 10_000  # rows; they may carry long texts and vectors
 
 
 def _path(base: str, name: str) -> str:
@@ -108,20 +111,31 @@ def upsert(
     """
     if order is not None:
         updates = dedupe(updates, keys, order)
-    new = updates.withColumn("_updated", F.lit(True)).alias("u")
-    old = base.alias("b")
-    on = [F.col(f"b.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
+    new = cut(updates.withColumn("_updated", F.lit(True)), "updates")
     updated = F.col("u._updated").isNotNull()
 
+    def same_key(left: str) -> list[Column]:
+        return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"u.{k}")) for k in keys]
+
     def merged(name: str) -> Column:
         if name not in updates.columns:
-            return F.col(f"b.{name}")
+            return F.col(f"b.{name}").alias(name)
         if name not in base.columns:
-            return F.col(f"u.{name}")
-        return F.when(updated, F.col(f"u.{name}")).otherwise(F.col(f"b.{name}"))
+            return F.col(f"u.{name}").alias(name)
+        return F.when(updated, F.col(f"u.{name}")).otherwise(F.col(f"b.{name}")).alias(name)
 
     names = base.columns + [c for c in updates.columns if c not in base.columns]
-    return old.join(new, on, "full_outer").select(*[merged(n).alias(n) for n in names])
+    columns = [merged(n) for n in names]
+    old, u = base.alias("b"), new.alias("u")
+    if not holds_at_most(new, BROADCAST_UPDATES):
+        return old.join(u, same_key("b"), "full_outer").select(*columns)
+    # Few updates: the base is scanned in place instead of being shuffled.
+    changed = old.join(F.broadcast(u), same_key("b"), "left").select(*columns)
+    known = cut(
+        base.select(*keys).alias("b").join(F.broadcast(u), same_key("b"), "left_semi"), "known-keys"
+    )
+    inserted = u.join(known.alias("k"), same_key("k"), "left_anti").drop("_updated")
+    return changed.unionByName(inserted, allowMissingColumns=True).select(*names)
 
 
 def upsert_layer(
