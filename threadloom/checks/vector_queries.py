@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
 from threadloom.checks.views import document_summaries
-from threadloom.lineage import cut, fresh_path
+from threadloom.lineage import fresh_path
 from threadloom.operators import vectors as V
-from threadloom.sources.layers import read_layer, upsert_layer
+from threadloom.sources.layers import read_layer, upsert_layer, write_layer
 
 CENTROIDS_SQL = """
 comp AS (SELECT label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS v FROM embeddings)
@@ -110,7 +110,9 @@ WHERE rank <= 10
 def vector_topk_pruned(t):
     e = t("embeddings").select("vec_id", "embedding")
     leaders = V.pick_leaders(e, LEADERS, "vec_id").collect()
-    clustered = cut(V.follow_leaders(e, leaders), "clusters")
+    base = fresh_path(t.spark, "clusters")
+    write_layer(V.follow_leaders(e, leaders), base, "corpus", partition_by=["leader_id"])
+    clustered = read_layer(t.spark, base, "corpus")
     return _shown(
         V.vector_topk_pruned(clustered, leaders, centroids(t), 10, id_col="vec_id", domain=None)
     )

@@ -137,9 +137,9 @@ def resolve_targets(
     # unchanged count means that only cycles are left.
     while seen["open"] and seen["open"] != before:
         # Rows settled in any round, and the latest pointers of the others.
-        latest = F.col("round") == rounds
-        undone = written().filter(latest & waiting).select("chat_id", "message_id", "ptr")
-        targets = written().filter(latest | F.col("done")).select(
+        so_far, latest = written(), F.col("round") == rounds
+        undone = so_far.filter(latest & waiting).select("chat_id", "message_id", "ptr")
+        targets = so_far.filter(latest | F.col("done")).select(
             "chat_id",
             F.col("message_id").alias("ptr"),
             F.col("ptr").alias("next_ptr"),

@@ -48,15 +48,15 @@ def _unit(vectors: list) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _block(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+def _block(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as a matrix with unit rows, and which rows have a direction.
 
-
-def _usable(corpus: DataFrame, vector: str, width: int) -> DataFrame:
-    """Rows whose vector has the right width, no gaps and a direction."""
-    v = F.col(vector)
-    ok = (F.size(v) == width) & ~F.exists(v, lambda x: x.isNull()) & F.exists(v, lambda x: x != 0)
-    return corpus.filter(ok)
+    Vectors of zero length or with missing entries have none.
+    """
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    norms = np.linalg.norm(rows, axis=1)
+    good = np.isfinite(norms) & (norms > 0)
+    return rows[good] / norms[good, None], good
 
 
 def _first_k(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,9 +101,10 @@ def _score_block(
             id_type = batch.column(id_col).type
             for start in range(0, batch.num_rows, SCORE_ROWS):
                 part = batch.slice(start, SCORE_ROWS)
+                rows, good = _block(part.column(vector), width)
+                part = part.filter(pa.array(good))
                 ids = np.asarray(part.column(id_col).to_pylist())
-                rows = _block(part.column(vector), width)
-                sims = (rows @ q["units"]) / np.linalg.norm(rows, axis=1, keepdims=True)
+                sims = rows @ q["units"]
                 domains = np.asarray(part.column(domain).to_pylist()) if domain else None
                 leaders = (
                     part.column("leader_id").to_numpy(zero_copy_only=False)
@@ -131,7 +132,7 @@ def _score_block(
                 names=["query_id", id_col, "score"],
             )
 
-    scanned = _usable(corpus, vector, width)
+    scanned = corpus.filter(F.size(vector) == width)
     wanted = {q["l1_domain"] for q in block}
     if domain and None not in wanted:
         scanned = scanned.filter(F.col(domain).isin(*wanted))
@@ -208,7 +209,7 @@ def follow_leaders(
 ) -> DataFrame:
     """Add ``leader_id`` of the nearest leader (lowest id on ties); a map-only pass.
 
-    Store the result partitioned by ``leader_id`` and a search reads only the
+    Stored partitioned by ``leader_id`` (``write_layer``), a search reads only the
     clusters it probes.
     """
     width = len(leaders[0]["embedding"])
@@ -221,19 +222,17 @@ def follow_leaders(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, units = shared.value
         for batch in batches:
-            nearest = [
-                np.argmax(_block(part.column(vector), width) @ units, axis=1)
-                for part in (
-                    batch.slice(s, SCORE_ROWS) for s in range(0, batch.num_rows, SCORE_ROWS)
+            for start in range(0, batch.num_rows, SCORE_ROWS):
+                part = batch.slice(start, SCORE_ROWS)
+                rows, good = _block(part.column(vector), width)
+                part = part.filter(pa.array(good))
+                nearest = ids[np.argmax(rows @ units, axis=1)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(nearest, pa.int32())],
+                    names=[*part.schema.names, "leader_id"],
                 )
-            ]
-            chosen = ids[np.concatenate(nearest)] if nearest else np.empty(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(chosen, pa.int32())],
-                names=[*batch.schema.names, "leader_id"],
-            )
 
-    return _usable(corpus, vector, width).mapInArrow(run, out)
+    return corpus.filter(F.size(vector) == width).mapInArrow(run, out)
 
 
 def vector_topk_pruned(

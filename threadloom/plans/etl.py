@@ -37,8 +37,10 @@ def run_etl(
     """Read the export once, store the messages, derive the rest from the stored table."""
     export = read_export(spark, path, multiline)
     silver = enrich_time(flatten_messages(bronze_messages(export, chats)))
-    # One file is one read task; spread its rows before they are written.
-    written = {"messages": write_layer(silver.hint("rebalance"), out, "messages")}
+    if export.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        # Fewer read tasks than cores: spread the rows before they are written.
+        silver = silver.hint("rebalance")
+    written = {"messages": write_layer(silver, out, "messages")}
     quality = found = None
     if written["messages"]:
         messages = read_layer(spark, out, "messages")

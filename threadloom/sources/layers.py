@@ -46,13 +46,15 @@ def write_layer(
     spark = df.sparkSession
     staging = _path(base, f"_staging-{name}-{uuid.uuid4().hex}")
     seen = Observation()
-    writer = df.observe(seen, F.count("*").alias("rows")).write.format(fmt)
+    rows = df.observe(seen, F.count("*").alias("rows"))
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(staging)
-    rows = seen.get["rows"]
+        # Few files per folder; a folder with much data is still written by many tasks.
+        rows.hint("rebalance", *partition_by).write.format(fmt).partitionBy(*partition_by).save(staging)
+    else:
+        rows.write.format(fmt).save(staging)
+    count = seen.get["rows"]
     new, fs = _files(spark, staging)
-    if rows == 0:
+    if count == 0:
         fs.delete(new, True)
         return 0
     target, _ = _files(spark, _path(base, name))
@@ -61,7 +63,7 @@ def write_layer(
     if not fs.rename(new, target):
         raise OSError(f"could not move {staging} to {_path(base, name)}")
     spark.catalog.refreshByPath(_path(base, name))
-    return rows
+    return count
 
 
 def write_store(df: DataFrame | None, fmt: str, **options: str) -> int:
