@@ -123,10 +123,10 @@ def _whole(rows: DataFrame) -> DataFrame:
     )
 
 
-def _in_parts(rows: DataFrame, part_chars: int) -> DataFrame:
+def _in_parts(rows: DataFrame, total: int, part_chars: int) -> DataFrame:
     """Gold rows for large threads: range-partition by time, cut into bounded parts."""
-    spread = max(1, rows.agg(F.sum("_weight")).first()[0] // part_chars + 1)
-    ranged = rows.repartitionByRange(int(spread), *KEYS, "date_unixtime", "message_id")
+    spread = total // part_chars + 1
+    ranged = rows.repartitionByRange(spread, *KEYS, "date_unixtime", "message_id")
     slices = cut(ranged.withColumn("_slice", F.spark_partition_id()), "large-threads")
     in_slice = W.partitionBy(*KEYS, "_slice").orderBy("date_unixtime", "message_id")
     cuts = slices.withColumn(
@@ -140,7 +140,7 @@ def _in_parts(rows: DataFrame, part_chars: int) -> DataFrame:
         .withColumn("part_no", F.row_number().over(order) - 1)
         .withColumn("part_count", F.count("*").over(W.partitionBy(*KEYS)).cast("int"))
     )
-    meta = rollup_threads(rows).withColumnRenamed("root_message_id", "root_id")
+    meta = rollup_threads(slices).withColumnRenamed("root_message_id", "root_id")
     return (
         parts.join(numbers, part_keys)
         .join(meta, KEYS)
@@ -157,13 +157,14 @@ def thread_parts(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame
     ).cast("bigint")
     rows = typed(attached).withColumn("_weight", weight)
     sizes = rows.groupBy(*KEYS).agg(F.sum("_weight").alias("_size"))
-    large = cut(sizes.filter(F.col("_size") > part_chars).select(*KEYS), "large-thread-keys")
-    if large.isEmpty():
+    large = cut(sizes.filter(F.col("_size") > part_chars), "large-threads-sizes")
+    total = large.agg(F.sum("_size")).first()[0]
+    if total is None:
         return _whole(rows)
     # Large threads are at most (all characters / part_chars) keys; the planner
     # broadcasts them when their written size allows and shuffles otherwise.
     small = _whole(rows.join(large, KEYS, "left_anti"))
-    big = _in_parts(rows.join(large, KEYS, "left_semi"), part_chars)
+    big = _in_parts(rows.join(large, KEYS, "left_semi"), total, part_chars)
     return small.unionByName(big)
 
 
