@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import table
 from threadloom.llm.curriculum import MixParams, demand_inverse, mix_report
+from threadloom.llm.fingerprints import fingerprint_documents
+from threadloom.llm.language import identify
+from threadloom.llm.packing import PackParams, pack_documents
 from threadloom.llm.url_templates import Rule, TreeParams, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +155,21 @@ FROM taken
 @query("op10_curriculum_mix", OP10_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mix_report(table(spark, folder, "documents")).withColumn("target", F.round("target", 6))
+
+
+TOKENIZER = os.path.join(os.path.dirname(find_spec("public_tokenizers").origin), "word_bpe_49k.json")
+
+
+@query("op1_fingerprints")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query("op6_local_search_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), PackParams(TOKENIZER))
+
+
+@query("op3_string_kernels")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
