@@ -13,7 +13,10 @@ from threadloom.llm.common import table
 from threadloom.llm.curriculum import MixParams, demand_inverse, mix_report
 from threadloom.llm.fingerprints import fingerprint_documents
 from threadloom.llm.language import identify
+from threadloom.llm.minhash import NearParams, near_duplicates
 from threadloom.llm.packing import PackParams, pack_documents
+from threadloom.llm.rotated_codes import nearest
+from threadloom.llm.secret_grammar import scan
 from threadloom.llm.url_templates import Rule, TreeParams, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +176,18 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_string_kernels")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
+
+
+@query("op2_bbit_minhash")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), NearParams(words=4))
+
+
+@query("op4_rotated_codes")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op5_secret_grammar")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"))
