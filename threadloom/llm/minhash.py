@@ -82,17 +82,19 @@ class Shingler:
     def __init__(self, words: int, keep: int = 500_000):
         self.words, self.keep, self.known = words, keep, {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        """Sorted distinct hashes of the shingles of A-Z lower-cased words."""
-        words = (text or "").encode().translate(_LOWER).split()
+    def word_hashes(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         try:
-            h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
             if len(known) > self.keep:
                 known.clear()
             known.update((w, xxhash.xxh64_intdigest(w)) for w in set(words) if w not in known)
-            h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        """Sorted distinct hashes of the shingles of A-Z lower-cased words."""
+        h = self.word_hashes((text or "").encode().translate(_LOWER).split())
         n = min(self.words, len(h))
         if n == 0:
             return np.empty(0, np.uint64)

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from threadloom.llm.common import table
 from threadloom.llm.curriculum import MixParams, demand_inverse, mix_report
 from threadloom.llm.fingerprints import fingerprint_documents
+from threadloom.llm.html_cut import extract
 from threadloom.llm.language import identify
 from threadloom.llm.minhash import NearParams, near_duplicates
 from threadloom.llm.packing import PackParams, pack_documents
 from threadloom.llm.rotated_codes import nearest
 from threadloom.llm.secret_grammar import scan
+from threadloom.llm.sparse_suffix import repeated_passages
 from threadloom.llm.url_templates import Rule, TreeParams, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +193,13 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_secret_grammar")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return scan(table(spark, folder, "documents"))
+
+
+@query("op8_sparse_suffixes")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
+@query("op7_minimum_cut")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
