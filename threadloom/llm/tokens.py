@@ -7,12 +7,18 @@ Words recur, so most are looked up.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 
+# Letters and signs that the tokenizer takes one by one; other words are encoded alone.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# Signs that may follow a word; together they are tokens of their own.
+SIGNS = ".,;:!?*#$%&|"
+
 # str.split() also splits at these four, which the tokenizer takes as signs.
 ODD = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(r"\s")
@@ -21,7 +27,7 @@ LONG_WORD = 64
 
 
 class WordTokenizer:
-    """``keep``: words remembered at most; the memory is emptied when it is full."""
+    """``keep``: about as many words are remembered, the first ones met."""
 
     def __init__(self, path: str, keep: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -46,23 +52,52 @@ class WordTokenizer:
         """Ids as little-endian unsigned 32-bit numbers."""
         return b"".join(self._window_ids(w) for w in self._windows(text))
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words, encoded in one text and told apart by their offsets."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.asarray(found.ids, dtype="<u4")
+        starts = np.cumsum([0] + [len(w) + 1 for w in words])
+        cuts = np.searchsorted(np.fromiter((a for a, _ in found.offsets), np.int64, len(ids)), starts)
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of new words; a word with signs behind it from its parts."""
+        known, split = self.known, {}
+        for w in words:
+            head = w.rstrip(SIGNS)
+            if head and len(head) < len(w) and PLAIN.fullmatch(head) and head[-1].isalpha():
+                split[w] = (head, w[len(head):])
+        parts = (words - split.keys()).union(*split.values()) if split else words
+        parts = [w for w in parts if w not in known]
+        plain = [w for w in parts if PLAIN.fullmatch(w) and "<|" not in w]
+        for i in range(0, len(plain), 1000):
+            known.update(zip(plain[i:i + 1000], self._together(plain[i:i + 1000])))
+        odd = [w for w in parts if w not in known]
+        known.update(zip(odd, self._raw(odd)))
+        known.update((w, known[a] + known[b]) for w, (a, b) in split.items())
+
     def _window_ids(self, text: str) -> bytes:
         if ODD.search(text):
             return self._raw([text])[0]
+        if "\u0130" not in text and "\u03a3" not in text:  # the only letters that str.lower() treats otherwise
+            text = text.lower()
         words, known = text.split(), self.known
         try:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             pass
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > self.keep:
-            known.clear()
-            new = list(set(words))
-        known.update(zip(new, self._raw(new)))
+        new = {w for w in words if w not in known}
+        before = len(known)
+        self._learn(new)
         out = b"".join(map(known.__getitem__, words))
-        for w in new:
-            if len(w) > LONG_WORD:
+        if before > self.keep:  # frequent words came early and stay
+            for w in list(itertools.islice(reversed(known), len(known) - before)):
                 del known[w]
+        else:
+            for w in new:
+                if len(w) > LONG_WORD:
+                    del known[w]
         return out
 
 
