@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from threadloom.functions.text import contains_any
 from threadloom.operators import graph as G
 from threadloom.operators import routing, taxonomy, triplets
 from threadloom.operators.models import failed, map_model, succeeded
@@ -173,3 +174,34 @@ def test_enrichment(spark):
     )
     assert by_model["edges"].count() == 1  # one key, the last thread's properties
     assert by_model["edges"].first()["thread_id"] == "1_4"
+
+
+def test_model_answers(spark):
+    def fn(row):
+        return {0: [1, 2], 1: None, 2: "text", 3: [1, "x"], 4: row}[row["i"]]
+
+    rows = map_model(spark.range(5).withColumnRenamed("id", "i"), fn, ["i"], "array<bigint>").orderBy("i").collect()
+    assert rows[0]["result"] == [1, 2] and rows[0]["error"] is None
+    assert all(r["result"] is None and r["error"] for r in rows[1:])
+
+
+def test_no_lexicon_and_no_words(spark):
+    df = spark.createDataFrame([("1", "text")], "thread_id string, summary string")
+    assert routing.route_by_lexicon(df, []).first()["root"] == "ROOT X"
+    assert df.filter(contains_any(F.col("summary"), [])).isEmpty()
+
+
+def test_combine_is_always_called(spark):
+    threads = spark.createDataFrame(
+        [("a", 0, 2, "x1", 9), ("a", 1, 2, "x2", 9), ("b", 0, 1, "y", 9), ("c", 0, 2, "z", 9), ("c", 1, 2, "bad", 9)],
+        "thread_id string, part_no int, part_count int, transcript string, message_count bigint",
+    )
+
+    def summarise(row):
+        if row["transcript"] == "bad":
+            raise ValueError("no")
+        return row["transcript"].upper()
+
+    out = run_enrichment(threads, summarise, combine=lambda row: "+".join(row["parts"]))
+    assert rows_of(out["summaries"].select("thread_id", "summary")) == {("a", "X1+X2"), ("b", "Y")}
+    assert rows_of(out["failed"]) == {("c", "summary", "ValueError: no")}

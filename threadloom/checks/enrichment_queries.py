@@ -35,22 +35,27 @@ def extract_tag_query(t):
 
 
 @query("map_model", """
-SELECT doc_id, CASE WHEN length(text) <= 5000 THEN CAST(length(text) AS BIGINT) END AS chars,
-  CASE WHEN length(text) <= 5000 THEN md5(text) END AS digest,
-  CASE WHEN length(text) > 5000 THEN 'ValueError: too long' END AS error
-FROM documents
+SELECT doc_id, CASE WHEN error IS NULL THEN CAST(length(text) AS BIGINT) END AS chars,
+  CASE WHEN error IS NULL THEN md5(text) END AS digest, error
+FROM (SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'ValueError' WHEN doc_id % 11 = 3 THEN 'NoAnswer'
+  WHEN doc_id % 13 = 5 THEN 'ArrowInvalid' END AS error FROM documents)
 """)
 def map_model_query(t):
+    """Texts of any length; some ids raise, give no answer, or answer with a wrong type."""
     def describe(row):
-        if len(row["text"]) > 5000:
-            raise ValueError("too long")
-        return {"chars": len(row["text"]), "digest": hashlib.md5(row["text"].encode()).hexdigest()}
+        if row["doc_id"] % 7 == 0:
+            raise ValueError("refused")
+        if row["doc_id"] % 11 == 3:
+            return None
+        chars = "many" if row["doc_id"] % 13 == 5 else len(row["text"])
+        return {"chars": chars, "digest": hashlib.md5(row["text"].encode()).hexdigest()}
 
     results = map_model(
         t("documents").select("doc_id", "text"), describe, ["doc_id"],
         "struct<chars:bigint,digest:string>",
     )
-    return results.select("doc_id", "result.chars", "result.digest", "error")
+    kind = F.substring_index("error", ":", 1)
+    return results.select("doc_id", "result.chars", "result.digest", kind.alias("error"))
 
 
 def routed_documents(t):
@@ -185,7 +190,36 @@ def induce_taxonomy(t):
         [("ROOT A", "kept", "as it was"), ("ROOT X", "kept", "as it was")],
         "root_id string, domain string, topic string",
     )
-    tree, _ = taxonomy.induce_taxonomy(anchored, before, induce, batch=200)
+    def combine(row):
+        topics = {}
+        for answer in row["partials"]:
+            for name, found in {d["domain"]: d["topics"] for d in answer}.items():
+                topics.setdefault(name, set()).update(found)
+        return [{"domain": d, "topics": sorted(s)} for d, s in topics.items()]
+
+    tree, _ = taxonomy.induce_taxonomy(anchored, before, induce, batch=200, combine=combine)
+    return tree
+
+
+@query("taxonomy_partial_failure", f"""
+WITH {ROUTED_SQL}
+, sized AS (
+  SELECT root, CAST(ceil(count(*) / 20.0) AS BIGINT) AS batch_count FROM routed GROUP BY root)
+SELECT root AS root_id, 'size' AS domain, CAST(batch_count AS VARCHAR) AS topic FROM sized WHERE batch_count = 1
+UNION ALL SELECT root, 'kept', 'as it was' FROM sized WHERE batch_count > 1
+""")
+def taxonomy_partial_failure(t):
+    """One failing batch of several: the root keeps its tree."""
+    def induce(row):
+        if row["batch_no"] == 1:
+            raise RuntimeError("no answer")
+        return [{"domain": "size", "topics": ["1"]}]
+
+    anchored = anchored_documents(t)
+    before = anchored.select(F.col("root").alias("root_id")).distinct().select(
+        "root_id", F.lit("kept").alias("domain"), F.lit("as it was").alias("topic")
+    )
+    tree, _ = taxonomy.induce_taxonomy(anchored, before, induce, batch=20)
     return tree
 
 
@@ -313,7 +347,7 @@ def extract_triplets(t):
     return rows.drop("pos").unionByName(lost, allowMissingColumns=True)
 
 
-def _enriched(t):
+def _enriched(t, part_chars=None):
     """Conversation threads summarised into packets that name their own relation."""
     import json
 
@@ -328,8 +362,18 @@ def _enriched(t):
             "cross_domain_relationships": [f"[{name}] -> (has lines) -> [Lines]: {messages}"],
         })
 
-    threads = conversation_threads(t)
-    return run_enrichment(threads, summarise, F.col("message_count") > 2, lexicon=[("ROOT B", "msgs")])
+    def part(row):
+        if "] system: " in row["transcript"]:
+            raise ValueError("system prompt")
+        return row["transcript"]
+
+    def combine(row):
+        return summarise({"transcript": "\n".join(row["parts"])})
+
+    where, lexicon = F.col("message_count") > 2, [("ROOT B", "msgs")]
+    if part_chars:
+        return run_enrichment(conversation_threads(t, part_chars), part, where, lexicon=lexicon, combine=combine)
+    return run_enrichment(conversation_threads(t), summarise, where, lexicon=lexicon)
 
 
 ENRICHED_SQL = CONVERSATION_THREADS_SQL + """
@@ -351,6 +395,17 @@ def enrichment_edges(t):
     return _enriched(t)["edges"]
 
 
+@query("enrichment_in_parts", f"""
+WITH RECURSIVE {ENRICHED_SQL}
+SELECT chat_name AS subject, 'HAS_LINES' AS predicate, 'Lines' AS object, thread_id, 'ROOT B' AS topic,
+  CAST(CAST(n_lines AS BIGINT) AS VARCHAR) AS context
+FROM work WHERE NOT has_system
+""")
+def enrichment_in_parts(t):
+    """Threads cut into small parts give the same edges: one summary and root per thread."""
+    return _enriched(t, part_chars=300)["edges"]
+
+
 @query("enrichment_failed", f"""
 WITH RECURSIVE {ENRICHED_SQL}
 SELECT thread_id, 'summary' AS phase, 'ValueError: system prompt' AS error FROM work WHERE has_system

@@ -49,5 +49,7 @@ def extract_tag(answer: Column, tag: str) -> Column:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    """Case-insensitive match of any of the words."""
+    """Case-insensitive match of any of the words; never without words."""
+    if not words:
+        return F.lit(False)
     return text.rlike("(?iu)" + "|".join(re.escape(w) for w in words))

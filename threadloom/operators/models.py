@@ -25,7 +25,8 @@ def map_model(
     """One call of ``fn(row as dict)`` per row, no retry.
 
     Returns ``keys``, ``result`` (``result_type``) and ``error``; exactly one of the
-    two is set. Calls of a batch overlap on ``concurrency`` threads, as model calls
+    two is set. An exception, no answer (None), and an answer that is not of the
+    result type are errors of that row alone. Calls of a batch overlap on ``concurrency`` threads, as model calls
     mostly wait. The result is written once, so that later readers do not repeat
     the calls.
     """
@@ -38,7 +39,11 @@ def map_model(
 
     def call(row: dict) -> tuple[Any, str | None]:
         try:
-            return fn(row), None
+            answer = fn(row)
+            if answer is None:
+                return None, "NoAnswer: None"
+            pa.array([answer], type=arrow_result)  # else one answer would fail the batch
+            return answer, None
         except Exception as e:  # a failed item must not fail its task
             return None, f"{type(e).__name__}: {e}"
 

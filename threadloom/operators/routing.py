@@ -37,12 +37,15 @@ def route_by_model(summaries: DataFrame, fn: Callable[[dict], str]) -> DataFrame
 def route_by_lexicon(summaries: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:
     """Root whose keywords appear most often as distinct, case-insensitive matches.
 
-    Ties go to the root named first in the lexicon. The lexicon is configuration:
+    Ties go to the root named first in the lexicon; an empty lexicon gives the
+    catch-all. The lexicon is configuration:
     it becomes an expression, so routing needs neither join nor shuffle.
     """
     by_root: dict[str, list[str]] = {}
     for root, keyword in lexicon:
         by_root.setdefault(root, []).append(keyword.lower())
+    if not by_root:
+        return summaries.withColumn("root", F.lit(OTHER_ROOT))
     text = F.col("_text")
 
     def hits(words: list[str]) -> Column:

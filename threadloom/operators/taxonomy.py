@@ -13,8 +13,6 @@ from threadloom.operators.routing import BATCH_SUMMARIES, group_by_root
 from threadloom.operators.skew import broadcast_if_small
 from threadloom.schemas import TAXONOMY_UPDATE
 
-MAX_TREES = 1_000  # trees of more roots are joined by shuffle
-
 
 def merge_taxonomy(current: DataFrame, updated: DataFrame) -> DataFrame:
     """Roots in ``updated`` replace the same roots of ``current`` as a whole."""
@@ -31,7 +29,7 @@ def with_current_tree(batches: DataFrame, taxonomy: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("domain", "topics"))).alias("current_tree")
     )
     # Few roots, many batches per root: a shuffle join would gather a root's batches.
-    trees = broadcast_if_small(cut(trees, "current-trees"), MAX_TREES)
+    trees = broadcast_if_small(cut(trees, "current-trees"))
     empty = F.array().cast(TAXONOMY_UPDATE)
     return batches.join(trees, "root_id", "left").withColumn(
         "current_tree", F.coalesce("current_tree", empty)
@@ -63,17 +61,38 @@ def induce_taxonomy(
     taxonomy: DataFrame,
     fn: Callable[[dict], list[dict]],
     batch: int = BATCH_SUMMARIES,
+    combine: Callable[[dict], list[dict]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """New taxonomy and failed batches.
-
-    ``fn`` gets ``root_id``, ``summaries`` and ``current_tree`` and returns domains
-    with topics. Roots split over several batches get the union of their answers.
-    A root all of whose calls fail keeps its tree.
+    """New taxonomy and failed calls.
+
+    ``fn`` gets ``root_id``, ``batch_no``, ``summaries`` and ``current_tree`` and returns
+    domains with topics. The answers of a root's batches, in batch order, are then
+    one answer: ``combine`` gets ``root_id``, ``partials`` (list of answers) and
+    ``current_tree``; without it they are joined end to end. In either case a
+    domain named twice keeps its last topics, however many batches there are.
+    A root is replaced only if all its calls succeed; otherwise it keeps its tree
+    and its failed calls are listed (``combine`` as batch -1).
     """
     batches = with_current_tree(group_by_root(anchored, batch), taxonomy)
     results = map_model(batches, fn, ["root_id", "batch_no"], TAXONOMY_UPDATE)
-    updated = taxonomy_rows(succeeded(results))
+    lost = failed(results)
+    whole = succeeded(results).join(lost.select("root_id").distinct(), "root_id", "left_anti")
+    partials = whole.groupBy("root_id").agg(
+        F.sort_array(F.collect_list(F.struct("batch_no", "result"))).alias("_p")
+    ).select("root_id", F.transform("_p", lambda x: x["result"]).alias("partials"))
+    if combine is None:
+        answers = partials.select("root_id", F.flatten("partials").alias("result"))
+    else:
+        merged = map_model(with_current_tree(partials, taxonomy), combine, ["root_id"], TAXONOMY_UPDATE)
+        answers = succeeded(merged)
+        lost = lost.unionByName(
+            failed(merged).select("root_id", F.lit(-1).cast("bigint").alias("batch_no"), "error")
+        )
     # An empty answer still replaces its root.
-    answered = succeeded(results).select("root_id").distinct()
-    kept = taxonomy.join(answered, "root_id", "left_anti")
-    return kept.unionByName(updated), failed(results)
+    return merge_roots(taxonomy, answers), lost
+
+
+def merge_roots(taxonomy: DataFrame, answers: DataFrame) -> DataFrame:
+    """Trees of all answered roots, whatever they hold, and of the roots without answer."""
+    kept = taxonomy.join(answers.select("root_id").distinct(), "root_id", "left_anti")
+    return kept.unionByName(taxonomy_rows(answers))

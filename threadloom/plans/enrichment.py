@@ -22,6 +22,23 @@ from threadloom.operators.triplets import extract_triplets, parse_relationships
 TAXONOMY = "root_id string, domain string, topic string"
 
 
+def one_summary(
+    results: DataFrame, lost: DataFrame, combine: Callable[[dict], str] | None
+) -> tuple[DataFrame, DataFrame]:
+    """(thread_id, summary) from the summaries of all parts, and failed threads."""
+    if "part_no" not in results.columns:
+        results = results.withColumn("part_no", F.lit(0))
+    whole = results.join(lost.select("thread_id"), "thread_id", "left_anti")
+    parts = whole.groupBy("thread_id").agg(
+        F.sort_array(F.collect_list(F.struct("part_no", "result"))).alias("_p")
+    ).select("thread_id", F.transform("_p", lambda x: x["result"]).alias("parts"))
+    if combine is None:
+        summaries = cut(parts.select("thread_id", F.array_join("parts", "\n").alias("summary")), "summaries")
+        return summaries, lost.limit(0)
+    merged = map_model(parts, combine, ["thread_id"], "string")
+    return succeeded(merged).withColumnRenamed("result", "summary"), failed(merged).select("thread_id", "error")
+
+
 def run_enrichment(
     threads: DataFrame,
     summarise: Callable[[dict], str],
@@ -31,9 +48,15 @@ def run_enrichment(
     induce: Callable[[dict], list[dict]] | None = None,
     extract: Callable[[dict], list[dict]] | None = None,
     taxonomy: DataFrame | None = None,
+    combine: Callable[[dict], str] | None = None,
 ) -> dict[str, DataFrame]:
     """Tables ``summaries``, ``anchored``, ``taxonomy``, ``entities``, ``edges``, ``failed``.
 
+    ``summarise`` is called per gold row (``thread_id``, ``part_no``, ``transcript``). The
+    answers of a thread's parts then become its one summary: ``combine`` gets
+    ``thread_id`` and ``parts`` (summaries in order), for threads of one part too;
+    without it they are joined by line breaks. A thread fails if one call fails.
+
     Routing uses the model ``route`` or, without one, the ``lexicon``. Triplets
     come from the model ``extract`` or, without one, from the relation lines of
     packet summaries. Failed items of any phase are listed with phase and error.
@@ -42,8 +65,10 @@ def run_enrichment(
     work = load_threads(threads, where)
     keys = [c for c in ("thread_id", "part_no") if c in work.columns]
     results = map_model(work, summarise, keys, "string")
-    summaries = succeeded(results).withColumnRenamed("result", "summary")
-    errors = [failed(results).select("thread_id", F.lit("summary").alias("phase"), "error")]
+    lost = failed(results).groupBy("thread_id").agg(F.min("error").alias("error"))
+    summaries, more = one_summary(succeeded(results), lost, combine)
+    lost = lost.unionByName(more)
+    errors = [lost.select("thread_id", F.lit("summary").alias("phase"), "error")]
 
     if route is not None:
         anchored = route_by_model(summaries, route)
