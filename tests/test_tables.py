@@ -44,10 +44,10 @@ def test_write_all_and_store(spark, tmp_path):
     assert L.write_store(None, "noop") == L.write_store(df.filter("false"), "noop") == 0
 
 
-@pytest.mark.parametrize("small", [10_000, 0])
+@pytest.mark.parametrize("small", [32 << 20, 0])
 def test_upsert(spark, tmp_path, monkeypatch, small):
     """By broadcast and by shuffle."""
-    monkeypatch.setattr(L, "BROADCAST_UPDATES", small)
+    monkeypatch.setattr(L, "BROADCAST_BYTES", small)
     base = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 0)], "k int, v string, x int")
     updates = spark.createDataFrame(
         [(2, None, 1), (2, "new", 2), (3, "c", 1), (None, "m", 1)], "k int, v string, at int"
@@ -60,6 +60,8 @@ def test_upsert(spark, tmp_path, monkeypatch, small):
     assert first["v"] is None and first["x"] == 20
     assert L.upsert_layer(base, str(tmp_path), "t", ["k"]) == 3
     assert L.upsert_layer(updates.drop("at").filter("k = 3"), str(tmp_path), "t", ["k"]) == 4
+    assert L.upsert_layer(updates, str(tmp_path), "first", ["k"]) == 3  # keys are unique from the start
+    assert L.read_layer(spark, str(tmp_path), "first").filter("k = 2").first()["v"] == "new"
 
 
 def test_find(spark):
@@ -101,8 +103,8 @@ def test_threads_to_load(spark):
 
 def test_broadcast_only_when_small(spark):
     df = spark.range(50)
-    assert "broadcast" in broadcast_if_small(df, 50)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in broadcast_if_small(df, 49)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" in broadcast_if_small(df, 400)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in broadcast_if_small(df, 399)._jdf.queryExecution().logical().toString().lower()
 
 
 def test_no_messages(spark):

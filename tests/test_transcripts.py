@@ -139,5 +139,5 @@ def test_summary_and_participants(spark):
     assert summary["emoji_counts"] == {"👍": 5, "🔥": 1}
     got = {r["from_id"]: r["display_name"] for r in participants(attached).collect()}
     assert got == {"u1": "New", "u2": None}
-    nested = nested_participants(attached, limit=1).collect()
+    nested = nested_participants(attached).collect()
     assert sorted(i for r in nested for i in r["participant_ids"]) == ["u1", "u2"]

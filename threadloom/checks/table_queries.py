@@ -3,10 +3,14 @@
 from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
-from threadloom.checks.thread_queries import CONVERSATION_THREADS_SQL, conversation_threads
+from threadloom.checks.thread_queries import (
+    CONVERSATION_THREADS_SQL,
+    conversation_threads,
+    whole_transcripts,
+)
 from threadloom.checks.views import MESSAGES_SQL, event_messages
 from threadloom.functions.text import contains_any
-from threadloom.lineage import fresh_path
+from threadloom.lineage import cut, fresh_path
 from threadloom.operators import retrieval as Q
 from threadloom.operators.messages import distinct_users
 from threadloom.sources.exports import read_users_csv
@@ -63,15 +67,16 @@ SELECT n AS larger_than, (SELECT count(*) FROM thread WHERE message_count > n) A
 FROM (VALUES (2), (4), (6)) s(n)
 """)
 def thread_size_counts(t):
-    threads = conversation_threads(t)
-    return threads.agg(
-        *[F.count_if(F.col("message_count") > n).alias(str(n)) for n in (2, 4, 6)]
-    ).unpivot([], ["2", "4", "6"], "larger_than", "threads").select(
-        F.col("larger_than").cast("int").alias("larger_than"), "threads"
-    )
+    """Threads in parts, counted by their headers."""
+    threads = cut(conversation_threads(t, part_chars=300), "threads")
+    counts = [
+        Q.count(Q.larger_than(threads, n)).select(F.lit(n).alias("larger_than"), F.col("count").alias("threads"))
+        for n in (2, 4, 6)
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
 
 
-@query("load_threads", f"""
+LOAD_SQL = f"""
 WITH RECURSIVE {CONVERSATION_THREADS_SQL}
 SELECT thread_id, md5('### CONVERSATION THREAD: ' || t.chat_name || chr(10) || '### METADATA: '
   || message_count || ' msgs | '
@@ -83,15 +88,28 @@ FROM thread t JOIN line l ON l.chat_id = t.chat_id AND l.root_id = t.root_messag
 WHERE message_count > 3
 GROUP BY thread_id, t.chat_name, message_count, end_unixtime, start_unixtime
 HAVING bool_or(regexp_matches(said, '(?i)there|eaux|ción'))
-""")
-def load_threads(t):
+"""
+
+
+def _loaded(threads):
     where = (F.col("message_count") > 3) & contains_any(
         F.col("transcript"), ["there", "eaux", "ción"]
     )
-    rows = Q.load_threads(conversation_threads(t), where)
+    rows = whole_transcripts(Q.load_threads(threads, where))
     return rows.select("thread_id", F.md5("transcript").alias("transcript_md5"))
 
 
+@query("load_threads", LOAD_SQL)
+def load_threads(t):
+    return _loaded(conversation_threads(t))
+
+
+@query("load_large_threads", LOAD_SQL)
+def load_large_threads(t):
+    """A text that stands in one part loads all parts of the thread."""
+    return _loaded(cut(conversation_threads(t, part_chars=300), "threads"))
+
+
 @query("stratified_sample", """
 SELECT doc_id, source, n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents

@@ -16,6 +16,7 @@ from threadloom.functions.reactions import top_reactions
 from threadloom.lineage import cut, fresh_path
 from threadloom.operators import rollups as R
 from threadloom.operators import transcripts as X
+from threadloom.operators.retrieval import headers
 from threadloom.operators.threads import assign_threads
 from threadloom.plans.etl import run_etl
 from threadloom.sources.layers import read_layer
@@ -209,8 +210,16 @@ CONVERSATION_THREADS_SQL = CONVERSATIONS_SQL + """
 """
 
 
-def conversation_threads(t):
-    return X.gold_threads(assign_threads(cut(conversation_messages(t), "messages")))
+def conversation_threads(t, part_chars=X.PART_CHARS):
+    return X.gold_threads(assign_threads(cut(conversation_messages(t), "messages")), part_chars)
+
+
+def whole_transcripts(threads):
+    """Transcripts of all parts joined in order."""
+    parts = F.sort_array(F.collect_list(F.struct("part_no", "transcript")))
+    return threads.groupBy("thread_id").agg(
+        F.array_join(F.transform(parts, lambda p: p["transcript"]), "\n").alias("transcript")
+    )
 
 
 @query("conversation_transcripts", f"WITH RECURSIVE {CONVERSATION_THREADS_SQL} {BASIC_SQL}")
@@ -220,6 +229,14 @@ def conversation_transcripts(t):
     )
 
 
+@query("gold_threads_in_parts", f"WITH RECURSIVE {CONVERSATION_THREADS_SQL} {BASIC_SQL}")
+def gold_threads_in_parts(t):
+    """Threads cut into small parts are whole when joined, and counted once."""
+    threads = conversation_threads(t, part_chars=300)
+    counts = headers(threads).select("thread_id", "message_count", "participant_count")
+    return counts.join(whole_transcripts(threads), "thread_id")
+
+
 @query("rich_transcripts", f"""
 WITH RECURSIVE {REACTIONS_SQL.replace(PLACED_SQL, ROLLUP_SQL)} {TOP_RX_SQL} {EVENT_LINES_SQL}
 , best AS (
@@ -277,6 +294,22 @@ def etl_threads(t):
     )
 
 
+@query("etl_report", f"""
+WITH RECURSIVE {PLACED_SQL}
+, per_thread AS (SELECT count(*) AS n, count(*) FILTER (date_unixtime IS NULL) AS u FROM attached GROUP BY chat_id, root_id)
+SELECT 'messages' AS measure, count(*) AS value FROM msg
+UNION ALL SELECT 'without_id', count(*) FROM msg WHERE chat_id IS NULL OR message_id IS NULL
+UNION ALL SELECT 'without_date', count(*) FROM msg WHERE date IS NULL
+UNION ALL SELECT 'in_a_thread', count(*) FROM attached
+UNION ALL SELECT 'single_message', count(*) FROM per_thread WHERE n < 2
+UNION ALL SELECT 'undated_message', count(*) FROM per_thread WHERE n >= 2 AND u > 0
+""")
+def etl_report(t):
+    """What an ETL run read, and what it left out and why."""
+    out = fresh_path(t.spark, "etl")
+    return run_etl(t.spark, write_export(t), None, out, multiline=False).report
+
+
 @query("stream_threads", f"""
 WITH RECURSIVE {PLACED_SQL} SELECT chat_id, message_id, root_id FROM placed
 """)

@@ -27,11 +27,13 @@ def explode_chats(export: DataFrame) -> DataFrame:
 
 
 def keep_chats(chats: DataFrame, names: list[str] | DataFrame | None = None) -> DataFrame:
-    """Chats with exactly these names; ``None`` or an empty list keeps all.
+    """Chats with exactly these names; no names (``None`` or empty) keep all.
 
     ``names`` may also be a one-column DataFrame of any size.
     """
     if isinstance(names, DataFrame):
+        if names.isEmpty():
+            return chats
         # Chat rows carry all their messages: move the names, not the chats.
         wanted = broadcast_if_small(cut(names.toDF("name").distinct(), "chat-names"))
         return chats.join(wanted, chats["chat.name"] == wanted["name"], "left_semi")

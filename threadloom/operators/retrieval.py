@@ -38,14 +38,30 @@ def count(df: DataFrame, where: Column | None = None) -> DataFrame:
 
 
 def load_threads(threads: DataFrame, where: Column | None = None) -> DataFrame:
-    """Thread ids with non-empty transcripts, one row per gold row."""
-    rows = find(threads, where).filter(F.length("transcript") > 0)
-    extra = ["part_no"] if "part_no" in threads.columns else []
-    return rows.select("thread_id", *extra, "transcript")
+    """Thread ids with non-empty transcripts, one row per gold row.
+
+    A thread of several parts is loaded whole as soon as ``where`` holds for one part.
+    """
+    if "part_no" not in threads.columns:
+        rows = find(threads, where)
+        return rows.filter(F.length("transcript") > 0).select("thread_id", "transcript")
+    rows = threads
+    if where is not None:
+        single = F.coalesce(F.col("part_count") == 1, F.lit(False)) if "part_count" in threads.columns else F.lit(False)
+        hits = threads.filter(~single).filter(where).select("thread_id").distinct()
+        several = threads.filter(~single).join(hits, "thread_id", "left_semi")
+        rows = threads.filter(single).filter(where).unionByName(several)
+    return rows.filter(F.length("transcript") > 0).select("thread_id", "part_no", "transcript")
+
+
+def headers(threads: DataFrame) -> DataFrame:
+    """One row per thread: the first part."""
+    return threads.filter(F.col("part_no") == 0) if "part_no" in threads.columns else threads
 
 
 def larger_than(threads: DataFrame, messages: int) -> DataFrame:
-    return threads.filter(F.col("message_count") > messages)
+    """Headers of the threads with more messages."""
+    return headers(threads).filter(F.col("message_count") > messages)
 
 
 def stratified_sample(

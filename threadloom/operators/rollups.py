@@ -6,7 +6,7 @@ sends one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -15,15 +15,14 @@ from threadloom.operators.threads import thread_id
 
 KEYS = ["chat_id", "root_id"]
 MIN_MESSAGES = 2  # fixed value: smaller threads are no conversation
-NEST_LIMIT = 10_000  # entries of one nested participant row
 
 
 def _thread_id():
     return thread_id(F.col("chat_id"), F.col("root_id")).alias("thread_id")
 
 
-def thread_totals(attached: DataFrame) -> DataFrame:
-    """Counts and time bounds of every thread, whatever its size."""
+def thread_totals(attached: DataFrame, *more: Column) -> DataFrame:
+    """Counts and time bounds of every thread, whatever its size, and ``more`` aggregates."""
     author = F.when(F.col("from_id") != "", F.col("from_id"))
     return attached.groupBy(*KEYS).agg(
         F.count("*").alias("message_count"),
@@ -31,6 +30,7 @@ def thread_totals(attached: DataFrame) -> DataFrame:
         F.min("date_unixtime").alias("start_unixtime"),
         F.max("date_unixtime").alias("end_unixtime"),
         F.count_if(F.col("date_unixtime").isNull()).alias("undated"),
+        *more,
     )
 
 
@@ -40,13 +40,13 @@ def is_thread():
 
 def rollup_threads(attached: DataFrame) -> DataFrame:
     """Threads of two or more messages with the root's chat name and week."""
-    totals = thread_totals(attached).filter(is_thread()).drop("undated")
-    roots = attached.filter("is_root").select(*KEYS, "chat_name", "week_id")
-    return totals.join(roots, KEYS).select(
+    root = F.max(F.when(F.col("is_root"), F.struct("chat_name", "week_id")))
+    totals = thread_totals(attached, root.alias("_root")).filter(is_thread() & F.col("_root").isNotNull())
+    return totals.select(
         _thread_id(),
         "chat_id",
-        "chat_name",
-        "week_id",
+        "_root.chat_name",
+        "_root.week_id",
         F.col("root_id").alias("root_message_id"),
         "message_count",
         "participant_count",
@@ -121,27 +121,19 @@ def participants(attached: DataFrame) -> DataFrame:
     )
 
 
-def nested_participants(attached: DataFrame, limit: int = NEST_LIMIT) -> DataFrame:
-    """Participant id array and id→name map per thread.
+def nested_participants(attached: DataFrame) -> DataFrame:
+    """Participant id array and id→name map, one row per thread of any size.
 
-    A thread with more than ``limit`` participants gets several rows
-    (``part_no`` of ``part_count``), split by hashed id.
+    Nests all participants of a thread in its row; use ``participants`` where their
+    number is unbounded.
     """
-    people = participants(attached)
-    sizes = people.groupBy(*KEYS).agg(
-        F.ceil(F.count("*") / limit).cast("int").alias("part_count")
-    )
-    part = F.pmod(F.xxhash64("from_id"), F.col("part_count")).cast("int")
     entry = F.struct("from_id", "display_name")
     return (
-        people.join(sizes, KEYS)
-        .withColumn("part_no", part)
-        .groupBy(*KEYS, "part_count", "part_no")
+        participants(attached)
+        .groupBy(*KEYS)
         .agg(F.sort_array(F.collect_list(entry)).alias("_p"))
         .select(
             *KEYS,
-            "part_no",
-            "part_count",
             F.transform("_p", lambda p: p["from_id"]).alias("participant_ids"),
             F.map_from_entries(
                 F.filter("_p", lambda p: p["display_name"].isNotNull())

@@ -17,7 +17,7 @@ HOT_ROWS = 2_000_000  # rows of one key that a single task handles comfortably
 MAX_HOT_KEYS = 128  # bounds the literal map below
 TRACKED = 50_000  # sketch size: keys above 1/50000 of the rows cannot be missed
 MAX_SALTS = 20_000
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def frequent_keys(keys: list[str], where: Column | None = None) -> Column:
@@ -58,13 +58,14 @@ def lookup(
     return salted_rows.join(salted_unique, on + ["_salt"], how).drop("_salt")
 
 
-def holds_at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def size_in_bytes(df: DataFrame) -> int:
+    """The planner's size of ``df``; of a written table that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast once counted to hold at most ``max_rows`` narrow rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table marked for broadcast if its files hold at most ``max_bytes``.
 
     Beyond that it is returned unmarked and joins by shuffle.
     """
-    return F.broadcast(df) if holds_at_most(df, max_rows) else df
+    return F.broadcast(df) if size_in_bytes(df) <= max_bytes else df

@@ -45,14 +45,14 @@ def identified(messages: DataFrame) -> DataFrame:
 def unique_messages(messages: DataFrame) -> DataFrame:
     """``dedupe_messages`` that moves only the rows of repeated ids.
 
-    A narrow count finds repeated ids; usually there are none and the messages
+    A narrow count finds whether ids repeat; usually none does and the messages
     are returned as they are.
     """
     keys = ["chat_id", "message_id"]
     counts = messages.groupBy(*keys).agg(F.count("*").alias("_n"))
-    repeated = cut(counts.filter(F.col("_n") > 1).select(*keys), "repeated-ids")
-    if repeated.isEmpty():
+    if (counts.agg(F.max("_n")).first()[0] or 0) < 2:
         return messages
+    repeated = cut(counts.filter(F.col("_n") > 1).select(*keys), "repeated-ids")
     once = messages.join(repeated, keys, "left_anti")
     return once.unionByName(dedupe_messages(messages.join(repeated, keys, "left_semi")))
 
@@ -98,12 +98,17 @@ def resolve_targets(
     Messages on a cycle or under a missing parent get no root.
     """
     links = _links(identified(messages))
-    replies = links.filter(F.col("parent_id").isNotNull())
-    hot_parents = replies.agg(frequent_keys(["chat_id", "parent_id"])).first()[0]  # no shuffle
+    replied = F.col("parent_id").isNotNull()
+    replies = links.filter(replied)
     parents = replies.select("chat_id", F.col("parent_id").alias("message_id")).distinct()
 
     is_root = F.col("parent_id").isNull()
-    state = links.join(parents, ["chat_id", "message_id"], "left_semi").select(
+    # The sketch of hot parents rides along with the first write.
+    parent_sketch = Observation()
+    watched = links.observe(
+        parent_sketch, frequent_keys(["chat_id", "parent_id"], where=replied).alias("hot")
+    )
+    state = watched.join(parents, ["chat_id", "message_id"], "left_semi").select(
         "chat_id",
         "message_id",
         F.when(is_root, F.col("message_id")).otherwise(F.col("parent_id")).alias("ptr"),
@@ -157,7 +162,7 @@ def resolve_targets(
             rounds,
         )
     roots = written().filter("done").select("chat_id", "message_id", F.col("ptr").alias("root_id"))
-    return ReplyTargets(roots, salts_for(hot_parents, hot_rows), rounds)
+    return ReplyTargets(roots, salts_for(parent_sketch.get["hot"], hot_rows), rounds)
 
 
 def attach(messages: DataFrame, targets: ReplyTargets) -> DataFrame:

@@ -1,8 +1,10 @@
 """Gold threads: every thread with its transcript and message payload.
 
-An ordinary thread is one row. A thread too large for one row is written as
-several rows (``part_no`` of ``part_count``) whose transcripts, joined by a line
-break in order, are the whole transcript. Nothing is left out.
+A thread is one or more rows (``part_no`` of ``part_count``) whose transcripts,
+joined by a line break in order, are the whole transcript. The row with part 0 is
+the thread's header: counts and filters on threads act on headers, and readers
+take all parts of a thread (``retrieval.larger_than``, ``load_threads``). Parts
+are cut by the characters of the thread alone, so they are the same in every run.
 """
 
 from __future__ import annotations
@@ -123,29 +125,34 @@ def _whole(rows: DataFrame) -> DataFrame:
     )
 
 
-def _in_parts(rows: DataFrame, total: int, part_chars: int) -> DataFrame:
-    """Gold rows for large threads: range-partition by time, cut into bounded parts."""
-    spread = total // part_chars + 1
-    ranged = rows.repartitionByRange(spread, *KEYS, "date_unixtime", "message_id")
-    slices = cut(ranged.withColumn("_slice", F.spark_partition_id()), "large-threads")
-    in_slice = W.partitionBy(*KEYS, "_slice").orderBy("date_unixtime", "message_id")
-    cuts = slices.withColumn(
-        "_cut", F.floor((F.sum("_weight").over(in_slice) - 1) / part_chars).cast("bigint")
+def _in_parts(rows: DataFrame, part_chars: int) -> DataFrame:
+    """Gold rows for large threads, cut by the thread's own cumulative characters.
+
+    The sum goes by day first and within the day then, so no window holds a thread.
+    """
+    keys = [*KEYS, "_day"]
+    rows = rows.withColumn("_day", F.floor(F.col("date_unixtime") / 86_400))
+    days = rows.groupBy(*keys).agg(F.sum("_weight").alias("_w"))
+    earlier = W.partitionBy(*KEYS).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
+    days = days.withColumn("_before", F.coalesce(F.sum("_w").over(earlier), F.lit(0))).drop("_w")
+    in_day = W.partitionBy(*keys).orderBy("date_unixtime", "message_id").rowsBetween(
+        W.unboundedPreceding, 0
     )
-    part_keys = [*KEYS, "_slice", "_cut"]
-    parts = _collected(cuts, part_keys).select(*part_keys, _in_order())
-    order = W.partitionBy(*KEYS).orderBy("_slice", "_cut")
+    upto = F.col("_before") + F.sum("_weight").over(in_day) - 1
+    cuts = rows.join(days, keys).withColumn("_cut", F.floor(upto / part_chars).cast("bigint"))
+    parts = _collected(cuts, [*KEYS, "_cut"]).select(*KEYS, "_cut", _in_order())
+    order = W.partitionBy(*KEYS).orderBy("_cut")
     numbers = (
-        cuts.select(*part_keys).distinct()
+        parts.select(*KEYS, "_cut")
         .withColumn("part_no", F.row_number().over(order) - 1)
         .withColumn("part_count", F.count("*").over(W.partitionBy(*KEYS)).cast("int"))
     )
-    meta = rollup_threads(slices).withColumnRenamed("root_message_id", "root_id")
+    meta = rollup_threads(rows).withColumnRenamed("root_message_id", "root_id")
     return (
-        parts.join(numbers, part_keys)
+        parts.join(numbers, [*KEYS, "_cut"])
         .join(meta, KEYS)
         .withColumnRenamed("root_id", "root_message_id")
-        .drop("_slice", "_cut")
+        .drop("_cut")
     )
 
 
@@ -155,16 +162,17 @@ def thread_parts(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame
     weight = (
         F.coalesce(F.length("text"), F.lit(0)) + F.coalesce(F.length("sender"), F.lit(0)) + 64
     ).cast("bigint")
-    rows = typed(attached).withColumn("_weight", weight)
+    # Stored once: sizes and rows are read from it, and the final lookup of the threads
+    # is not made again.
+    rows = cut(typed(attached).withColumn("_weight", weight), "attached")
     sizes = rows.groupBy(*KEYS).agg(F.sum("_weight").alias("_size"))
     large = cut(sizes.filter(F.col("_size") > part_chars), "large-threads-sizes")
-    total = large.agg(F.sum("_size")).first()[0]
-    if total is None:
+    if large.isEmpty():
         return _whole(rows)
     # Large threads are at most (all characters / part_chars) keys; the planner
     # broadcasts them when their written size allows and shuffles otherwise.
     small = _whole(rows.join(large, KEYS, "left_anti"))
-    big = _in_parts(rows.join(large, KEYS, "left_semi"), total, part_chars)
+    big = _in_parts(cut(rows.join(large, KEYS, "left_semi"), "large-threads"), part_chars)
     return small.unionByName(big)
 
 
@@ -200,6 +208,7 @@ def gold_threads(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame
 
 def rich_threads(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """Threads with rich transcripts and their velocity."""
+    attached = cut(typed(attached), "attached")
     parts = with_sentiment(thread_parts(attached, part_chars), attached)
     rate = velocity(F.col("message_count"), F.col("start_unixtime"), F.col("end_unixtime"))
     return render_transcripts(parts, rich=True).select(

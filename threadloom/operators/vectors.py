@@ -26,7 +26,6 @@ CANDIDATES_PER_K = 10
 DIMENSIONS = 1024
 
 QUERY_BLOCK = 1_000  # queries scored in one pass over the corpus
-MAX_LEADERS = 4_096
 SCORE_ROWS = 2_048  # corpus rows scored at once
 
 
@@ -111,14 +110,23 @@ def _score_block(
                     if q["probes"] is not None else None
                 )
                 for j in range(len(q["ids"])):
-                    mask = np.ones(len(ids), dtype=bool)
+                    mask = None
                     if domains is not None and q["domains"][j] is not None:
-                        mask &= domains == q["domains"][j]
+                        mask = domains == q["domains"][j]
                     if leaders is not None:
-                        mask &= np.isin(leaders, q["probes"][j])
-                    if not mask.any():
+                        probed = np.isin(leaders, q["probes"][j])
+                        mask = probed if mask is None else mask & probed
+                    if mask is None:
+                        got = ids, sims[:, j]
+                    elif mask.any():
+                        got = ids[mask], sims[mask, j]
+                    else:
                         continue
-                    got = ids[mask], sims[mask, j]
+                    if j in best and len(best[j][1]) == k:  # nothing below the k-th best counts
+                        close = got[1] >= best[j][1][-1]
+                        if not close.any():
+                            continue
+                        got = got[0][close], got[1][close]
                     if j in best:
                         got = tuple(np.concatenate(p) for p in zip(best[j], got))
                     best[j] = _first_k(*got, k)
@@ -145,15 +153,29 @@ def _query_blocks(queries: DataFrame) -> Iterator[list]:
     """Queries in collected blocks of about QUERY_BLOCK rows, zero vectors left out."""
     if "l1_domain" not in queries.columns:
         queries = queries.withColumn("l1_domain", F.lit(None).cast("string"))
-    rows = queries.select(F.col("query_id").cast("bigint"), "embedding", "l1_domain").filter(
-        F.exists("embedding", lambda x: x != 0)
-    )
+    vector = F.col("embedding")
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x)) & F.exists(vector, lambda x: x != 0)
+    rows = queries.select(F.col("query_id").cast("bigint"), "embedding", "l1_domain").filter(whole)
     rows = cut(rows, "query-vectors")
-    n_blocks = rows.count() // QUERY_BLOCK + 1
-    for b in range(n_blocks):
-        block = rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
-        if block:
-            yield block
+    for width, n in sorted(rows.groupBy(F.size("embedding")).count().collect()):
+        same = rows.filter(F.size("embedding") == width)
+        n_blocks = n // QUERY_BLOCK + 1
+        for b in range(n_blocks):
+            block = same.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b).collect()
+            if block:
+                yield block
+
+
+def rejected_queries(queries: DataFrame, width: int) -> DataFrame:
+    """Queries that no search answers, with the reason."""
+    vector = F.col("embedding")
+    reason = (
+        F.when(vector.isNull(), "no vector")
+        .when(F.size(vector) != width, "other width")
+        .when(F.exists(vector, lambda x: x.isNull() | F.isnan(x)), "missing entries")
+        .when(~F.exists(vector, lambda x: x != 0), "zero vector")
+    )
+    return queries.withColumn("reason", reason).filter("reason IS NOT NULL")
 
 
 def vector_topk(
@@ -196,7 +218,6 @@ def pick_leaders(
     corpus: DataFrame, n: int, id_col: str = "thread_id", vector: str = "embedding", seed: str = "0"
 ) -> DataFrame:
     """``n`` vectors drawn by seeded hash, as leaders (leader_id, embedding)."""
-    n = min(n, MAX_LEADERS)
     usable = corpus.filter(F.exists(vector, lambda x: x != 0))
     draw = F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")))
     drawn = usable.select(draw.alias("_d"), id_col, vector).orderBy("_d", id_col).limit(n)
@@ -209,6 +230,8 @@ def follow_leaders(
 ) -> DataFrame:
     """Add ``leader_id`` of the nearest leader (lowest id on ties); a map-only pass.
 
+    All rows stay: one without a direction (NULL, zero, of another width) has no leader.
+
     Stored partitioned by ``leader_id`` (``write_layer``), a search reads only the
     clusters it probes.
     """
@@ -224,15 +247,20 @@ def follow_leaders(
         for batch in batches:
             for start in range(0, batch.num_rows, SCORE_ROWS):
                 part = batch.slice(start, SCORE_ROWS)
-                rows, good = _block(part.column(vector), width)
-                part = part.filter(pa.array(good))
-                nearest = ids[np.argmax(rows @ units, axis=1)]
+                column = part.column(vector)
+                fits = np.flatnonzero(column.value_lengths().fill_null(-1).to_numpy() == width)
+                leader = np.zeros(len(part), dtype=np.int32)
+                none = np.ones(len(part), dtype=bool)
+                if len(fits):
+                    rows, good = _block(column.take(pa.array(fits)), width)
+                    leader[fits[good]] = ids[np.argmax(rows @ units, axis=1)]
+                    none[fits[good]] = False
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(nearest, pa.int32())],
+                    [*part.columns, pa.array(leader, pa.int32(), mask=none)],
                     names=[*part.schema.names, "leader_id"],
                 )
 
-    return corpus.filter(F.size(vector) == width).mapInArrow(run, out)
+    return corpus.mapInArrow(run, out)
 
 
 def vector_topk_pruned(
@@ -251,7 +279,7 @@ def vector_topk_pruned(
     need = candidates or CANDIDATES_PER_K * k
     domain = options.get("domain", "l1_domain")
     group = ["leader_id", domain] if domain else ["leader_id"]
-    sizes = clustered.groupBy(*group).count().collect()  # at most leaders × domains rows
+    sizes = clustered.filter(F.col("leader_id").isNotNull()).groupBy(*group).count().collect()  # at most leaders × domains rows
     lead_ids = np.asarray([r["leader_id"] for r in leaders])
     units = _unit([r["embedding"] for r in leaders])
 

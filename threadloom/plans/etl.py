@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from threadloom.lineage import cut
 from threadloom.operators.messages import (
     bronze_messages,
     date_quality_report,
@@ -13,7 +15,9 @@ from threadloom.operators.messages import (
     enrich_time,
     flatten_messages,
     found_chats,
+    missing_chats,
 )
+from threadloom.operators.rollups import dropped_threads
 from threadloom.operators.threads import assign_threads
 from threadloom.operators.transcripts import gold_threads, messages_json
 from threadloom.sources.exports import read_export
@@ -25,6 +29,20 @@ class EtlResult:
     counts: DataFrame  # layer, row_count
     date_quality: DataFrame | None
     found_chats: DataFrame | None  # chat_name, row_count
+    missing_chats: DataFrame | None = None  # requested chats without messages
+    report: DataFrame | None = None  # what was read, what was left out and why
+
+
+def etl_report(messages: DataFrame, attached: DataFrame) -> DataFrame:
+    """(measure, value): messages, those without ids or thread, and dropped threads."""
+    unnamed = F.col("chat_id").isNull() | F.col("message_id").isNull()
+    read = messages.agg(
+        F.count("*").alias("messages"), F.count_if(unnamed).alias("without_id"),
+        F.count_if(F.col("date_timestamp").isNull()).alias("without_date"),
+    )
+    held = attached.agg(F.count("*").alias("in_a_thread"))
+    parts = [df.unpivot([], df.columns, "measure", "value") for df in (read, held, dropped_threads(attached))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def run_etl(
@@ -41,14 +59,19 @@ def run_etl(
         # Fewer read tasks than cores: spread the rows before they are written.
         silver = silver.hint("rebalance")
     written = {"messages": write_layer(silver, out, "messages")}
-    quality = found = None
+    quality = found = missing = report = None
     if written["messages"]:
         messages = read_layer(spark, out, "messages")
         quality, found = date_quality_report(messages), found_chats(messages)
         written["users"] = write_layer(distinct_users(messages), out, "users")
-        threads = messages_json(gold_threads(assign_threads(messages)))
+        attached = cut(assign_threads(messages), "attached")
+        threads = messages_json(gold_threads(attached))
         written["threads"] = write_layer(threads, out, "threads")
+        report = etl_report(messages, attached)
+        if chats is not None and (isinstance(chats, DataFrame) or chats):
+            wanted = chats if isinstance(chats, DataFrame) else spark.createDataFrame([(c,) for c in chats], "name string")
+            missing = missing_chats(wanted, messages)
     counts = [(n, written.get(n, 0)) for n in ("users", "threads", "messages")]
     return EtlResult(
-        spark.createDataFrame(counts, "layer string, row_count bigint"), quality, found
+        spark.createDataFrame(counts, "layer string, row_count bigint"), quality, found, missing, report
     )

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pyspark.sql import types as T
 
 from threadloom.schemas import EXPORT, USERS
 
@@ -17,6 +20,16 @@ def read_export(spark: SparkSession, path: str | list[str], multiline: bool = Tr
     return spark.read.schema(EXPORT).option("multiLine", multiline).json(path)
 
 
+def unreadable(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """Documents of an export that are no valid JSON: (document), one row each.
+
+    ``read_export`` gives no chats for them.
+    """
+    schema = T.StructType([*EXPORT.fields, T.StructField("document", T.StringType())])
+    rows = spark.read.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", "document").json(path)
+    return rows.filter(F.col("document").isNotNull() & F.col("chats").isNull()).select("document")
+
+
 def read_users_csv(spark: SparkSession, path: str) -> DataFrame:
     """User list as CSV with header, quotes doubled inside quoted fields."""
     return spark.read.schema(USERS).option("header", True).option("escape", '"').csv(path)

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from threadloom.lineage import cut
 from threadloom.operators.messages import dedupe
-from threadloom.operators.skew import holds_at_most
-
-BROADCAST_UPDATES = 10_000  # rows; they may carry long texts and vectors
+from threadloom.operators.skew import BROADCAST_BYTES, size_in_bytes
 
 
 def _path(base: str, name: str) -> str:
@@ -102,6 +100,16 @@ def append_layer(df: DataFrame, base: str, name: str, fmt: str = "parquet") -> N
     df.write.format(fmt).mode("append").save(_path(base, name))
 
 
+def one_per_key(rows: DataFrame, keys: list[str], order: list[Column | str] | None = None) -> DataFrame:
+    """The first row of each key under ``order``; without it the smallest by its other columns."""
+    others = [F.col(c).asc_nulls_last() for c in rows.columns if c not in keys and not _is_map(rows, c)]
+    return dedupe(rows, keys, order or others or list(keys))
+
+
+def _is_map(df: DataFrame, column: str) -> bool:
+    return "map<" in df.schema[column].dataType.simpleString()  # maps have no order
+
+
 def upsert(
     base: DataFrame, updates: DataFrame, keys: list[str], order: list[Column | str] | None = None
 ) -> DataFrame:
@@ -109,10 +117,10 @@ def upsert(
 
     An update sets the columns it carries, null included, and leaves the others;
     unknown keys are inserted. ``order`` picks the update that wins when a key
-    comes more than once (first under ``order``).
+    comes more than once (first under ``order``; without it the smallest by its
+    other columns), so keys stay unique.
     """
-    if order is not None:
-        updates = dedupe(updates, keys, order)
+    updates = one_per_key(updates, keys, order)
     new = cut(updates.withColumn("_updated", F.lit(True)), "updates")
     updated = F.col("u._updated").isNotNull()
 
@@ -129,7 +137,7 @@ def upsert(
     names = base.columns + [c for c in updates.columns if c not in base.columns]
     columns = [merged(n) for n in names]
     old, u = base.alias("b"), new.alias("u")
-    if not holds_at_most(new, BROADCAST_UPDATES):
+    if size_in_bytes(new) > BROADCAST_BYTES:
         return old.join(u, same_key("b"), "full_outer").select(*columns)
     # Few updates: the base is scanned in place instead of being shuffled.
     changed = old.join(F.broadcast(u), same_key("b"), "left").select(*columns)
@@ -147,7 +155,7 @@ def upsert_layer(
     """Upsert into a stored layer, creating it when absent; returns its row count."""
     spark = updates.sparkSession
     if not path_exists(spark, _path(base, name)):
-        return write_layer(dedupe(updates, keys, order) if order else updates, base, name)
+        return write_layer(one_per_key(updates, keys, order), base, name)
     return write_layer(upsert(read_layer(spark, base, name), updates, keys, order), base, name)
 
 
