@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from threadloom.lineage import cut, job
 from threadloom.operators import retrieval as Q
 from threadloom.operators.skew import broadcast_if_small
 from threadloom.operators.threads import assign_threads
 from threadloom.sources import layers as L
+from threadloom.sources.exports import read_export, unreadable
 
 
 def rows_of(df):
@@ -110,3 +112,39 @@ def test_broadcast_only_when_small(spark):
 def test_no_messages(spark):
     empty = spark.createDataFrame([], "chat_id bigint, message_id bigint, reply_to_message_id bigint")
     assert assign_threads(empty).isEmpty()
+
+
+def test_jobs_leave_no_folder(spark):
+    with job(spark):
+        df = cut(spark.range(5), "kept-while-open")
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        assert df.count() == 5 and L.path_exists(spark, path)
+    assert not L.path_exists(spark, path)
+    outside = cut(spark.range(2), "outside")
+    with pytest.raises(ValueError):
+        with job(spark):
+            path = cut(spark.range(5), "failing").inputFiles()[0].rsplit("/", 1)[0]
+            raise ValueError
+    assert not L.path_exists(spark, path) and outside.count() == 2
+
+
+def test_replaced_layer_leaves_nothing_behind(spark, tmp_path):
+    for n in (3, 4):
+        L.write_layer(spark.range(n), str(tmp_path), "t")
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        L.write_layer(broken, str(tmp_path), "t")
+    assert [p.name for p in tmp_path.iterdir()] == ["t"] and L.read_layer(spark, str(tmp_path), "t").count() == 4
+
+
+def test_sample_of_many_rows(spark, monkeypatch):
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("g"))
+    want = rows_of(Q.stratified_sample(df, "g", [F.desc("id")], 40))
+    monkeypatch.setattr(Q, "LIMITED_RANK", 10)
+    assert rows_of(Q.stratified_sample(df, "g", [F.desc("id")], 40)) == want and len(want) == 120
+
+
+def test_unreadable_documents_are_listed(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"chats": {"list": []}}\n{"chats": broken\n')
+    assert unreadable(spark, str(tmp_path), multiline=False).count() == 1
+    assert read_export(spark, str(tmp_path), multiline=False).count() == 2

@@ -8,11 +8,21 @@ keep every round's plan short.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 _local_fallback: dict[str, str] = {}
+_running = threading.local()  # .jobs: paths of this thread's running jobs, innermost last
+
+
+def _open_jobs() -> list[list[str]]:
+    if not hasattr(_running, "jobs"):
+        _running.jobs = []
+    return _running.jobs
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,9 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
     if folder:
+        if not local and ":" not in folder:
+            raise ValueError(f"{folder} names no file system; executors may not share it")
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_fallback:
@@ -35,7 +48,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/threadloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/threadloom/{label}-{uuid.uuid4().hex}"
+    if _open_jobs():
+        _open_jobs()[-1].append(path)
+    return path
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Deletes the paths made inside when it ends, also after a failure.
+
+    For jobs that write or collect their results before the end: what still reads
+    a path made inside cannot run afterwards.
+    """
+    paths: list[str] = []
+    _open_jobs().append(paths)
+    try:
+        yield
+    finally:
+        _open_jobs().pop()
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut(df: DataFrame, label: str, observation: Observation | None = None, *metrics) -> DataFrame:

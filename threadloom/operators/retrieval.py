@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 
 RANDOM_SAMPLE = 100  # fixed value: default sample size
 PER_STRATUM = 5  # fixed value: default rows per stratum
+LIMITED_RANK = 1_000  # Spark limits ranks before the shuffle up to here
+SALTS = 64
 HIDDEN = ("_id",)  # store ids, left out unless asked for
 
 
@@ -70,10 +72,16 @@ def stratified_sample(
     """The first ``n`` rows of each group; rows without a group are left out.
 
     The rank limit also runs before the shuffle: a group of any size sends at
-    most ``n`` rows per input partition.
+    most ``n`` rows per input partition. Spark does so for small ``n`` only; for larger
+    ones a group is ranked in ``SALTS`` parts first, which gives the same rows.
     """
+    rows = df.filter(F.col(by).isNotNull())
+    if n > LIMITED_RANK:
+        part = W.partitionBy(by, "_salt").orderBy(*order)
+        rows = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        rows = rows.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= n).drop("_salt")
     rank = F.row_number().over(W.partitionBy(by).orderBy(*order))
-    rows = df.filter(F.col(by).isNotNull()).withColumn("_rank", rank)
+    rows = rows.withColumn("_rank", rank)
     return rows.filter(F.col("_rank") <= n).drop("_rank")
 
 

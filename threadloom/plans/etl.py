@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.lineage import cut
+from threadloom.lineage import cut, job
 from threadloom.operators.messages import (
     bronze_messages,
     date_quality_report,
@@ -52,7 +52,17 @@ def run_etl(
     out: str,
     multiline: bool = True,
 ) -> EtlResult:
-    """Read the export once, store the messages, derive the rest from the stored table."""
+    """Read the export once, store the messages, derive the rest from the stored table.
+
+    Intermediate tables are deleted when the run ends.
+    """
+    with job(spark):
+        return _run_etl(spark, path, chats, out, multiline)
+
+
+def _run_etl(
+    spark: SparkSession, path: str | list[str], chats: list[str] | DataFrame | None, out: str, multiline: bool
+) -> EtlResult:
     export = read_export(spark, path, multiline)
     silver = enrich_time(flatten_messages(bronze_messages(export, chats)))
     if export.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
@@ -67,7 +77,8 @@ def run_etl(
         attached = cut(assign_threads(messages), "attached")
         threads = messages_json(gold_threads(attached))
         written["threads"] = write_layer(threads, out, "threads")
-        report = etl_report(messages, attached)
+        rows = [tuple(r) for r in etl_report(messages, attached).collect()]  # one per measure
+        report = spark.createDataFrame(rows, "measure string, value bigint")
         if chats is not None and (isinstance(chats, DataFrame) or chats):
             wanted = chats if isinstance(chats, DataFrame) else spark.createDataFrame([(c,) for c in chats], "name string")
             missing = missing_chats(wanted, messages)

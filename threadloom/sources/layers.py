@@ -37,7 +37,7 @@ def write_layer(
 
     The rows are written beside the layer, counted on the way, and moved into
     place only when complete, so a failed or empty run leaves the old layer as it
-    was, and ``df`` may read the layer it replaces.
+    was (set aside under ``_old-…`` should the driver die between two renames), and ``df`` may read the layer it replaces.
     """
     if df is None:
         return 0
@@ -45,21 +45,31 @@ def write_layer(
     staging = _path(base, f"_staging-{name}-{uuid.uuid4().hex}")
     seen = Observation()
     rows = df.observe(seen, F.count("*").alias("rows"))
-    if partition_by:
-        # Few files per folder; a folder with much data is still written by many tasks.
-        rows.hint("rebalance", *partition_by).write.format(fmt).partitionBy(*partition_by).save(staging)
-    else:
-        rows.write.format(fmt).save(staging)
-    count = seen.get["rows"]
     new, fs = _files(spark, staging)
+    try:
+        if partition_by:
+            # Few files per folder; a folder with much data is still written by many tasks.
+            rows.hint("rebalance", *partition_by).write.format(fmt).partitionBy(*partition_by).save(staging)
+        else:
+            rows.write.format(fmt).save(staging)
+    except Exception:
+        fs.delete(new, True)
+        raise
+    count = seen.get["rows"]
     if count == 0:
         fs.delete(new, True)
         return 0
     target, _ = _files(spark, _path(base, name))
-    if fs.exists(target):
-        fs.delete(target, True)
+    old, _ = _files(spark, _path(base, f"_old-{name}-{uuid.uuid4().hex}"))
+    replaces = fs.exists(target)
+    if replaces and not fs.rename(target, old):
+        raise OSError(f"could not set {_path(base, name)} aside")
     if not fs.rename(new, target):
+        if replaces:
+            fs.rename(old, target)
         raise OSError(f"could not move {staging} to {_path(base, name)}")
+    if replaces:
+        fs.delete(old, True)
     spark.catalog.refreshByPath(_path(base, name))
     return count
 

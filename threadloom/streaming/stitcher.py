@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadloom.lineage import cut
+from threadloom.lineage import cut, job
 from threadloom.operators.threads import attach, dedupe_messages, identified, parent_id, resolve_targets
 from threadloom.sources.layers import _files, path_exists
 
@@ -43,7 +43,15 @@ def _last_pending(spark: SparkSession, state: str, before: int | None = None) ->
 
 
 def stitch_batch(batch: DataFrame, batch_id: int, state: str) -> None:
-    """Place the batch and every waiting message it releases."""
+    """Place the batch and every waiting message it releases.
+
+    What a batch writes besides the state is deleted when it ends.
+    """
+    with job(batch.sparkSession):
+        _stitch(batch, batch_id, state)
+
+
+def _stitch(batch: DataFrame, batch_id: int, state: str) -> None:
     spark = batch.sparkSession
     arrived = identified(batch).select(*KEY, "reply_to_message_id")
     waiting = _last_pending(spark, state, batch_id)
