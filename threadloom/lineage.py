@@ -61,15 +61,29 @@ def job(spark: SparkSession) -> Iterator[None]:
     For jobs that write or collect their results before the end: what still reads
     a path made inside cannot run afterwards.
     """
+    with recorded() as paths:
+        try:
+            yield
+        finally:
+            drop(spark, paths)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Lists the paths made inside, for a later ``drop``."""
     paths: list[str] = []
     _open_jobs().append(paths)
     try:
-        yield
+        yield paths
     finally:
         _open_jobs().pop()
-        for path in paths:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes intermediate tables; those that are gone already are passed over."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut(df: DataFrame, label: str, observation: Observation | None = None, *metrics) -> DataFrame:
