@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from threadloom.lineage import cut
+from threadloom.lineage import cut, fresh_path, job
 from threadloom.llm.components import components
 
 HASHES, BITS, ROWS, BANDS = 128, 4, 4, 32
@@ -163,7 +163,7 @@ def is_linked(a: np.ndarray, b: np.ndarray, p: NearParams) -> bool:
 # ---- trees over a run of members
 
 def tree_by_signature(side: np.ndarray, codes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, p: NearParams) -> list[tuple[int, int]]:
-    """Edges that connect whatever candidate pairs connect; each member is looked at once."""
+    """Stars over whatever candidate pairs connect; each member is looked at once."""
     edges, waiting = [], np.ones(len(codes), bool)
     for start in range(len(codes)):
         if not waiting[start]:
@@ -177,13 +177,13 @@ def tree_by_signature(side: np.ndarray, codes: np.ndarray, sizes: np.ndarray, la
                 break
             near = rest[candidates(codes[i:i + 1], sizes[i:i + 1], codes[rest], sizes[rest], p)[0]]
             waiting[near] = False
-            edges += [(i, j) for j in near.tolist()]
+            edges += [(start, j) for j in near.tolist()]
             front += near.tolist()
     return edges
 
 
 def tree_by_sets(side: np.ndarray, codes: np.ndarray, sizes: np.ndarray, labels: np.ndarray, p: NearParams, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Confirmed links that connect whatever confirmed links connect."""
+    """Stars over whatever confirmed links connect."""
     parent = list(range(len(sets)))
     first: dict[bytes, int] = {}
     for i, label in enumerate(labels):  # members of one part are connected already
@@ -196,7 +196,6 @@ def tree_by_sets(side: np.ndarray, codes: np.ndarray, sizes: np.ndarray, labels:
             i = parent[i]
         return i
 
-    edges = []
     for i in range(len(sets)):
         for j in np.flatnonzero(candidates(codes[i:i + 1], sizes[i:i + 1], codes[i + 1:], sizes[i + 1:], p)[0]).tolist():
             j += i + 1
@@ -205,8 +204,7 @@ def tree_by_sets(side: np.ndarray, codes: np.ndarray, sizes: np.ndarray, labels:
             a, b = root(i), root(j)
             if a != b and is_linked(sets[i], sets[j], p):
                 parent[b] = a
-                edges.append((i, j))
-    return edges
+    return [(root(i), i) for i in range(len(sets)) if root(i) != i]
 
 
 FIELDS = ["group", "part", "side", "id", "label", "size", "code"]
@@ -338,16 +336,10 @@ def near_duplicates(docs: DataFrame, p: NearParams | None = None, id_col: str =
         F.min("id").alias("least"), F.min("near").alias("near"), F.first("n_shingles").alias("size"), F.first("code").alias("code"), F.first("bands").alias("bands")
     )
     classes = cut(classes, "classes")
-    banded = classes.select(F.explode("bands").alias("group"), F.col("set").alias("id"))
-    shared = banded.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
-    banded = cut(banded.join(shared, "group"), "buckets")
-    signed = banded.join(classes.select(F.col("set").alias("id"), "size", "code"), "id")
-    families = components(connected(signed, p, exact=False, block=BUCKET_BLOCK)).withColumnRenamed("label", "group")
-    texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("near"), F.col(text_col).alias("text")
-    )
-    members = families.join(classes.select(F.col("set").alias("id"), "near", "size", "code"), "id").join(texts, "near").drop("near")
-    linked = components(connected(cut(members, "families"), p, exact=True, block=FAMILY_BLOCK))
+    path = fresh_path(docs.sparkSession, "linked")
+    with job(docs.sparkSession):  # buckets, families and rounds go when the links are written
+        linked_classes(docs, classes, p, id_col, text_col).write.parquet(path)
+    linked = docs.sparkSession.read.schema("id binary, label binary").parquet(path)
     named = classes.select("set", "least").join(linked.withColumnRenamed("id", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = named.join(names, "label").select("set", "component_id")
@@ -357,3 +349,17 @@ def near_duplicates(docs: DataFrame, p: NearParams | None = None, id_col: str =
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
     )
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, p: NearParams, id_col: str, text_col: str) -> DataFrame:
+    """(id, label) of the classes that have confirmed links."""
+    banded = classes.select(F.explode("bands").alias("group"), F.col("set").alias("id"))
+    shared = banded.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
+    banded = cut(banded.join(shared, "group"), "buckets")
+    signed = banded.join(classes.select(F.col("set").alias("id"), "size", "code"), "id")
+    families = components(connected(signed, p, exact=False, block=BUCKET_BLOCK)).withColumnRenamed("label", "group")
+    texts = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("near"), F.col(text_col).alias("text")
+    )
+    members = families.join(classes.select(F.col("set").alias("id"), "near", "size", "code"), "id").join(texts, "near").drop("near")
+    return components(connected(cut(members, "families"), p, exact=True, block=FAMILY_BLOCK))
