@@ -99,3 +99,13 @@ def test_redact(spark):
     assert out[160].text is None and out[160].n_chars == 0
     for i, t in enumerate(rows[:160]):
         assert (out[i].text == t) == (not slow_base(t)) and not slow_base(out[i].text) and out[i].spans == "kept"
+
+
+def test_short_and_plain_formats_are_scored(spark):
+    rng = random.Random(4)
+    letters = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = texts(rng) + [f"password={letters(rng.randint(12, 15))}" for _ in range(100)] + [f"see {letters(15)} here" for _ in range(5)]
+    df = spark.createDataFrame([(i, t, len(t), "kept") for i, t in enumerate(rows)], SCHEMA)
+    out = {r.doc_id: r.spans for r in sg.scan(df).collect()}
+    assert sum(out[i] == "grammar:4:19" for i in range(260, 265)) >= 4
+    assert not any("grammar" in out[i] for i in range(160))

@@ -5,9 +5,8 @@ bounded draw of them, one probabilistic automaton per kind is inferred: the
 prefix tree of their formats (strings of character classes), in which states
 with statistically compatible futures are merged. A background model of class
 pairs is counted over all other tokens of all documents. Every token that is no
-base finding, has a letter and a digit and is long enough is a candidate; it is
-added if its likelihood as a credential exceeds that as an ordinary token by the
-odds that nearly all labelled credentials reach.
+base finding is a candidate; it is added if its likelihood as a credential exceeds
+that as an ordinary token by the odds that nearly all labelled credentials reach.
 
 Defined cases: NULL text is empty and has no findings; without labelled
 credentials nothing is added. Repeated rows are scanned and labelled repeatedly,
@@ -49,16 +48,16 @@ END = "$"
 @dataclass(frozen=True)
 class GrammarParams:
     """``per_kind``: labelled credentials drawn per kind, of ``longest`` characters at
-    most. ``alpha``: chance of splitting equal states. ``shortest``: characters of a
-    candidate. ``odds``: least log-odds; ``share`` of the labelled ones must pass the
-    limit that is used."""
+    most. ``alpha``: chance of splitting equal states. ``odds``: least log-odds;
+    ``share`` of the labelled ones must pass the limit that is used. ``known``: formats
+    whose verdict a task remembers."""
 
     per_kind: int = 400
     longest: int = 128
     alpha: float = 0.05
-    shortest: int = 16
     odds: float = 8.0
     share: float = 0.99
+    known: int = 100_000
 
 
 # ---- base findings
@@ -191,22 +190,28 @@ class Grammar:
         }
         scores = np.sort([self.odds(f) for v in formats.values() for f in v])
         self.limit = max(p.odds, float(scores[int(len(scores) * (1 - p.share))])) if len(scores) else math.inf
+        self.verdicts: dict[str, bool] = {}
 
     def odds(self, f: str) -> float:
         """Log-odds of a format: best automaton against background."""
         background = sum(self.pair[a, b] for a, b in zip(["", *f], [*f, END]))
         return max(a.log_likelihood(f) for a in self.automata) - background
 
+    def likely(self, token: str) -> bool:
+        """Whether the format reaches the limit; formats recur, so verdicts are kept."""
+        f = token.translate(_FORMAT)
+        if len(f) > self.params.longest:
+            return self.odds(f) >= self.limit
+        if f not in self.verdicts:
+            if len(self.verdicts) >= self.params.known:
+                self.verdicts.clear()
+            self.verdicts[f] = self.odds(f) >= self.limit
+        return self.verdicts[f]
+
     def added(self, text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
         if not self.automata:
             return []
-        found = []
-        for start, end, token in other_tokens(text, base):
-            if end - start >= self.params.shortest:
-                f = token.translate(_FORMAT)
-                if "d" in f and ("x" in f or "l" in f or "U" in f) and self.odds(f) >= self.limit:
-                    found.append((start, 3, end, token))
-        return found
+        return [(start, 3, end, token) for start, end, token in other_tokens(text, base) if self.likely(token)]
 
 
 # ---- Spark side
