@@ -109,3 +109,15 @@ def test_short_and_plain_formats_are_scored(spark):
     out = {r.doc_id: r.spans for r in sg.scan(df).collect()}
     assert sum(out[i] == "grammar:4:19" for i in range(260, 265)) >= 4
     assert not any("grammar" in out[i] for i in range(160))
+
+
+def test_rest_of_a_partly_covered_token(spark):
+    rng = random.Random(5)
+    rest = [mixed(rng, 40) for _ in range(30)]
+    rows = texts(rng) + [f"id AKIA{'ABCDEFGHIJKLMNOP'}{'/='[i % 2]}{x} end" for i, x in enumerate(rest[:20])]
+    rows += [f"id xoxb-{hexes(rng, 16)}-{x} end" for x in rest[20:]]
+    df = spark.createDataFrame([(i, t, len(t), "kept") for i, t in enumerate(rows)], SCHEMA)
+    out = {r.doc_id: r.text for r in sg.redact(df, length_col="n_chars").collect()}
+    assert sum(x in out[160 + i] for i, x in enumerate(rest)) <= 1
+    found = {r.doc_id: r for r in sg.scan(df).collect()}
+    assert all(found[i].n_access == 1 for i in range(160, 180)) and all(found[i].n_hex == 1 for i in range(180, 190))

@@ -4,8 +4,8 @@ Three patterns give the base findings, which are labelled credentials. From a
 bounded draw of them, one probabilistic automaton per kind is inferred: the
 prefix tree of their formats (strings of character classes), in which states
 with statistically compatible futures are merged. A background model of class
-pairs is counted over all other tokens of all documents. Every token that is no
-base finding is a candidate; it is added if its likelihood as a credential exceeds
+pairs is counted over all other tokens of all documents. Every token that base
+findings do not cover is a candidate, whole and what they leave of it; it is added if its likelihood as a credential exceeds
 that as an ordinary token by the odds that nearly all labelled credentials reach.
 
 Defined cases: NULL text is empty and has no findings; without labelled
@@ -39,7 +39,8 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 
 # Character classes of a format: digit, a-f, other lower case, upper case, and every sign for itself.
 _CLASS = {c: "d" for c in "0123456789"} | {c: "x" for c in "abcdef"} | {c: "l" for c in "ghijklmnopqrstuvwxyz"}
-_CLASS |= {c: "U" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: c for c in "+/_.=-"}
+SIGNS = "+/_.=-"
+_CLASS |= {c: "U" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: c for c in SIGNS}
 _FORMAT = str.maketrans(_CLASS)
 SYMBOLS = sorted(set(_CLASS.values()))
 END = "$"
@@ -70,15 +71,29 @@ def base_findings(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def other_tokens(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
-    """Tokens that no base finding touches."""
-    spans, at, reach = base, 0, 0
+def tokens(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, end, parts) of every token; ``parts`` lie outside the base findings."""
+    at, open_ = 0, []  # findings that may reach into this token or a later one
     for m in TOKEN.finditer(text):
-        while at < len(spans) and spans[at][0] < m.end():
-            reach = max(reach, spans[at][2])
+        while at < len(base) and base[at][0] < m.end():
+            open_.append((base[at][0], base[at][2]))
             at += 1
-        if reach <= m.start():
-            yield m.start(), m.end(), m.group()
+        parts, free = [], m.start()
+        for start, end in open_:
+            if start > free:
+                parts.append((free, start))
+            free = max(free, end)
+        if free < m.end():
+            parts.append((free, m.end()))
+        open_ = [x for x in open_ if x[1] > m.end()]
+        yield m.start(), m.end(), parts
+
+
+def other_tokens(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
+    """Tokens that no base finding touches."""
+    for start, end, parts in tokens(text, base):
+        if parts == [(start, end)]:
+            yield start, end, text[start:end]
 
 
 # ---- automata
@@ -211,7 +226,17 @@ class Grammar:
     def added(self, text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
         if not self.automata:
             return []
-        return [(start, 3, end, token) for start, end, token in other_tokens(text, base) if self.likely(token)]
+        found = []
+        for start, end, parts in tokens(text, base):
+            # What base findings leave of a token is a candidate too, with and without the signs that join it to them.
+            if parts and self.likely(text[start:end]):
+                found.append((start, 3, end, text[start:end]))
+            elif parts != [(start, end)]:
+                for a, b in parts:
+                    rest = text[a:b]
+                    if self.likely(rest) or ((bare := rest.strip(SIGNS)) != rest and self.likely(bare)):
+                        found.append((a, 3, b, rest))
+        return found
 
 
 # ---- Spark side
