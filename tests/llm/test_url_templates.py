@@ -44,3 +44,25 @@ def test_empty_and_deep(spark):
     assert judge_urls(spark.createDataFrame([], SCHEMA), RULES).count() == 0
     out = judged(spark, ["http://h.org/" + "a/" * 20000])
     assert out[0].template.endswith("/**")
+
+
+def letters(i):
+    return "".join("abcdefghij"[int(c)] for c in f"{i:03d}")
+
+
+def test_rare_sections_with_labels_stay_literal(spark):
+    urls = [f"http://a.net/es/{i}" for i in range(4)] + [f"http://a.net/fr/{i}" for i in range(4)]
+    urls += [f"http://a.net/{letters(i)}/{j}" for i in range(60) for j in range(4)]
+    urls += [f"http://b.example.com/en/{i}" for i in range(4)] + [f"http://b.example.com/{letters(i)}/{j}" for i in range(60) for j in range(4)]
+    out = judged(spark, urls)
+    assert out[0].template == "/es/{n}" and out[7].template == "/fr/{n}"
+    assert {out[i].template for i in range(8, 248)} == {"/{w}/{n}"}
+    assert {out[i].verdict for i in range(8, 248)} == {"allow"}
+    assert out[248].template == "/en/{n}" and out[248].verdict == "block"
+
+
+def test_large_sections_stay_literal_whatever_their_number(spark):
+    urls = [f"http://s.org/{letters(i)}/{j}" for i in range(40) for j in range(100)] + [f"http://s.org/{letters(500 + i)}/1" for i in range(40)]
+    out = judged(spark, urls)
+    assert len({out[i].template for i in range(4000)}) == 40
+    assert {out[i].template for i in range(4000, 4040)} == {"/{w}/{n}"}

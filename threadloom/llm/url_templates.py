@@ -1,7 +1,7 @@
 """URL filter by a path-template tree.
 
 Every host has a tree of path templates. A segment that is rare among its
-siblings becomes a typed wildcard; templates that differ in their last literal
+siblings, in count and share, and labelled as they are becomes a typed wildcard; templates that differ in their last literal
 only are merged where their labels do not differ by more than chance; and a
 template is rejected by its smoothed share of blocked pages. Pages that a rule
 decides are the labelled ones. Everything is plain DataFrame work.
@@ -42,12 +42,14 @@ class Rule:
 @dataclass(frozen=True)
 class TreeParams:
     """``depth``: segments beyond it are one tail. A segment stays literal if it
-    holds at least ``1 / share`` of the pages at its place. ``chance``: squared
-    Hoeffding factor, ln(2 / 0.05) / 2 by default. ``weight``: pages that the
+    holds at least ``1 / share`` of the pages at its place, or ``support`` pages, or
+    if its labels differ from those of its siblings by more than chance. ``chance``:
+    squared Hoeffding factor, ln(2 / 0.05) / 2 by default. ``weight``: pages that the
     prior counts for. Templates above ``limit`` are blocked."""
 
     depth: int = 8
     share: int = 20
+    support: int = 100
     chance: float = 1.8444397270569681
     weight: float = 10.0
     limit: float = 0.5
@@ -118,30 +120,45 @@ def judge_urls(
     ).withColumn("kinds", F.transform("segments", _kind))
     parsed = parsed.withColumn("places", _places(F.col("segments"), F.col("kinds")))
 
-    # Segments frequent enough at their place stay literal: at most `share` per place and host.
-    counts = parsed.select("host", F.explode("places").alias("place")).groupBy("host", "place").agg(F.count("*").alias("n"))
+    # Segments with enough pages at their place, or with labels of their own, stay literal. They are joined as rows.
+    paths = parsed.groupBy("host", "path").agg(
+        F.count("*").alias("pages"), F.count("known").alias("n"), F.count(F.when(F.col("known") == "block", 1)).alias("b"),
+        F.first("places").alias("places"),
+    )
+    at_places = paths.select("host", "path", "pages", "n", "b", F.posexplode("places").alias("i", "place"))
+    counts = at_places.groupBy("host", "place").agg(F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.sum("b").alias("b"))
     counts = counts.withColumn("node", F.regexp_extract("place", "^([^>]*)>", 1))
-    totals = counts.groupBy("host", "node").agg(F.sum("n").alias("total"))
+    totals = counts.groupBy("host", "node").agg(F.sum("pages").alias("all_pages"), F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
+
+    def apart(some: str, of: str) -> Column:
+        """Hoeffding test of a segment's share against that of its siblings."""
+        n, rest = F.nullif(F.col(of), F.lit(0)), F.nullif(F.col(f"all_{of}") - F.col(of), F.lit(0))
+        gap = F.col(some) / n - (F.col(f"all_{some}") - F.col(some)) / rest
+        return F.coalesce(gap * gap > F.lit(p.chance) * (1.0 / n + 1.0 / rest), F.lit(False))
+
+    # Blocked ones of the ruled pages, and ruled and blocked ones of all: siblings without a rule are no siblings of blocked pages.
+    differs = apart("b", "n") | apart("n", "pages") | apart("b", "pages")
     literals = (
         counts.join(totals, ["host", "node"])
-        .filter((F.col("n") * p.share >= F.col("total")) & ~F.regexp_extract("place", "^[^>]*>(.*)$", 1).rlike("[0-9]"))
-        .groupBy("host").agg(F.collect_set("place").alias("literals"))
+        .filter((F.col("pages") * p.share >= F.col("all_pages")) | (F.col("pages") >= p.support) | differs)
+        .select("host", "place")
+    )
+    named = ~F.regexp_extract("place", "^[^>]*>(.*)$", 1).rlike("[0-9]")
+    kept = (
+        at_places.filter(named).select("host", "path", "i", "place").join(literals.filter(named), ["host", "place"])
+        .groupBy("host", "path").agg(F.collect_set("i").alias("literals"))
     )
     template = F.concat(
         F.lit("/"),
         F.array_join(
             F.transform(
-                "segments",
-                lambda s, i: F.when(
-                    F.array_contains("literals", F.element_at("places", i + 1)), s
-                ).otherwise(F.element_at("kinds", i + 1)),
+                "segments", lambda s, i: F.when(F.array_contains("literals", i), s).otherwise(F.element_at("kinds", i + 1))
             ),
             "/",
         ),
     )
-    placed = parsed.join(literals, "host", "left").select(
-        id_col, "host", "path", "rule", "known",
-        F.when(F.col("path") == "", F.lit("")).otherwise(F.coalesce(template, F.concat(F.lit("/"), F.array_join("kinds", "/")))).alias("template"),
+    placed = parsed.join(kept, ["host", "path"], "left").select(
+        id_col, "host", "path", "rule", "known", F.when(F.col("path") == "", F.lit("")).otherwise(template).alias("template"),
     )
     judged = _judge_templates(placed, p)
     return placed.join(judged, ["host", "template"], "left").select(
