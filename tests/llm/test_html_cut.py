@@ -79,3 +79,25 @@ def test_edge_cases(spark):
     out = sorted(hc.extract(spark.createDataFrame([(*r, "clash", 5) for r in rows], schema)).collect(), key=lambda r: r.n_chars)
     assert [r.text for r in out[:3]] == [""] * 3 and out[3].page_id is None and out[4].text.count("\n") == 2999
     assert hc.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+TWO = "A long enough sentence of the article, with a point. And one more of them."
+
+
+@pytest.mark.parametrize("page", [
+    f"<html class='no-ads'><body class='page no-sidebar'><article>{ARTICLE}{ARTICLE}</article></body></html>",
+    f"<body><main class='content with-sidebar'>{ARTICLE}{ARTICLE}</main></body>",
+    f"<body><article id='comment-policy'>{ARTICLE}{ARTICLE}</article></body>",
+    f"<body><form id='aspnetForm'><nav>Menu</nav><article>{ARTICLE}{ARTICLE}</article></form></body>",
+    f"<body><form><nav>Menu</nav><div>{ARTICLE}{ARTICLE}</div></form></body>",
+    f"<body class='no-sidebar'><div>{ARTICLE}{ARTICLE}</div></body>",
+    f"<body><div class='page with-sidebar'><article>{ARTICLE}{ARTICLE}</article></div></body>",
+])
+def test_names_and_forms_around_the_page(page):
+    assert main(page) == f"{TWO}\n{TWO}"
+
+
+def test_named_prose_is_left_to_the_cut():
+    section = f"<section id='related-work'>{ARTICLE * 3}</section>"
+    page = f"<article>{ARTICLE}{section}{ARTICLE}<div class='ad'>Buy this.</div>{ARTICLE}<ul class='share'><li><a href=x>Share</a></li></ul></article><div id='sidebar'><a href=y>More</a></div>"
+    assert main(page) == "\n".join([TWO] * 6)

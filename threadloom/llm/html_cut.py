@@ -6,9 +6,12 @@ costs are terminal capacities. Neighbouring blocks, and blocks that follow each
 other under one parent, are tied by smoothness edges. The minimum cut separates
 content from boilerplate.
 
-Blocks inside navigation, footers, page headers, asides, forms, and elements
-whose class or id names an advert, menu, notice, comment and the like are
+Blocks inside navigation, footers, page headers, asides and hidden elements are
 boilerplate for certain; scripts, styles and other unseen elements give no text.
+Standing in a form, or in an element whose class, id or role names an advert, menu,
+notice, comment and the like, costs a block something, and the cut decides. Names of
+html, body, main and article say nothing, nor do a form or names around all of the
+page or its article.
 
 Text: character references decoded, white space in a block one blank, blocks
 trimmed and joined by line breaks in page order. Defined cases: NULL html is
@@ -44,8 +47,9 @@ BLOCK = set(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td "
     "tfoot th thead tr ul".split()
 )
-CERTAIN = set("nav footer aside form menu dialog head button".split())
+CERTAIN = set("nav footer aside menu dialog head button".split())
 CONTENT = set("article main".split())
+WHOLE = CONTENT | {"html", "body"}  # their names say nothing
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # What an opening tag ends, up to the element that bounds the search.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
@@ -66,6 +70,7 @@ class Block:
     certain: bool  # boilerplate for certain
     inside: bool  # in an article or main element
     linked: int  # characters in links
+    hinted: bool  # in a form or an element with one of the names
 
 
 @dataclass
@@ -75,24 +80,27 @@ class _Node:
     certain: bool
     inside: bool
     link: bool
+    hinted: bool = False
 
 
-def _flags(tag: str, attributes: str, up: _Node) -> tuple[bool, bool]:
+def _flags(tag: str, attributes: str, up: _Node) -> tuple[bool, bool, bool]:
     inside = up.inside or tag in CONTENT
     certain = up.certain or tag in CERTAIN or (tag == "header" and not up.inside)
+    hinted = up.hinted or tag == "form"
     if attributes and not certain:
         for m in NAMES.finditer(attributes):
             name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
             if name in ("class", "id", "role"):
-                words = {w.lower() for w in WORD.findall(value)}
-                certain |= bool(words & HINTS) or (bool(words & EDGE_HINTS) and not inside)
+                if tag not in WHOLE:
+                    words = {w.lower() for w in WORD.findall(value)}
+                    hinted |= bool(words & HINTS) or (bool(words & EDGE_HINTS) and not inside)
             elif name == "hidden":
                 certain = True
             elif name == "aria-hidden":
                 certain |= value.lower() == "true"
             else:
                 certain |= "display:none" in value.lower().replace(" ", "")
-    return certain, inside
+    return certain, inside, hinted
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -108,20 +116,21 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, home.tag, home.number, home.certain, home.inside, linked))
+            out.append(Block(text, home.tag, home.number, home.certain, home.inside, linked, home.hinted))
         parts, linked = [], 0
 
     def say(text: str) -> None:
         nonlocal home, linked
         if not text:
             return
-        if not parts or stack[-1].certain != home.certain:
-            end_block()  # an inline element that is boilerplate stands by itself
+        top = stack[-1]
+        if not parts or (top.certain, top.hinted) != (home.certain, home.hinted):
+            end_block()  # an inline element that is or may be boilerplate stands by itself
             home = next((n for n in reversed(stack) if n.tag in BLOCK or not n.tag), root)
-            if stack[-1].certain != home.certain:
-                home = _Node(home.tag, home.number, stack[-1].certain, home.inside, False)
+            if (top.certain, top.hinted) != (home.certain, home.hinted):
+                home = _Node(home.tag, home.number, top.certain, home.inside, False, top.hinted)
         parts.append(text)
-        if stack[-1].link:
+        if top.link:
             linked += len(text)
 
     at, size = 0, len(page)
@@ -142,7 +151,7 @@ def blocks_of(page: str) -> list[Block]:
             elif any(n.tag == tag for n in stack):
                 while True:
                     gone = stack.pop()
-                    if gone.tag in BLOCK or gone.certain:
+                    if gone.tag in BLOCK or gone.certain or gone.hinted:
                         end_block()
                     if gone.tag == tag:
                         break
@@ -177,8 +186,8 @@ def blocks_of(page: str) -> list[Block]:
                         del stack[k:]
                         break
         up = stack[-1]
-        certain, inside = _flags(tag, m.group(3), up)
-        stack.append(_Node(tag, made, certain, inside, up.link or tag == "a"))
+        certain, inside, hinted = _flags(tag, m.group(3), up)
+        stack.append(_Node(tag, made, certain, inside, up.link or tag == "a", hinted))
         made += 1
     end_block()
     return out
@@ -226,13 +235,15 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 class CutParams:
     """``pages``: about as many are drawn for training, ``per_page`` blocks of each at most.
     ``adjacent``, ``sibling``: smoothness. ``article``: what standing inside or outside
-    an article adds to a block's cost, on pages that have one."""
+    an article adds to a block's cost, on pages that have one. ``hint``: what a form or
+    name adds to the cost of content; it also takes the article's part away."""
 
     pages: int = 400
     per_page: int = 40
     adjacent: float = 0.7
     sibling: float = 0.7
     article: float = 6.0
+    hint: float = 3.0
     certain: float = 1e6
     largest: float = 8.0
 
@@ -362,11 +373,17 @@ def content(page: str, weights: np.ndarray, p: CutParams) -> str:
     if not blocks:
         return ""
     unary = np.clip(features(blocks) @ weights, -p.largest, p.largest)
-    if any(b.inside and not b.certain for b in blocks):
-        unary += np.where([b.inside for b in blocks], p.article, -p.article)
-        inside = np.array([b.inside for b in blocks])
-        unary = np.where(inside, np.maximum(unary, -0.5), np.minimum(unary, 0.5))
-    unary[[b.certain for b in blocks]] = -p.certain
+    inside = np.array([b.inside for b in blocks])
+    certain = np.array([b.certain for b in blocks])
+    hinted = np.array([b.hinted for b in blocks])
+    core = inside & ~certain if (inside & ~certain).any() else ~certain
+    if hinted[core].all():  # names around all of it tell nothing apart
+        hinted = hinted & ~core
+    if (inside & ~certain).any():
+        bonus = np.where(inside, np.maximum(unary + p.article, -0.5), np.minimum(unary - p.article, 0.5))
+        unary = np.where(inside & hinted, unary, bonus)
+    unary = unary - p.hint * hinted
+    unary[certain] = -p.certain
     keep = minimum_cut(unary, ties_of(blocks, p))
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 
@@ -386,9 +403,9 @@ def train(pages: DataFrame, p: CutParams, id_col: str = "page_id", html_col: str
                 blocks = blocks_of(page or "")
                 if any(b.inside for b in blocks) and len(blocks):
                     x = features(blocks)
-                    named = [i for i, b in enumerate(blocks) if b.inside or b.certain]
+                    named = [i for i, b in enumerate(blocks) if b.inside or b.certain or b.hinted]
                     step = -(-len(named) // p.per_page)
-                    rows += [[float(blocks[i].inside and not blocks[i].certain), *x[i]] for i in named[::max(1, step)]]
+                    rows += [[float(blocks[i].inside and not blocks[i].certain and not blocks[i].hinted), *x[i]] for i in named[::max(1, step)]]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["row"])
 
     drawn = pages.filter(F.substring(turn, 1, 8) <= limit).select(html_col)
