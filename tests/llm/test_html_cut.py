@@ -101,3 +101,10 @@ def test_named_prose_is_left_to_the_cut():
     section = f"<section id='related-work'>{ARTICLE * 3}</section>"
     page = f"<article>{ARTICLE}{section}{ARTICLE}<div class='ad'>Buy this.</div>{ARTICLE}<ul class='share'><li><a href=x>Share</a></li></ul></article><div id='sidebar'><a href=y>More</a></div>"
     assert main(page) == "\n".join([TWO] * 6)
+
+
+@pytest.mark.parametrize("tag", ["video", "audio", "object", "canvas", "svg", "noscript", "select"])
+def test_unclosed_unseen_elements_end_with_their_parent(tag):
+    assert main(f"<body><div><{tag} title=x>not shown</div><article>{ARTICLE}</article></body>") == TWO
+    twice = f"<{tag}>no</{tag}>"
+    assert main(f"<body><div><{tag}>not shown</div><article>{ARTICLE}</article><div>{twice}</div></body>") == TWO

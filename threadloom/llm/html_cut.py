@@ -42,6 +42,7 @@ WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 # Fixed lists of element names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = set("script style noscript template iframe object svg canvas audio video select textarea title noframes noembed math".split())
+RAW = set("script style title textarea iframe".split())  # without an end tag they take the rest of the page
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td "
@@ -81,6 +82,7 @@ class _Node:
     inside: bool
     link: bool
     hinted: bool = False
+    unseen: bool = False
 
 
 def _flags(tag: str, attributes: str, up: _Node) -> tuple[bool, bool, bool]:
@@ -121,7 +123,7 @@ def blocks_of(page: str) -> list[Block]:
 
     def say(text: str) -> None:
         nonlocal home, linked
-        if not text:
+        if not text or stack[-1].unseen:
             return
         top = stack[-1]
         if not parts or (top.certain, top.hinted) != (home.certain, home.hinted):
@@ -158,11 +160,19 @@ def blocks_of(page: str) -> list[Block]:
             elif tag in BLOCK:
                 end_block()
             continue
-        if tag in UNSEEN:
-            if not m.group(3).endswith("/"):
+        unseen = tag in UNSEEN
+        if unseen:
+            if m.group(3).endswith("/"):
+                continue
+            # Up to its end tag, unless the same element begins before that: then it is nested, or left open.
+            close = re.compile(rf"<(/?){re.escape(tag)}\b[^>]*(?:>|$)", re.IGNORECASE).search(page, at)
+            if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.IGNORECASE).search(page, at)
                 at = close.end() if close else size
-            continue
+                continue
+            if close and close.group(1):
+                at = close.end()
+                continue
         if tag in VOID:
             if tag == "hr":
                 end_block()
@@ -187,7 +197,7 @@ def blocks_of(page: str) -> list[Block]:
                         break
         up = stack[-1]
         certain, inside, hinted = _flags(tag, m.group(3), up)
-        stack.append(_Node(tag, made, certain, inside, up.link or tag == "a", hinted))
+        stack.append(_Node(tag, made, certain, inside, up.link or tag == "a", hinted, up.unseen or unseen))
         made += 1
     end_block()
     return out
