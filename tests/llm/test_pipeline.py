@@ -85,6 +85,22 @@ def test_stages(spark):
     assert max(fill.values()) <= 4096 and len(fill) == int(np.ceil(tokens / 4096))
 
 
+def test_language_keeps_short_mixed_and_many(spark):
+    rng = random.Random(9)
+
+    def prose(words, n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    langs = {f"l{i:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(40)] for i in range(12)}
+    rows = [(i * 12 + j, prose(w, 80), lang, "s", 0) for i in range(20) for j, (lang, w) in enumerate(langs.items())]
+    three = [prose(langs[f"l{i:02d}"], 300) for i in range(3)]
+    keep = [max(langs["l00"], key=len), langs["l05"][3], " ".join(three), " ".join(" ".join(x) for x in zip(*(t.split() for t in three)))]
+    drop = ["\u041f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440 \u043a\u0430\u043a \u0434\u0435\u043b\u0430 \u0441\u0435\u0433\u043e\u0434\u043d\u044f " * 3, "12 34", None]
+    rows += [(1000 + i, t, None, "s", 0) for i, t in enumerate(keep)] + [(2000 + i, t, None, "s", 0) for i, t in enumerate(drop)]
+    left = {r.doc_id for r in dict(cp.STAGES)["language"](spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert left == {r[0] for r in rows if r[0] < 2000}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     for _, stage in cp.STAGES:

@@ -95,6 +95,30 @@ class Model:
     weights: np.ndarray  # buckets x labels
     bias: np.ndarray
     params: LanguageParams
+    known: np.ndarray  # buckets that a landmark holds
+    reached: float = 1.0  # least share of known n-grams in a training segment
+
+    def fits(self, texts: list[str | None], chance: float = 1.8444397270569681) -> list[bool]:
+        """False without a letter, or where no language fits.
+
+        That takes a share of known n-grams which is, by Hoeffding bounds, below that of
+        every training segment and not above that of random n-grams. It depends neither
+        on the number of languages nor on their mixture, and short texts pass in doubt.
+        """
+        out = []
+        for text in texts:
+            if text is None or not has_letter(text):
+                out.append(False)
+                continue
+            parts = segments(letters_only(text), self.params.segment)
+            n = k = 0
+            for i in range(0, len(parts), 64):
+                held = presence(parts[i:i + 64], self.params)
+                n += int(held.sum())
+                k += int(held[:, self.known].sum())
+            margin = float(np.sqrt(chance / max(n, 1)))
+            out.append(not self.labels or not (k / max(n, 1) + margin < self.reached and k / max(n, 1) - margin <= self.known.mean()))
+        return out
 
     def values(self, parts: list[bytes]) -> np.ndarray:
         """Regression value of every label for every segment: one product per block."""
@@ -128,21 +152,24 @@ def fit(samples: list[tuple[str, bytes]], p: LanguageParams) -> Model:
     """Model from (label, segment) pairs, taken in the given order."""
     labels = sorted({label for label, _ in samples})
     if not labels:
-        return Model([], np.zeros((p.buckets, 0), np.float32), np.zeros(0), p)
+        return Model([], np.zeros((p.buckets, 0), np.float32), np.zeros(0), p, np.zeros(p.buckets, bool))
     y = np.where(np.array([label for label, _ in samples])[:, None] == np.array(labels), 1.0, -1.0)
     spread = np.argsort(np.arange(len(samples)) * 0.6180339887498949 % 1.0, kind="stable")
     marks = normalised(presence([samples[i][1] for i in np.sort(spread[: p.landmarks])], p))
     value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = value > 1e-6 * value.max()
     project = vector[:, good] / np.sqrt(value[good])  # kernel values to Nyström features
-    kernel = [
-        normalised(presence([s for _, s in samples[i:i + 64]], p)) @ marks.T for i in range(0, len(samples), 64)
-    ]
+    known = marks.any(axis=0)
+    kernel, reached = [], 1.0
+    for i in range(0, len(samples), 64):
+        held = presence([s for _, s in samples[i:i + 64]], p)
+        kernel.append(normalised(held) @ marks.T)
+        reached = min(reached, float((held[:, known].sum(axis=1) / np.maximum(held.sum(axis=1), 1)).min()))
     z = np.concatenate(kernel).astype(np.float64) @ project
     mean, bias = z.mean(axis=0), y.mean(axis=0)
     z0 = z - mean
     w = np.linalg.solve(z0.T @ z0 + p.ridge * np.eye(z.shape[1]), z0.T @ (y - bias))
-    return Model(labels, (marks.T @ (project @ w)).astype(np.float32), bias - mean @ w, p)
+    return Model(labels, (marks.T @ (project @ w)).astype(np.float32), bias - mean @ w, p, known, reached)
 
 
 # ---- Spark side
@@ -206,6 +233,18 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
     return docs.mapInArrow(run, f"{schema}, `{pred_col}` string, `{score_col}` double")
 
 
+def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Rows whose text has a letter and is not foreign to all languages of the model."""
+    at = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.fits(batch.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+
+
 def identify(docs: DataFrame, p: LanguageParams | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, held_out, lang_pred, score) for every document."""
     model = train(docs, p or LanguageParams(), id_col, text_col, lang_col)
