@@ -74,3 +74,8 @@ def test_mixed_documents(spark):
         words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
         assert texts[r.doc_id].startswith(r.text) and r.size == 7
     assert words == {i: r.taken for i, r in taken.items() if r.taken}
+
+
+def test_more_than_two_runs_are_refused():
+    with pytest.raises(ValueError, match="two runs"):
+        MixParams(repeats=3)

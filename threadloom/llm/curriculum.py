@@ -34,7 +34,8 @@ Schedule = tuple[tuple[float, float], ...]
 @dataclass(frozen=True)
 class MixParams:
     """``weights`` and ``schedules`` repeat over the sources in order. ``share`` of
-    all words is asked for; no source gives more than ``repeats`` times its size.
+    all words is asked for; no source gives more than ``repeats`` times its size,
+    which is 2 at most: a mix has a first and a second run of a source.
     A schedule is a list of (time, weight) from time 0 to 1, weights above 0."""
 
     weights: tuple[float, ...] = (3.0, 1.0, 2.0)
@@ -47,6 +48,10 @@ class MixParams:
     )
     seed: str = "mix"
 
+    def __post_init__(self):
+        if self.repeats > 2:
+            raise ValueError(f"repeats is {self.repeats}, but a mix has two runs of a source at most")
+
 
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
