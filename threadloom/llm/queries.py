@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.common import table
 from threadloom.llm.curriculum import MixParams, demand_inverse, mix_report
+from threadloom.llm.divergence import source_divergence
 from threadloom.llm.fingerprints import fingerprint_documents
 from threadloom.llm.html_cut import extract
 from threadloom.llm.language import identify
+from threadloom.llm.lexical_search import search
 from threadloom.llm.minhash import NearParams, near_duplicates
 from threadloom.llm.packing import PackParams, pack_documents
+from threadloom.llm.quality_rules import LEAST_WORDS, LETTER, MOST_REPEATED, STOP_WORDS, TABLE, WINDOW, WORD, judge
 from threadloom.llm.rotated_codes import nearest
 from threadloom.llm.secret_grammar import scan
 from threadloom.llm.sparse_suffix import repeated_passages
@@ -203,3 +206,129 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_minimum_cut")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
+
+
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), docs AS (
+  SELECT r, doc_id, terms, len(terms)::BIGINT AS n FROM texts WHERE len(terms) > 0
+), whole AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM docs
+), postings AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY r, term
+), held AS (
+  SELECT term, count(*)::BIGINT AS df FROM postings GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark WHERE text IS NOT NULL
+), asked AS (
+  SELECT i, term, count(*)::BIGINT AS times FROM (SELECT i, unnest(terms) AS term FROM items) GROUP BY i, term
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM held, whole
+), scored AS (
+  SELECT i, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN postings USING (term) JOIN docs d USING (r), whole GROUP BY i, r
+), ranked AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored JOIN docs USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 10
+"""
+
+
+@query("op11_nra_search", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _threshold_sql(t) -> str:
+    ends = [f"100 * {t.measure} < {t.low} * {t.per}"] * (t.low is not None) + [f"100 * {t.measure} > {t.high} * {t.per}"] * (t.high is not None)
+    return f"CASE WHEN {' OR '.join(ends)} THEN '{t.name}' END"
+
+
+_STOP = ", ".join(f"'{w}'" for w in sorted({w for group in STOP_WORDS.values() for w in group}))
+OP12_SQL = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines
+  FROM documents
+), grams AS (
+  SELECT r, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS gram FROM split, unnest(range(1, len(words) - {WINDOW - 2})) AS u(i)
+), twice AS (
+  SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, gram) > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + j) AS n FROM twice, range({WINDOW}) AS v(j) GROUP BY r
+), counted AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words,
+    length(regexp_replace(body, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    length(regexp_replace(body, '[^!]+', '', 'g'))::BIGINT AS n_exclamations,
+    len(list_filter(words, lambda w: regexp_matches(w, '{LETTER}')))::BIGINT AS n_letter_words,
+    len(list_filter(regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{LETTER}+'),
+      lambda t: t IN ({_STOP})))::BIGINT AS n_stop_words,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[ 	-]*[-*•]')))::BIGINT AS n_bullet_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-]*$')))::BIGINT AS n_ellipsis_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (r)
+), ruled AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
+    concat_ws(',', {", ".join(_threshold_sql(t) for t in TABLE)}) AS broken_rules
+  FROM counted
+)
+SELECT *, NOT base_failed AND broken_rules = '' AS kept FROM ruled
+"""
+
+
+@query("op12_threshold_table", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), found AS (
+  SELECT r, lang, source, unnest(terms) AS term FROM texts
+), kept AS (
+  SELECT lang, term, count(*)::BIGINT AS n FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), counts AS (
+  SELECT lang, source, term, count(*)::BIGINT AS n FROM found GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM texts
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n::HUGEINT AS lang_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), totals AS (
+  SELECT lang, source, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM cells GROUP BY lang, source
+), shares AS (
+  SELECT lang, source, term, n, (1 + (1000000000 * (n + 2)) // (total + 2 * v))::BIGINT AS p,
+    (1 + (1000000000 * (lang_n + 2)) // (lang_total + 2 * v))::BIGINT AS q
+  FROM cells JOIN totals USING (lang, source)
+), pairs AS (
+  SELECT g.lang, g.source, h.source AS item FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT p.lang, p.source, 'pair' AS part, p.item, coalesce(s.value, 0)::BIGINT AS value
+  FROM pairs p LEFT JOIN sums s ON p.lang = s.lang AND p.source = s.source AND p.item = s.item
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op13_dominance_skyband", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
