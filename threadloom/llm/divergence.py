@@ -187,9 +187,8 @@ def _pairs(cells: DataFrame, groups: DataFrame, langs: DataFrame, p: DivergenceP
             value = divergence(shares[:, i + 1 :], shares[:, i : i + 1]).sum(axis=0)
             for a, b in ((np.full(len(value), i), np.arange(i + 1, len(roster))), (np.arange(i + 1, len(roster)), np.full(len(value), i))):
                 rows.append(pd.DataFrame({"source": roster["source"].to_numpy()[a], "item": roster["source"].to_numpy()[b], "value": value}))
-        if not rows:
-            return pd.DataFrame({"lang": [], "source": [], "item": [], "value": []})
-        return pd.concat(rows, ignore_index=True).assign(lang=key[0])
+        rows.append(pd.DataFrame({"source": [], "item": [], "value": []}).astype({"source": object, "item": object, "value": np.int64}))
+        return pd.concat(rows, ignore_index=True).assign(lang=key[0]).astype({"lang": object})
 
     parts = left.groupBy("lang", "block").cogroup(right.groupBy("lang", "block")).applyInPandas(
         run, "lang string, source string, item string, value long"

@@ -56,7 +56,7 @@ TABLE = (
     Threshold("word_length", "word_chars", "n_words", 300, 1000),
     Threshold("symbols", "n_symbols", "n_words", high=10),
     Threshold("exclamations", "n_exclamations", "n_words", high=30),
-    Threshold("letters", "n_letter_words", "n_words", low=80),
+    Threshold("letters", "n_letter_words", "n_words", low=60),
     Threshold("stop_words", "n_stop_words", "n_words", low=5),
     Threshold("repeated_lines", "n_dup_lines", "n_lines", high=40),
     Threshold("bullets", "n_bullet_lines", "n_lines", high=90),
