@@ -148,3 +148,75 @@ def test_unreadable_documents_are_listed(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"chats": {"list": []}}\n{"chats": broken\n')
     assert unreadable(spark, str(tmp_path), multiline=False).count() == 1
     assert read_export(spark, str(tmp_path), multiline=False).count() == 2
+
+
+def data_files(folder):
+    return {str(p.relative_to(folder)) for p in folder.rglob("part-*")}
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    base = spark.range(1000).select("id", F.concat(F.lit("v"), "id").alias("v"))
+    assert L.upsert_layer(base, str(tmp_path), "t", ["id"], buckets=32) == 1000
+    before = data_files(tmp_path / "t")
+    updates = spark.createDataFrame([(3, "x"), (500, None), (5000, "new")], "id int, v string")
+    assert L.upsert_layer(updates, str(tmp_path), "t", ["id"]) == 1001
+    after = data_files(tmp_path / "t")
+    assert before <= after  # the version before stays readable
+    now = {f.split("/t/")[1] for f in L.read_layer(spark, str(tmp_path), "t").inputFiles()}
+    assert len(before - now) <= 3 and len(now - before) <= 3
+    got = dict(rows_of(L.read_layer(spark, str(tmp_path), "t")))
+    assert len(got) == 1001 and (got[3], got[500], got[5000], got[4]) == ("x", None, "new", "v4")
+    # New columns, other keys, appended rows.
+    more = spark.createDataFrame([(4, 1.5)], "id bigint, w double")
+    assert L.upsert_layer(more, str(tmp_path), "t", ["id"]) == 1001
+    assert rows_of(L.read_layer(spark, str(tmp_path), "t").filter("w IS NOT NULL")) == [(4, "v4", 1.5)]
+    assert L.append_layer(spark.createDataFrame([("a", 9999, None)], "v string, id int, w double"), str(tmp_path), "t") == 1
+    assert L.upsert_layer(spark.createDataFrame([(9999, 2.5)], "id bigint, w double"), str(tmp_path), "t", ["id"]) == 1002
+    assert rows_of(L.read_layer(spark, str(tmp_path), "t").filter("id = 9999")) == [(9999, "a", 2.5)]
+    assert L.upsert_layer(spark.createDataFrame([("v4", 7.0)], "v string, w double"), str(tmp_path), "t", ["v"]) == 1002
+    assert rows_of(L.read_layer(spark, str(tmp_path), "t").filter("id = 4")) == [(4, "v4", 7.0)]
+    none = spark.createDataFrame([], "v string, w double")
+    assert L.upsert_layer(none, str(tmp_path), "t", ["v"]) == 1002
+
+
+def test_readers_pin_a_version(spark, tmp_path):
+    base = str(tmp_path)
+    L.write_layer(spark.range(3), base, "t")
+    first, pinned = L.layer_version(spark, base, "t"), L.read_layer(spark, base, "t")
+    L.write_layer(spark.range(10, 15), base, "t")
+    L.append_layer(spark.range(1), base, "t")
+    assert pinned.count() == 3 and L.read_layer(spark, base, "t", version=first).count() == 3
+    assert L.read_layer(spark, base, "t").count() == 6
+    for n in range(L.KEEP):
+        L.write_layer(spark.range(n + 1), base, "t")
+    with pytest.raises(ValueError):
+        L.read_layer(spark, base, "t", version=first)
+    assert len(list((tmp_path / "t").glob("data-*"))) == L.KEEP
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    L.write_layer(spark.range(3), base, "t")
+    seen = L.read_version(spark, f"{base}/t")
+    L.write_layer(spark.range(4), base, "t")
+    monkeypatch.setattr(L, "read_version", lambda *a: seen)
+    with pytest.raises(OSError, match="another writer"):
+        L.write_layer(spark.range(5), base, "t")
+    monkeypatch.undo()
+    assert L.read_layer(spark, base, "t").count() == 4 and len(list((tmp_path / "t").glob("data-*"))) == 2
+
+
+def test_folders_without_versions(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    assert L.read_layer(spark, str(tmp_path), "plain").count() == 3
+    with pytest.raises(ValueError, match="without versions"):
+        L.append_layer(spark.range(1), str(tmp_path), "plain")
+    with pytest.raises(ValueError, match="without versions"):
+        L.upsert_layer(spark.range(1), str(tmp_path), "plain", ["id"])
+
+
+def test_partitioned_layer(spark, tmp_path):
+    L.write_layer(spark.range(9).withColumn("g", F.col("id") % 3), str(tmp_path), "t", partition_by=["g"])
+    df = L.read_layer(spark, str(tmp_path), "t")
+    assert df.filter("g = 1").count() == 3 and "g" in df.columns
+    assert len(df.filter("g = 1").select("id").inputFiles()) >= 1

@@ -221,6 +221,28 @@ def upsert_layer_query(t):
     )
 
 
+@query("upsert_three_keys", """
+WITH u AS (
+  SELECT * FROM (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 2)
+  UNION ALL SELECT max(c_custkey) + 1 FROM customer)
+SELECT coalesce(c.c_custkey, u.c_custkey) AS c_custkey, c_name,
+  CASE WHEN u.c_custkey IS NOT NULL THEN 0.0 ELSE c_acctbal END AS c_acctbal
+FROM customer c FULL JOIN u ON c.c_custkey = u.c_custkey
+""")
+def upsert_three_keys(t):
+    """Three updates to a stored layer rewrite the buckets of three keys."""
+    base, customers = fresh_path(t.spark, "layers"), t("customer").select("c_custkey", "c_name", "c_acctbal")
+    upsert_layer(customers, base, "customer", ["c_custkey"], buckets=16)
+    before = set(read_layer(t.spark, base, "customer").inputFiles())
+    richest = customers.orderBy(F.desc("c_acctbal"), "c_custkey").limit(2).select("c_custkey")
+    updates = richest.union(customers.agg(F.max("c_custkey") + 1)).withColumn("c_acctbal", F.lit(0.0))
+    upsert_layer(updates, base, "customer", ["c_custkey"])
+    now = read_layer(t.spark, base, "customer")
+    if len(before - set(now.inputFiles())) > 3 * len(before) / 16:
+        raise AssertionError("more than three buckets were rewritten")
+    return now
+
+
 @query("users_csv", f"""
 WITH {MESSAGES_SQL}
 SELECT DISTINCT from_id AS telegram_id, sender AS display_name FROM msg

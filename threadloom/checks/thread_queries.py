@@ -20,7 +20,8 @@ from threadloom.operators.retrieval import headers
 from threadloom.operators.threads import assign_threads
 from threadloom.plans.etl import run_etl
 from threadloom.sources.layers import read_layer
-from threadloom.streaming.stitcher import stream_threads, thread_index
+from threadloom.sources.versions import versions
+from threadloom.streaming.stitcher import changed_threads, stitch_batch, stream_rollup, stream_threads, thread_index
 
 
 def attached_events(t):
@@ -310,18 +311,43 @@ def etl_report(t):
     return run_etl(t.spark, write_export(t), None, out, multiline=False).report
 
 
+def streamed(t, messages):
+    """State after the stored ``messages`` went through the stream, one file per micro-batch."""
+    path = messages.inputFiles()[0].rsplit("/", 1)[0]
+    incoming = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    state = fresh_path(t.spark, "stream-state")
+    stream_threads(incoming, state, fresh_path(t.spark, "stream-progress"), buckets=8).awaitTermination()
+    return state
+
+
 @query("stream_threads", f"""
 WITH RECURSIVE {PLACED_SQL} SELECT chat_id, message_id, root_id FROM placed
 """)
 def stream(t):
     """The messages in four files, newest first, one file per micro-batch."""
     messages = event_messages(t).select("chat_id", "message_id", "reply_to_message_id")
-    ordered = messages.repartitionByRange(4, F.desc("message_id"))
-    source = cut(ordered, "stream-source")
-    path = source.inputFiles()[0].rsplit("/", 1)[0]
-    incoming = (
-        t.spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    )
-    state = fresh_path(t.spark, "stream-state")
-    stream_threads(incoming, state, fresh_path(t.spark, "stream-progress")).awaitTermination()
-    return thread_index(t.spark, state)
+    ordered = cut(messages.repartitionByRange(4, F.desc("message_id")), "stream-source")
+    return thread_index(t.spark, streamed(t, ordered))
+
+
+def shuffled_stream(t):
+    """Messages in any order, every fifth delivered a second time, and the last batch applied again."""
+    messages = event_messages(t)
+    again = messages.filter(F.xxhash64("message_id") % 5 == 0)
+    rows = cut(messages.unionByName(again).repartition(4, F.xxhash64("message_id", F.rand(7))), "stream-source")
+    state = streamed(t, rows)
+    stitch_batch(rows, versions(t.spark, state)[-1], state)
+    return state
+
+
+@query("stream_rollup", f"WITH RECURSIVE {ROLLUP_SQL} SELECT * FROM thread")
+def stream_rollup_query(t):
+    return stream_rollup(t.spark, shuffled_stream(t))
+
+
+@query("stream_changes", f"WITH RECURSIVE {ROLLUP_SQL} SELECT * FROM thread")
+def stream_changes(t):
+    """The last word of the feed on every thread is the roll-up."""
+    feed = changed_threads(t.spark, shuffled_stream(t))
+    last = feed.groupBy("thread_id").agg(F.max_by(F.struct(*feed.columns), "batch").alias("_")).select("_.*")
+    return last.filter("is_thread").drop("batch", "undated", "is_thread")
