@@ -11,6 +11,7 @@ from threadloom.operators.threads import assign_threads
 from threadloom.sources.versions import versions
 from threadloom.streaming import state as S
 from threadloom.streaming.stitcher import (
+    SCHEMAS,
     changed_threads,
     pending_messages,
     stitch_batch,
@@ -130,8 +131,8 @@ def test_parts_stay_few_over_fifty_batches(spark, tmp_path):
     for batch in range(50):
         t = S.Tables(spark, state, {"sums": "k bigint, n bigint"}, {"sums": ["k"]}, batch, buckets=2)
         rows = spark.range(20).select(F.col("id").alias("k"), F.lit(1).cast("bigint").alias("n"))
-        t.add("sums", rows)
-        t.merge("sums", lambda rows, _: rows.groupBy("k").agg(F.sum("n").alias("n")))
+        t.add({"sums": rows})
+        t.merge({"sums": lambda rows, _: rows.groupBy("k").agg(F.sum("n").alias("n"))})
         t.commit()
         assert max(len(p) for p in t.parts["sums"].values()) <= 2 * S.FAN_IN
     t = S.Tables(spark, state, {"sums": "k bigint, n bigint"}, {"sums": ["k"]})
@@ -146,7 +147,7 @@ def test_uncommitted_batch_leaves_the_state(spark, tmp_path):
     stitch_batch(spark.createDataFrame(rows[:20], SCHEMA), 0, state, buckets=2)
     before = sorted(map(tuple, thread_index(spark, state).collect()))
     t = _tables(spark, state, 1)
-    t.add("index", spark.createDataFrame([(9, 9, None, 9, None, 1)], "chat_id bigint, message_id bigint, reply_to_message_id bigint, root_id bigint, waits_for bigint, batch bigint"))
+    t.add({"index": spark.createDataFrame([(9, 9, None, 9, None, 1)], SCHEMAS["index"])})
     assert sorted(map(tuple, thread_index(spark, state).collect())) == before  # died before its commit
     stitch_batch(spark.createDataFrame(rows[20:], SCHEMA), 1, state)
     check(spark, rows, state)

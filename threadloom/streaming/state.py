@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ FAN_IN = 8
 BUCKETS = 32
 KEEP = 3  # commits that stay readable
 BUCKET = "__bucket"
+Merger = Callable[[DataFrame, list[int]], DataFrame]
 
 
 class Tables:
@@ -73,17 +75,24 @@ class Tables:
         there = names(self.spark, f"{self.path}/{table}/{folder}")
         return folder, [int(n.split("=")[1]) for n in there if n.startswith(BUCKET)]
 
-    def add(self, table: str, rows: DataFrame) -> None:
-        folder, buckets = self._write(table, rows)
-        for b in buckets:
-            self.parts[table].setdefault(b, []).append([folder, 0])
+    def add(self, rows: dict[str, DataFrame]) -> None:
+        """Add a part to each of some tables; the small writes run side by side."""
+        with ThreadPoolExecutor(len(rows)) as pool:
+            written = list(pool.map(lambda table: self._write(table, rows[table]), rows))
+        for table, (folder, buckets) in zip(rows, written):
+            for b in buckets:
+                self.parts[table].setdefault(b, []).append([folder, 0])
 
-    def merge(self, table: str, merged: Callable[[DataFrame, list[int]], DataFrame]) -> None:
-        """Merge parts of the buckets whose turn it is.
+    def merge(self, merged: dict[str, Merger]) -> None:
+        """Merge parts of the buckets whose turn it is, in each of some tables.
 
-        ``merged(rows, buckets)`` reduces rows of some parts of these buckets to
+        ``merged[table](rows, buckets)`` reduces rows of some parts of these buckets to
         equivalent ones, and may leave out rows that nothing asks for any more.
         """
+        with ThreadPoolExecutor(len(merged)) as pool:
+            list(pool.map(lambda table: self._merge(table, merged[table]), merged))
+
+    def _merge(self, table: str, merged: Merger) -> None:
         chosen: dict[int, list] = {}
         levels: dict[int, int] = {}
         for b, held in self.parts[table].items():

@@ -147,9 +147,7 @@ def _arrived(batch: DataFrame) -> DataFrame:
 
 def _fresh(arrived: DataFrame, t: Tables) -> DataFrame:
     """New messages with ``to``, the message their placing depends on, and ``parent_root`` if that is known."""
-    asked = cut(
-        arrived.select(*KEY).union(arrived.filter("parent IS NOT NULL").select("chat_id", "parent")).distinct(), "asked"
-    )
+    asked = arrived.select(*KEY).union(arrived.filter("parent IS NOT NULL").select("chat_id", "parent")).distinct()
     seen = t.read("index", t.touched(asked, *KEY)).join(asked, KEY, "left_semi")
     known = cut(merge_index(seen), "known")
     parents = known.select("chat_id", F.col("message_id").alias("parent"), F.col("root_id").alias("parent_root"), "waits_for")
@@ -194,8 +192,7 @@ def _place(fresh: DataFrame, t: Tables) -> Outcome:
 
 def _remember(outcome: Outcome, t: Tables) -> None:
     rows = outcome.fresh.unionByName(outcome.released)
-    t.add("index", rows.withColumn("batch", F.lit(t.batch)))
-    t.add("waiting", rows.filter("waits_for IS NOT NULL"))
+    t.add({"index": rows.withColumn("batch", F.lit(t.batch)), "waiting": rows.filter("waits_for IS NOT NULL")})
 
 
 def _aggregate(arrived: DataFrame, outcome: Outcome, t: Tables) -> None:
@@ -205,23 +202,28 @@ def _aggregate(arrived: DataFrame, outcome: Outcome, t: Tables) -> None:
     freed = t.read("held", t.touched(free, *KEY)).join(free, KEY)
     new = facts.join(outcome.fresh.filter("root_id IS NOT NULL").select(*KEY, "root_id"), KEY)
     placed = cut(new.unionByName(freed.select(*new.columns)), "placed-facts")
-    t.add("held", facts.join(outcome.fresh.filter("waits_for IS NOT NULL"), KEY, "left_semi"))
-    for table, (partial, _) in AGGREGATES.items():
-        t.add(table, partial(placed))
+    t.add(
+        {"held": facts.join(outcome.fresh.filter("waits_for IS NOT NULL"), KEY, "left_semi")}
+        | {table: partial(placed) for table, (partial, _) in AGGREGATES.items()}
+    )
     changed = cut(placed.select(*THREAD).distinct(), "changed")
     threads = _threads(t, t.touched(changed, *THREAD)).join(changed.withColumnRenamed("root_id", "root_message_id"), ["chat_id", "root_message_id"], "left_semi")
     threads.write.mode("overwrite").parquet(f"{t.path}/changes/batch={t.batch}")
 
 
 def _merge(t: Tables) -> None:
-    t.merge("index", lambda rows, _: merge_index(rows))
-    placed, seen = F.col("root_id").isNotNull(), ["chat_id", "waits_for"]
     # Waits for messages that came were released then; fields of placed messages are in the aggregates.
-    t.merge("waiting", lambda rows, b: rows.join(
-        t.read("index", b).select("chat_id", F.col("message_id").alias("waits_for")).distinct(), seen, "left_anti"))
-    t.merge("held", lambda rows, b: rows.join(t.read("index", b).filter(placed).select(*KEY).distinct(), KEY, "left_anti"))
-    for table, (_, merged) in AGGREGATES.items():
-        t.merge(table, lambda rows, _, merged=merged: merged(rows))
+    def came(buckets: list[int]) -> DataFrame:
+        return t.read("index", buckets).select("chat_id", F.col("message_id").alias("waits_for")).distinct()
+
+    def placed(buckets: list[int]) -> DataFrame:
+        return t.read("index", buckets).filter("root_id IS NOT NULL").select(*KEY).distinct()
+
+    t.merge({
+        "index": lambda rows, _: merge_index(rows),
+        "waiting": lambda rows, buckets: rows.join(came(buckets), ["chat_id", "waits_for"], "left_anti"),
+        "held": lambda rows, buckets: rows.join(placed(buckets), KEY, "left_anti"),
+    } | {table: (lambda rows, _, merged=merged: merged(rows)) for table, (_, merged) in AGGREGATES.items()})
 
 
 def _threads(t: Tables, buckets: list[int] | None = None) -> DataFrame:
