@@ -1,6 +1,7 @@
 """Cosine scores, exact and pruned top-k."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from threadloom.lineage import cut
@@ -46,14 +47,42 @@ def test_exact_topk(spark):
     assert got == {q: brute(m, v, 5, d) for q, v, d in asked[:3]}
 
 
-def test_many_query_blocks(spark, monkeypatch):
-    m, df = corpus(spark, n=120)
-    monkeypatch.setattr(V, "QUERY_BLOCK", 7)
-    asked = [(i, [float(x) for x in m[i + 50]], None) for i in range(30)]
-    top = V.vector_topk(df, spark.createDataFrame(asked, ASKED), 1)
-    assert {r["query_id"]: r["thread_id"] for r in top.collect()} == {
-        i: brute(m, v, 1)[0] for i, v, _ in asked
-    }
+@pytest.mark.parametrize("small", [16 << 20, 0])
+def test_many_queries(spark, monkeypatch, small):
+    """By broadcast and by cells; either scores some rows and queries at a time."""
+    m, df = corpus(spark, n=300)
+    for name, value in (("QUERY_BYTES", small), ("SCORE_ROWS", 50), ("SCORE_QUERIES", 7), ("CELL_BYTES", 5000)):
+        monkeypatch.setattr(V, name, value)
+    asked = [(i, [float(x) for x in m[i + 90]], f"d{i % 4}" if i % 3 == 0 else None) for i in range(200)]
+    top = V.vector_topk(df, spark.createDataFrame(asked, ASKED).repartition(3), 4)
+    got = {}
+    for r in top.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["thread_id"])
+    assert got == {i: brute(m, v, 4, d) for i, v, d in asked}
+
+
+def test_hundred_thousand_queries_pass_one_scan(spark, monkeypatch):
+    m, df = corpus(spark, n=600)
+    monkeypatch.setattr(V, "QUERY_BYTES", 1 << 20)
+    queries = spark.range(100_000).select(
+        F.col("id").alias("query_id"), F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.sin(i * F.col("id") + i).cast("float")).alias("embedding"))
+    top = V.vector_topk(df, queries, 2, domain=None)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 1  # the stored queries; the corpus of the test is in memory
+    out = cut(top, "top")
+    assert out.count() == 200_000
+    some = [r["query_id"] for r in out.select("query_id").distinct().orderBy(F.xxhash64("query_id")).limit(20).collect()]
+    asked = {r["query_id"]: r["embedding"] for r in queries.filter(F.col("query_id").isin(some)).collect()}
+    found = {}
+    for r in out.filter(F.col("query_id").isin(some)).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["thread_id"])
+    assert found == {q: brute(m, v, 2) for q, v in asked.items()}
+
+
+def test_best_takes_the_first_of_equal_scores():
+    sims = np.array([[1.0, 3.0, 3.0, 3.0, 2.0], [5.0, 5.0, 5.0, 5.0, 5.0], [np.nan, 1.0, -np.inf, 0.5, np.nan]])
+    places, scores = V._best(sims, 2)
+    assert places.tolist() == [[1, 2], [0, 1], [1, 3]] and scores[2].tolist() == [1.0, 0.5]
 
 
 def test_no_queries(spark):
@@ -61,10 +90,14 @@ def test_no_queries(spark):
     assert V.vector_topk(df, spark.createDataFrame([], ASKED), 3).isEmpty()
 
 
-def test_pruned_topk(spark):
+@pytest.mark.parametrize("small", [16 << 20, 0])
+def test_pruned_topk(spark, monkeypatch, small):
     """Probing every cluster is exact; probing few still finds a stored vector itself."""
     m, df = corpus(spark)
-    leaders = V.pick_leaders(df.filter(F.size("embedding") == 8), 16).collect()
+    if small == 0:
+        monkeypatch.setattr(V, "CELL_BYTES", 8 * 8 * 50)
+    monkeypatch.setattr(V, "QUERY_BYTES", small)
+    leaders = V.pick_leaders(df.filter(F.size("embedding") == 8), 16)
     clustered = cut(V.follow_leaders(df, leaders), "test-clusters")
     assert clustered.count() == df.count() > len(m)
     assert clustered.filter("leader_id IS NULL").count() == df.count() - len(m)
@@ -77,6 +110,20 @@ def test_pruned_topk(spark):
     assert got == {q: brute(m, v, 5) for q, v, _ in asked}
     few = V.vector_topk_pruned(clustered, leaders, queries, 1).collect()
     assert {r["query_id"]: r["thread_id"] for r in few} == {i: f"t{i:04d}" for i in range(300, 320)}
+    ten = V.recall(V.vector_topk_pruned(clustered, leaders, queries, 10, candidates=300), V.vector_topk(df, queries, 10))
+    assert ten.agg(F.sum("found") / F.sum("wanted")).first()[0] > 0.7
+
+
+def test_probes_stop_when_enough_rows_are_held(spark, monkeypatch):
+    """Few rows of the query's domain near by: more clusters are probed."""
+    monkeypatch.setattr(V, "PROBES", 1)
+    leaders = spark.createDataFrame([(i, [float(np.cos(i / 5)), float(np.sin(i / 5))]) for i in range(7)], "leader_id int, embedding array<float>")
+    sizes = spark.createDataFrame([(i, d, n) for i in range(7) for d, n in (("a", 5), ("b", int(i == 5)))], "leader_id int, domain string, n bigint")
+    queries = spark.createDataFrame([(1, [1.0, 0.0], None), (2, [1.0, 0.0], "a"), (3, [1.0, 0.0], "b"), (4, [1.0, 0.0], "c")], ASKED)
+    got = {}
+    for r in V.probes(queries.select("query_id", "embedding", "l1_domain"), leaders, sizes, 7, domain=True).collect():
+        got.setdefault(r["query_id"], set()).add(r["leader_id"])
+    assert got == {1: {0, 1}, 2: {0, 1}, 3: set(range(7)), 4: set(range(7))}
 
 
 def test_embed_and_store(spark, tmp_path):

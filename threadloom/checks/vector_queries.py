@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
 from threadloom.checks.views import document_summaries
-from threadloom.lineage import fresh_path
+from threadloom.lineage import cut, fresh_path
 from threadloom.operators import vectors as V
-from threadloom.sources.layers import read_layer, upsert_layer, write_layer
+from threadloom.sources.layers import read_layer, write_layer
 
 CENTROIDS_SQL = """
 comp AS (SELECT label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS v FROM embeddings)
@@ -47,10 +47,9 @@ FROM s
 def cosine_scores(t):
     """Each vector against the next one."""
     e = t("embeddings")
-    n = e.agg(F.count("*").alias("n"))
-    nxt = e.join(F.broadcast(n))  # a single row
+    nxt = e.withColumn("next_id", (F.col("vec_id") + 1) % F.lit(e.count()))
     other = e.select(F.col("vec_id").alias("next_id"), F.col("embedding").alias("other"))
-    pairs = nxt.withColumn("next_id", (F.col("vec_id") + 1) % F.col("n")).join(other, "next_id")
+    pairs = nxt.join(other, "next_id")
     return pairs.select("vec_id", F.round(V.cosine(F.col("embedding"), F.col("other")), 4).alias("score"))
 
 
@@ -87,8 +86,8 @@ def vector_topk_filtered(t):
 LEADERS = 32
 
 
-@query("vector_topk_pruned", f"""
-WITH {CENTROIDS_SQL}
+PRUNED_SQL = f"""
+{CENTROIDS_SQL}
 , lead AS (SELECT row_number() OVER (ORDER BY d, vec_id) - 1 AS leader_id, embedding FROM (
     SELECT md5('0:' || vec_id) AS d, vec_id, embedding FROM embeddings ORDER BY d, vec_id LIMIT {LEADERS}))
 , near AS (SELECT vec_id, leader_id FROM (
@@ -101,21 +100,55 @@ WITH {CENTROIDS_SQL}
       ORDER BY list_cosine_similarity(CAST(l.embedding AS DOUBLE[]), c.q) DESC, l.leader_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held
     FROM cen c, lead l LEFT JOIN size s ON s.leader_id = l.leader_id) WHERE held < 100)
-SELECT query_id, vec_id, rank, round(score, 4) AS score FROM (
+, pruned AS (SELECT * FROM (
   SELECT CAST(query_id AS BIGINT) AS query_id, vec_id, score,
     row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
   FROM sim JOIN near USING (vec_id) JOIN probe USING (query_id, leader_id))
-WHERE rank <= 10
-""")
+WHERE rank <= 10)
+"""
+
+
+@query("vector_topk_pruned", f"WITH {PRUNED_SQL} SELECT query_id, vec_id, rank, round(score, 4) AS score FROM pruned")
 def vector_topk_pruned(t):
+    return _shown(_pruned(t))
+
+
+def _pruned(t):
     e = t("embeddings").select("vec_id", "embedding")
-    leaders = V.pick_leaders(e, LEADERS, "vec_id").collect()
+    leaders = V.pick_leaders(e, LEADERS, "vec_id")
     base = fresh_path(t.spark, "clusters")
     write_layer(V.follow_leaders(e, leaders), base, "corpus", partition_by=["leader_id"])
     clustered = read_layer(t.spark, base, "corpus")
-    return _shown(
-        V.vector_topk_pruned(clustered, leaders, centroids(t), 10, id_col="vec_id", domain=None)
-    )
+    return V.vector_topk_pruned(clustered, leaders, centroids(t), 10, id_col="vec_id", domain=None)
+
+
+@query("vector_recall", f"""
+WITH {PRUNED_SQL}
+, exact AS (SELECT query_id, vec_id FROM (
+    SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM sim) WHERE rank <= 10)
+SELECT CAST(e.query_id AS BIGINT) AS query_id, count(*) AS wanted, count(p.vec_id) AS found
+FROM exact e LEFT JOIN pruned p ON p.query_id = e.query_id AND p.vec_id = e.vec_id GROUP BY e.query_id
+""")
+def vector_recall(t):
+    """Exact results that the pruned search finds, per query."""
+    return V.recall(_pruned(t), V.vector_topk(t("embeddings"), centroids(t), 10, "vec_id", domain=None), "vec_id")
+
+
+@query("vector_topk_cells", f"""
+WITH {CENTROIDS_SQL}
+SELECT query_id, vec_id, rank, round(score, 4) AS score FROM (
+  SELECT CAST(query_id AS BIGINT) AS query_id, vec_id, score,
+    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM sim)
+WHERE rank <= 10
+""")
+def vector_topk_cells(t):
+    """All clusters probed: inverted lists that hold everything give the exact result."""
+    e = t("embeddings").select("vec_id", "embedding")
+    leaders = V.pick_leaders(e, LEADERS, "vec_id")
+    everything = e.count()
+    return _shown(V.vector_topk_pruned(
+        cut(V.follow_leaders(e, leaders), "clusters"), leaders, centroids(t), 10, candidates=everything, id_col="vec_id", domain=None
+    ))
 
 
 @query("embed_and_store", """
@@ -129,21 +162,26 @@ def embed_and_store(t):
         return [text.count(c) / len(text) for c in "aeo "]
 
     documents = document_summaries(t).withColumn("l1_domain", F.lit("ROOT A"))
-    vectors, _ = V.embed(documents, shares)
     base = fresh_path(t.spark, "vectors")
-    upsert_layer(vectors, base, "summaries", ["thread_id"])
-    upsert_layer(vectors, base, "summaries", ["thread_id"])
+    V.embed_and_store(documents, base, "summaries", shares)
+    V.embed_and_store(documents, base, "summaries", shares)
     return read_layer(t.spark, base, "summaries").select(
         "thread_id", F.posexplode("embedding").alias("i", "v")
     ).select("thread_id", "i", F.round(F.col("v").cast("double"), 4).alias("v"))
 
 
-@query("hashed_embedding")
+@query("hashed_embedding", r"""
+WITH w AS (
+  SELECT doc_id, md5(unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS m
+  FROM documents)
+, e AS (
+  SELECT doc_id, CAST(CAST('0x' || substr(m, 1, 8) AS UBIGINT) % 1024 AS INTEGER) AS i,
+    sum(CASE WHEN substr(m, 9, 1) < '8' THEN 1 ELSE -1 END) AS v FROM w GROUP BY ALL)
+SELECT 'doc ' || doc_id AS thread_id, i, round(CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 5) AS v
+FROM e QUALIFY v <> 0
+""")
 def hashed_embedding(t):
-    """Feature hashing has no SQL form; checked by unit tests."""
+    """The entries of the default embedding that are not zero."""
     vectors, _ = V.embed(document_summaries(t).withColumn("l1_domain", F.lit("ROOT A")))
-    e = F.col("embedding")
-    return vectors.select(
-        "thread_id", F.size(e).alias("dimensions"),
-        F.size(F.filter(e, lambda x: x != 0)).alias("used"),
-    )
+    entries = vectors.select("thread_id", F.posexplode("embedding").alias("i", "v")).filter("v <> 0")
+    return entries.select("thread_id", "i", F.round(F.col("v").cast("double"), 5).alias("v"))
