@@ -3,25 +3,32 @@
 A suffix of a document's words is retained where the hash of its first GRAM
 words is the smallest among SPREAD neighbours (a minimiser). A passage of LENGTH
 = GRAM + SPREAD - 1 words or more has such a suffix in every document that holds
-it, at the same place. Suffixes that start alike are sorted together with the
-SPREAD - 1 words to their left and to their right; equal neighbours tell how far
-each match extends to both sides, and matches of at least LENGTH words count.
-Longer passages are chains of such matches, as neighbouring minimisers overlap.
+it, at the same place. Suffixes that start alike and agree in the SPREAD - 1 words
+to their left and to their right are one class, however many documents hold it.
+The classes of a start are sorted by their words to the right and left, and
+neighbours compared: equal ones to both sides, LENGTH words in all, repeat. Every
+division of the words between the sides has its own order, so no match hides
+behind a longer one to one side only. Classes report their stretches to their
+suffixes, one row each, and those of a document that follow one another are joined.
 
-Suffixes that start alike and are at most RUN go through one task. For starts
-that are more frequent, the same comparison is an aggregation over the places
-of the LENGTH-word windows, so no task holds them all.
+The classes of one start go through one task, up to RUN of them. Beyond, the
+same equality is counted by an aggregation, so no task holds them all.
+
+Every repeated window of LENGTH words has a source: the smallest id that holds it.
+A document's words in stretches of other sources, but for words that also lie in
+stretches of its own, can go: each repeated window then stays in its source.
 
 Defined cases: NULL and short texts repeat nothing. A passage that repeats in
 one document only, or in rows of equal id and text, does not count; rows of
-equal id and different texts are different documents of that id. Rows with a
-NULL id are reported with NULL. An empty table gives no rows. Only id and text
-are read.
+equal id and different texts are one document. Rows with a NULL id are reported
+with NULL and are no source; the source is NULL where no other row holds the
+window. An empty table gives no rows. Only id and text are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +42,8 @@ LENGTH, GRAM = 50, 26
 SPREAD = LENGTH - GRAM + 1
 SIDE = SPREAD - 1
 RUN, CHUNK = 8192, 16384
+PIECE, PLACE_BITS = 1 << 23, np.uint64(24)
+NONE = np.iinfo(np.int64).max
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,71 +57,77 @@ def gram_hashes(words: np.ndarray) -> np.ndarray:
     return _mix(total)
 
 
-def minimisers(grams: np.ndarray) -> np.ndarray:
-    """Places whose hash is the smallest (leftmost on ties) of SPREAD neighbours."""
-    if len(grams) < SPREAD:
-        return np.empty(0, np.int64)
-    low = (grams >> np.uint64(24) << np.uint64(24)) | np.arange(len(grams), dtype=np.uint64)
-    width = 1
-    while 2 * width <= SPREAD:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if width < SPREAD:
-        low = np.minimum(low[: len(low) - (SPREAD - width)], low[SPREAD - width:])
-    return np.unique((low & np.uint64(2**24 - 1)).astype(np.int64))
-
-
-def side_hashes(words: np.ndarray) -> np.ndarray:
-    """Row a: hash of the first a words of each row, a = 0 to SIDE."""
-    out = np.zeros((SIDE + 1, len(words)), np.uint64)
-    for k in range(SIDE):
-        out[k + 1] = out[k] * _STEP + words[:, k].astype(np.uint64) + np.uint64(1)
-    return out
-
-
-def window_ids(key: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Row a: identity of the LENGTH-word window that starts a words before the suffix."""
-    lh, rh = side_hashes(left), side_hashes(right)[::-1]
-    offset = np.arange(SIDE + 1, dtype=np.uint64)[:, None]
-    return _mix(_mix(_mix(lh + _STEP) ^ rh * _STEP) + key.view(np.uint64)[None, :] + offset * _STEP)
-
-
-def whole_windows(n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
-    a = np.arange(SIDE + 1)[:, None]
-    return (n_left[None, :] >= a) & (n_right[None, :] >= SIDE - a)
-
-
-def repeated(ids: np.ndarray, valid: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that two documents have, and the smallest document of each: by sorting
-    windows and comparing neighbours."""
-    a, i = np.nonzero(valid)
-    who, flat = doc[i], ids[a, i]
-    order = np.lexsort((who, flat))
-    flat, who = flat[order], who[order]
-    first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
-    last = np.r_[first[1:], len(flat)] - 1
-    least = np.repeat(who[first], last - first + 1)
-    many = np.repeat(who[first] != who[last], last - first + 1)
-    found, source = np.zeros(valid.shape, bool), np.zeros(valid.shape, np.int64)
-    found[a[order], i[order]] = many
-    source[a[order], i[order]] = least
+def minimisers(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places whose hash is the smallest (leftmost on ties) of SPREAD neighbours, and the
+    first and last window that each is the smallest of."""
+    found = [np.empty(0, np.int64)]
+    for at in range(0, len(grams) - SPREAD + 1, PIECE):
+        some = grams[at:at + PIECE + SPREAD - 1]
+        # The low bits hold the place in the piece: hashes that differ there only count as ties.
+        low = (some >> PLACE_BITS << PLACE_BITS) | np.arange(len(some), dtype=np.uint64)
+        width = 1
+        while 2 * width <= SPREAD:
+            low = np.minimum(low[:-width], low[width:])
+            width *= 2
+        if width < SPREAD:
+            low = np.minimum(low[: len(low) - (SPREAD - width)], low[SPREAD - width:])
+        found.append((low & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64) + at)
+    each = np.concatenate(found)  # of every window
+    places, first, n = np.unique(each, return_index=True, return_counts=True)
+    return places, first, first + n - 1
+
+
+@dataclass
+class Classes:
+    """Suffixes that start and go on alike: words to the right, and to the left in reading order from the suffix.
+
+    ``n_left`` and ``n_right`` bound the windows whose minimiser the suffix is, so that
+    every window counts once.
+    """
+
+    key: np.ndarray
+    left: np.ndarray  # class x SIDE
+    right: np.ndarray
+    n_left: np.ndarray
+    n_right: np.ndarray
+    first: np.ndarray  # smallest and largest document
+    last: np.ndarray
+    source: np.ndarray  # smallest id; NONE without one
+
+
+def compared(c: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """For each number of words to the left and class: whether the window repeats, and its source."""
+    found, source = np.zeros((SIDE + 1, len(c.key)), bool), np.full((SIDE + 1, len(c.key)), NONE)
+    for a in range(SIDE + 1):
+        at = np.flatnonzero((c.n_left >= a) & (c.n_right >= SIDE - a))
+        if not len(at):
+            continue
+        near = np.column_stack([c.right[at, : SIDE - a], c.left[at, :a]]).view(np.uint32)
+        rows = np.column_stack([c.key[at].view(np.uint32).reshape(len(at), 2), near])
+        order = np.argsort(np.ascontiguousarray(rows).view(f"V{4 * rows.shape[1]}").ravel(), kind="stable")
+        rows, at = rows[order], at[order]
+        starts = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
+        several = np.minimum.reduceat(c.first[at], starts) < np.maximum.reduceat(c.last[at], starts)
+        run = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(at)]))
+        found[a, at] = several[run]
+        source[a, at] = np.minimum.reduceat(c.source[at], starts)[run]
     return found, source
 
 
-def stretches(found: np.ndarray, source: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(member, start, end, source) of each unbroken stretch of found windows."""
+def stretches(found: np.ndarray, source: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(class, least, most words to the left, source) of unbroken repeated windows of one source."""
+    same = (found[1:] & found[:-1]) & (source[1:] == source[:-1])
+    opens = found.copy()
+    opens[1:] &= ~same
+    closes = found.copy()
+    closes[:-1] &= ~same
     for i in np.flatnonzero(found.any(axis=0)).tolist():
-        hits = np.flatnonzero(found[:, i])
-        for part in np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1):
-            at = int(place[i])
-            yield i, at - int(part[-1]), at - int(part[0]) + LENGTH, int(source[part, i].min())
+        for lo, hi in zip(np.flatnonzero(opens[:, i]).tolist(), np.flatnonzero(closes[:, i]).tolist()):
+            yield i, lo, hi, int(source[lo, i])
 
 
 # ---- Spark side
 
-REF = "ref long, doc long, id long"
-
-
 def _referred(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(ref, doc, id, text): ref tells rows apart by id and text, doc names the document."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -121,30 +136,32 @@ def _referred(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def retained(docs: DataFrame) -> DataFrame:
-    """(key, ref, place): the sparse suffixes, by the hash of their start."""
+    """(key, ref, place, n_left, n_right): the sparse suffixes, by the hash of their start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Shingler(1)
         for whole in batches:
             for batch in (whole.slice(i, 512) for i in range(0, len(whole), 512)):
-                keys, places, counts = [], [], []
+                keys, places, counts, lefts, rights = [], [], [], [], []
                 for text in batch.column(1):
                     grams = gram_hashes(hashes.word_hashes((text.as_py() or "").encode().split()))
-                    at = minimisers(grams)
+                    at, first, last = minimisers(grams)
                     keys.append(grams[at])
                     places.append(at)
                     counts.append(len(at))
+                    lefts.append(at - first)
+                    rights.append(SIDE - (at - last))
                 refs = np.repeat(batch.column(0).to_numpy(), counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(refs), pa.array(np.concatenate(places).astype(np.int32))],
-                    names=["key", "ref", "place"],
+                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(refs), *(pa.array(np.concatenate(x).astype(np.int32)) for x in (places, lefts, rights))],
+                    names=["key", "ref", "place", "n_left", "n_right"],
                 )
 
-    return docs.select("ref", "text").mapInArrow(run, "key long, ref long, place int")
+    return docs.select("ref", "text").mapInArrow(run, "key long, ref long, place int, n_left int, n_right int")
 
 
 def surrounded(docs: DataFrame) -> DataFrame:
-    """(key, hot, ref, doc, id, place, left, right, n_left, n_right) for the listed places."""
+    """(key, ref, doc, id, place, left, right, n_left, n_right) for the listed places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Shingler(1)
@@ -157,43 +174,57 @@ def surrounded(docs: DataFrame) -> DataFrame:
                     for item in listed:
                         at = item["place"]
                         rows.append((
-                            item["key"], item["hot"], ref, doc, name, at, near[at:at + SIDE][::-1].tobytes(),
-                            near[at + SIDE + GRAM:at + 2 * SIDE + GRAM].tobytes(), min(SIDE, at), min(SIDE, len(words) - GRAM - at),
+                            item["key"], ref, doc, name, at, near[at:at + SIDE][::-1].tobytes(),
+                            near[at + SIDE + GRAM:at + 2 * SIDE + GRAM].tobytes(), item["n_left"], item["n_right"],
                         ))
-                columns = list(zip(*rows)) or [()] * 10
-                kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+                columns = list(zip(*rows)) or [()] * 9
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, kinds)],
-                    names=["key", "hot", "ref", "doc", "id", "place", "left", "right", "n_left", "n_right"],
+                    names=["key", "ref", "doc", "id", "place", "left", "right", "n_left", "n_right"],
                 )
 
-    return docs.mapInArrow(run, "key long, hot boolean, ref long, doc long, id long, place int, left binary, right binary, n_left int, n_right int")
+    return docs.mapInArrow(run, "key long, ref long, doc long, id long, place int, left binary, right binary, n_left int, n_right int")
+
+
+CLASS = ["key", "left", "right", "n_left", "n_right"]
+FOUND = "class long, least int, most int, source long"
+
+
+def classes_of(suffixes: DataFrame) -> DataFrame:
+    """One row per class: its words, smallest and largest document, smallest id; ``run`` counts the classes of its start."""
+    rows = suffixes.groupBy("class").agg(
+        *(F.first(c).alias(c) for c in CLASS), F.min("doc").alias("first"), F.max("doc").alias("last"),
+        F.coalesce(F.min("id"), F.lit(int(NONE))).alias("source"),
+    )
+    rows = cut(rows, "classes")
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("run")), "key")
+
+
+def _classes(table: pa.Table) -> Classes:
+    def sides(name: str) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), np.uint32).reshape(len(table), SIDE)
+
+    return Classes(
+        table.column("key").to_numpy(), sides("left"), sides("right"),
+        *(table.column(n).to_numpy() for n in ("n_left", "n_right", "first", "last", "source")),
+    )
 
 
-def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Window identities and which of them are whole."""
-    sides = [
-        np.frombuffer(b"".join(table.column(n).to_pylist()), np.uint32).reshape(len(table), SIDE) for n in ("left", "right")
-    ]
-    ids = window_ids(table.column("key").to_numpy(), *sides)
-    return ids, whole_windows(table.column("n_left").to_numpy(), table.column("n_right").to_numpy())
+def _stretch_rows(names: np.ndarray, found: np.ndarray, source: np.ndarray) -> pa.RecordBatch:
+    i, least, most, whose = zip(*rows) if (rows := list(stretches(found, source))) else ((), (), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names[np.array(i, np.int64)], pa.int64()), pa.array(least, pa.int32()), pa.array(most, pa.int32()), pa.array(whose, pa.int64())],
+        names=["class", "least", "most", "source"],
+    )
 
 
-def neighbours(suffixes: DataFrame) -> DataFrame:
-    """(ref, id, start, end, source): matches among sorted suffixes, run by run."""
-    tasks = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def neighbours(classes: DataFrame) -> DataFrame:
+    """Repeated stretches of classes, the classes of a start together."""
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def matches(table: pa.Table) -> pa.RecordBatch:
-        ids, valid = _arrays(table)
-        found, source = repeated(ids, valid, table.column("doc").to_numpy())
-        rows = list(stretches(found, source, table.column("place").to_numpy()))
-        i, start, end, least = zip(*rows) if rows else ((), (), (), ())
-        take = pa.array(i, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [table.column("ref").take(take).combine_chunks(), table.column("id").take(take).combine_chunks(),
-             pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(least, pa.int64())],
-            names=["ref", "id", "start", "end", "source"],
-        )
+        return _stretch_rows(table.column("class").to_numpy(), *compared(_classes(table)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -210,50 +241,54 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
         if held:
             yield matches(pa.Table.from_batches(held))
 
-    return suffixes.repartition(tasks, "key").sortWithinPartitions("key", "right", "left").mapInArrow(run, "ref long, id long, start long, end long, source long")
+    return classes.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, FOUND)
 
 
-def frequent(suffixes: DataFrame) -> DataFrame:
-    """As ``neighbours``, for starts that are too frequent for one task."""
+def frequent(classes: DataFrame) -> DataFrame:
+    """As ``neighbours``, for starts of too many classes for one task: equal windows are counted."""
+    window = F.xxhash64("key", "a", F.expr(f"substring(right, 1, 4 * ({SIDE} - a))"), F.expr("substring(left, 1, 4 * a)"))
+    windows = classes.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(SIDE)))).filter(
+        (F.col("n_left") >= F.col("a")) & (F.col("n_right") >= SIDE - F.col("a"))
+    ).select("class", "a", window.alias("window"), "first", "last", "source")
+    equal = windows.groupBy("window").agg(F.min("first").alias("x"), F.max("last").alias("y"), F.min("source").alias("source")).filter("x <> y")
+    hits = windows.select("class", "a", "window").join(equal.select("window", "source"), "window")
+    listed = hits.groupBy("class").agg(F.collect_list(F.struct("a", "source")).alias("hits"))  # SIDE + 1 at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            ids, valid = _arrays(table)
-            a, i = np.nonzero(valid)
-            take = pa.array(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[a, i].view(np.int64)), *(table.column(n).take(take).combine_chunks() for n in ("ref", "doc", "id")),
-                 pa.array(table.column("place").to_numpy()[i].astype(np.int64) - a)],
-                names=["window", "ref", "doc", "id", "start"],
-            )
+            found, source = np.zeros((SIDE + 1, len(batch)), bool), np.full((SIDE + 1, len(batch)), NONE)
+            for i, hits in enumerate(batch.column(1).to_pylist()):
+                for hit in hits:
+                    found[hit["a"], i], source[hit["a"], i] = True, hit["source"]
+            yield _stretch_rows(batch.column(0).to_numpy(), found, source)
 
-    windows = suffixes.mapInArrow(run, "window long, ref long, doc long, id long, start long")
-    sources = windows.groupBy("window").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).filter("source <> last")
-    return windows.join(sources, "window").select("ref", "id", "start", (F.col("start") + LENGTH).alias("end"), "source")
+    return listed.mapInArrow(run, FOUND)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, start_word, n_words, source_id): every stretch of words of which each
-    LENGTH-word window also stands in another document.
+    """(id, start_word, n_words, source_id): every longest stretch of words of which each
+    LENGTH-word window also stands in another document and has the same source.
 
-    ``source_id`` is the smallest id among the documents that hold a part of it, so
-    keeping the stretches with ``source_id`` = id keeps each passage once.
+    Keeping the stretches with ``source_id`` = id, and all words that are in none, keeps
+    every repeated window.
     """
     docs = _referred(docs, id_col, text_col)
     suffixes = cut(retained(docs), "suffixes").distinct()
-    counts = suffixes.groupBy("key").agg(F.count("*").alias("n"), F.min("ref").alias("a"), F.max("ref").alias("b"))
-    shared = counts.filter("a <> b").select("key", (F.col("n") > RUN).alias("hot"))
-    listed = suffixes.join(shared, "key").groupBy("ref").agg(F.collect_list(F.struct("key", "hot", "place")).alias("listed"))
+    shared = suffixes.groupBy("key").agg(F.min("ref").alias("a"), F.max("ref").alias("b")).filter("a <> b").select("key")
+    listed = suffixes.join(shared, "key").groupBy("ref").agg(F.collect_list(F.struct("key", "place", "n_left", "n_right")).alias("listed"))
     texts = docs.join(listed, "ref").select("ref", "doc", "id", "text", "listed")
-    around = cut(surrounded(texts), "surrounded")
-    found = neighbours(around.filter("NOT hot")).union(frequent(around.filter("hot")))
-    order = Window.partitionBy("ref").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    # One stretch as long as its windows follow one another.
-    opens = F.when(F.col("start") <= reach - LENGTH + 1, 0).otherwise(1)
-    islands = found.withColumn("opens", opens).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = islands.groupBy("ref", "island").agg(
-        F.first("id").alias(id_col), F.min("start").alias("start_word"), (F.max("end") - F.min("start")).alias("n_words"), F.min("source").alias("source_id")
+    around = cut(surrounded(texts).withColumn("class", F.xxhash64(*CLASS)), "surrounded")
+    classes = cut(classes_of(around), "classes")
+    found = neighbours(classes.filter(F.col("run") <= RUN).drop("run")).union(frequent(classes.filter(F.col("run") > RUN)))
+    # Places of the first and the last window of a stretch.
+    met = around.select("class", "ref", "id", "place").join(cut(found, "stretches"), "class").select(
+        "ref", "id", "source", (F.col("place") - F.col("most")).cast("long").alias("start"), (F.col("place") - F.col("least")).cast("long").alias("end"),
+    )
+    order = Window.partitionBy("ref", "source").orderBy("start", "end")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.when(F.col("start") <= F.max("end").over(before) + 1, 0).otherwise(1)
+    islands = met.withColumn("opens", opens).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = islands.groupBy("ref", "source", "island").agg(
+        F.first("id").alias(id_col), F.min("start").alias("start_word"), (F.max("end") - F.min("start") + LENGTH).alias("n_words")
     )
-    return merged.select(id_col, "start_word", "n_words", "source_id")
+    return merged.select(id_col, "start_word", "n_words", F.nullif("source", F.lit(int(NONE))).alias("source_id"))
