@@ -43,13 +43,13 @@ SCALE = 1_000_000_000
 
 @dataclass(frozen=True)
 class DivergenceParams:
-    """``held``: counts that a task keeps before it sends them on. ``cells``: most
-    cells of one matrix of terms and sources, as far as whole terms allow."""
+    """``held``: counts that a task keeps before it sends them on. ``cells``: of one
+    matrix of terms and sources, about; more, up to 80 times as many, where sources are many."""
 
     least_docs: int = 10
     k: int = 10
     held: int = 300_000
-    cells: int = 2_000_000
+    cells: int = 100_000
 
 
 def _text(name: str) -> Column:
@@ -164,9 +164,10 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def _pairs(cells: DataFrame, groups: DataFrame, langs: DataFrame, p: DivergenceParams) -> DataFrame:
     """(lang, source, item, value) for all pairs of sources of a language."""
-    # The number of blocks of a language follows from its terms and sources.
+    # With four terms a source or more in a block, its sums are fewer than its cells.
+    size = F.least(F.greatest(F.lit(p.cells), 4 * F.col("sources") * F.col("sources")), F.lit(80 * p.cells))
     sized = groups.groupBy("lang").agg(F.count("*").alias("sources")).join(langs, "lang").select(
-        "lang", F.greatest(F.lit(1), F.ceil(F.col("kept") * F.col("sources") / F.lit(p.cells))).cast("long").alias("blocks")
+        "lang", F.greatest(F.lit(1), F.ceil(F.col("kept") * F.col("sources") / size)).cast("long").alias("blocks")
     )
     block = F.pmod(F.xxhash64("term"), F.col("blocks"))
     left = cells.join(sized, "lang").select("lang", block.alias("block"), "term", "source", "n")
