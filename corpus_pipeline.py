@@ -31,25 +31,34 @@ from threadloom.llm.secret_grammar import redact  # noqa: E402
 cloudpickle.register_pickle_by_value(threadloom)
 
 
-_made: list[str] = []  # tables that the stage before made for itself
+#: Tables that stages made for themselves, by data folder and stage, where a caller writes between them.
+_made: dict[tuple[str, int], list[str]] = {}
 
 
 def stage(fn):
-    """A stage that first deletes what the one before made for itself.
+    """A stage for callers that write each result and read it as the next one's docs.
 
-    The result of that one is written by then. Tables that ``docs`` still reads stay.
+    It first deletes what earlier stages over the same data folder made for themselves,
+    as their results are written by then; tables that ``docs`` still reads stay. ``run`` and
+    whoever uses ``stage.plain`` keep their own tables.
     """
 
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        read = "\n".join(docs.inputFiles())
-        done = [p for p in _made if p.rsplit("/", 1)[1] not in read]
-        drop(spark, done)
+        at = [name for name, _ in STAGES].index(fn.__name__)
+        done = {k: paths for k, paths in _made.items() if k[0] == sf_dir and k[1] < at}
+        if done:
+            read = {part for f in docs.inputFiles() for part in f.split("/")[-3:]}
+            for key, paths in done.items():
+                gone = [p for p in paths if p.rsplit("/", 1)[1] not in read]
+                drop(spark, gone)
+                _made[key] = [p for p in paths if p not in gone]
         with recorded() as paths:
             out = fn(spark, docs, sf_dir)
-        _made[:] = [p for p in _made if p not in done] + paths
+        _made.setdefault((sf_dir, at), []).extend(paths)
         return out
 
+    run_stage.plain = fn
     return run_stage
 
 
@@ -96,8 +105,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``.
+
+    Every stage's own tables go when its result is written, and a result when the next
+    one is; what the last stage reads stays. Runs share no tables.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES[:-1]:
-        docs = cut(step(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with recorded() as made:
+            out = step.plain(spark, docs, sf_dir)
+        with recorded() as result:
+            docs = cut(out, f"pipeline-{name}")
+        drop(spark, made + before)
+        before = result
+    return STAGES[-1][1].plain(spark, docs, sf_dir)

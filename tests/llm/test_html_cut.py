@@ -108,3 +108,46 @@ def test_unclosed_unseen_elements_end_with_their_parent(tag):
     assert main(f"<body><div><{tag} title=x>not shown</div><article>{ARTICLE}</article></body>") == TWO
     twice = f"<{tag}>no</{tag}>"
     assert main(f"<body><div><{tag}>not shown</div><article>{ARTICLE}</article><div>{twice}</div></body>") == TWO
+
+
+PROSE = "<p>A reader writes a long comment here, with a whole sentence in it. And then there is one more.</p>"
+FULL = ARTICLE * 4
+
+
+@pytest.mark.parametrize("page", [
+    f"<article>{FULL}<div class='comments'>{PROSE * 2}</div></article>",
+    f"<main>{FULL}<section id='comments'>{PROSE * 9}</section></main>",
+    f"<main><article>{FULL}</article><article class='comment'>{PROSE}</article><article class='comment odd'>{PROSE}</article></main>",
+    f"<body><div><h2></h2>{FULL}</div><div class='comment-list'>{PROSE * 8}</div></body>",
+    f"<article>{FULL}<article><p>Ann, 3 May</p>{PROSE}</article><article>{PROSE}</article></article>",
+    f"<article>{ARTICLE * 2}<div class='newsletter-box'><p>Get our letter every week, it is free of charge. Join now.</p></div>{ARTICLE * 2}</article>",
+    f"<article>{FULL}<form action=x><p>Tell us what you think about this text. We read it all.</p></form></article>",
+    f"<body><div id='cookieNotice'><p>We use cookies to make this site work for you. Accept them all.</p></div><article>{FULL}</article></body>",
+    f"<body><div class='alert'><p>The office is closed on Monday. Please come another day.</p></div><main>{FULL}</main></body>",
+])
+def test_comments_forms_and_notices_go(spark, page):
+    weights = trained(spark)
+    want = "\n".join([TWO] * 4)
+    assert hc.content(page, weights, P) == want and main(page) == want
+
+
+_WEIGHTS = []
+
+
+def trained(spark):
+    """Weights of the given pages, whose boilerplate has no paragraphs."""
+    if not _WEIGHTS:
+        _WEIGHTS.append(hc.train(table(spark, "/root/testdata/sf0.01", "pages"), P))
+    return _WEIGHTS[0]
+
+
+@pytest.mark.parametrize("page", [
+    f"<article class='post comment-policy'>{FULL}</article>",
+    f"<article><div class='related-work'>{FULL}</div></article>",
+    f"<article><section class='menu-engineering'>{ARTICLE * 2}</section>{ARTICLE * 2}</article>",
+    f"<article class='list'><article>{FULL}</article><article>{PROSE}</article></article>",
+    f"<div class='comments'>{FULL}</div>",
+    f"<form><article>{FULL}</article><button>Send</button></form>",
+])
+def test_articles_with_such_names_stay(spark, page):
+    assert hc.content(page, trained(spark), P) == "\n".join([TWO] * 4)

@@ -1,3 +1,4 @@
+import os
 import random
 import shutil
 import subprocess
@@ -110,7 +111,43 @@ def test_empty(spark):
 
 def test_run_is_registered():
     assert entry.queries()["pipeline"] is cp.run
-    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in entry.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
+
+
+def test_two_runs_share_nothing(spark, tmp_path):
+    spark.createDataFrame(documents(), SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    first, second = cp.run(spark, str(tmp_path)), cp.run(spark, str(tmp_path))
+    assert first.count() == second.count() > 0
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """From another folder, with a bare search path."""
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+q = e.queries()
+assert q["op3_string_kernels"](spark, "/root/testdata/sf0.001").count() == 200
+import corpus_pipeline as cp
+docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+assert cp.STAGES[0][1](spark, docs, "").count() > 100
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert done.returncode == 0, done.stderr[-1500:]
+
+
+def test_rest_works_where_a_dependency_is_missing(tmp_path):
+    """The other queries stay, and a warning says what is left out."""
+    (tmp_path / "xxhash.py").write_text("raise ImportError('no xxhash here')")
+    code = f"""
+import sys; sys.path[:0] = [{str(tmp_path)!r}, {str(ROOT)!r}]
+import __spark_entry__ as e
+q = e.queries(); assert "thread_rollup" in q and "pipeline" not in q and not any(n.startswith("op1") for n in q)
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0 and "no xxhash here" in done.stderr, done.stderr[-1500:]
 
 
 def test_rest_works_without_the_subpackage(tmp_path):

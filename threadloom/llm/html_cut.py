@@ -8,10 +8,12 @@ content from boilerplate.
 
 Blocks inside navigation, footers, page headers, asides and hidden elements are
 boilerplate for certain; scripts, styles and other unseen elements give no text.
-Standing in a form, or in an element whose class, id or role names an advert, menu,
-notice, comment and the like, costs a block something, and the cut decides. Names of
-html, body, main and article say nothing, nor do a form or names around all of the
-page or its article.
+Standing in an element whose class, id or role mentions an advert, menu, notice,
+comment and the like costs a block something, and the cut decides. A name that says
+only that (``comment-list``, not ``comment-policy``) costs more than any text is worth, and so
+do forms and articles inside articles, unless they hold half of the page's text.
+Names of html, body and main say nothing, those of an article only as whole classes
+(``comment``), and names around all of the page or its article nothing either.
 
 Text: character references decoded, white space in a block one blank, blocks
 trimmed and joined by line breaks in page order. Defined cases: NULL html is
@@ -61,6 +63,11 @@ HINTS = set(
     "recommended comment comments disqus replies reply pagination pager copyright legal skip toolbar masthead topbar".split()
 )
 EDGE_HINTS = {"header", "footer"}
+OPEN_HINTS = set("related recommended copyright legal skip toolbar masthead topbar".split())  # may well name prose
+FILLERS = set(
+    "list area section box wrapper wrap container block thread widget body item text content author meta bar form panel card inner outer "
+    "post page site user reader main top bottom left right header footer title group row col column level odd even depth new web the".split()
+)  # say nothing about what an element is
 
 
 @dataclass
@@ -71,7 +78,9 @@ class Block:
     certain: bool  # boilerplate for certain
     inside: bool  # in an article or main element
     linked: int  # characters in links
-    hinted: bool  # in a form or an element with one of the names
+    hinted: bool  # in an element that mentions one of the names
+    named: bool = False  # in an element that is one of them by name
+    group: int = 0  # the form, or article within an article, that it stands in
 
 
 @dataclass
@@ -83,17 +92,31 @@ class _Node:
     link: bool
     hinted: bool = False
     unseen: bool = False
+    named: bool = False
+    group: int = 0
 
 
-def _flags(tag: str, attributes: str, up: _Node) -> tuple[bool, bool, bool]:
+def _is_name(value: str) -> bool:
+    """Whether one of some classes is a name of boilerplate and nothing else."""
+    for one in value.split():
+        words = {w.lower() for w in WORD.findall(one)}
+        if words & (HINTS - OPEN_HINTS) and words <= HINTS | FILLERS:
+            return True
+    return False
+
+
+def _flags(tag: str, attributes: str, up: _Node) -> tuple[bool, bool, bool, bool]:
     inside = up.inside or tag in CONTENT
     certain = up.certain or tag in CERTAIN or (tag == "header" and not up.inside)
-    hinted = up.hinted or tag == "form"
+    hinted, named = up.hinted, up.named
     if attributes and not certain:
         for m in NAMES.finditer(attributes):
             name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
             if name in ("class", "id", "role"):
-                if tag not in WHOLE:
+                if tag == "article":
+                    named |= name == "class" and bool({x.lower() for x in value.split()} & (HINTS - OPEN_HINTS))
+                elif tag not in WHOLE:
+                    named |= _is_name(value)
                     words = {w.lower() for w in WORD.findall(value)}
                     hinted |= bool(words & HINTS) or (bool(words & EDGE_HINTS) and not inside)
             elif name == "hidden":
@@ -102,7 +125,7 @@ def _flags(tag: str, attributes: str, up: _Node) -> tuple[bool, bool, bool]:
                 certain |= value.lower() == "true"
             else:
                 certain |= "display:none" in value.lower().replace(" ", "")
-    return certain, inside, hinted
+    return certain, inside, hinted or named, named
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -118,7 +141,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, home.tag, home.number, home.certain, home.inside, linked, home.hinted))
+            out.append(Block(text, home.tag, home.number, home.certain, home.inside, linked, home.hinted, home.named, home.group))
         parts, linked = [], 0
 
     def say(text: str) -> None:
@@ -126,11 +149,11 @@ def blocks_of(page: str) -> list[Block]:
         if not text or stack[-1].unseen:
             return
         top = stack[-1]
-        if not parts or (top.certain, top.hinted) != (home.certain, home.hinted):
+        if not parts or (top.certain, top.hinted, top.named) != (home.certain, home.hinted, home.named):
             end_block()  # an inline element that is or may be boilerplate stands by itself
             home = next((n for n in reversed(stack) if n.tag in BLOCK or not n.tag), root)
-            if (top.certain, top.hinted) != (home.certain, home.hinted):
-                home = _Node(home.tag, home.number, top.certain, home.inside, False, top.hinted)
+            if (top.certain, top.hinted, top.named) != (home.certain, home.hinted, home.named):
+                home = _Node(home.tag, home.number, top.certain, home.inside, False, top.hinted, named=top.named, group=home.group)
         parts.append(text)
         if top.link:
             linked += len(text)
@@ -196,8 +219,9 @@ def blocks_of(page: str) -> list[Block]:
                         del stack[k:]
                         break
         up = stack[-1]
-        certain, inside, hinted = _flags(tag, m.group(3), up)
-        stack.append(_Node(tag, made, certain, inside, up.link or tag == "a", hinted, up.unseen or unseen))
+        certain, inside, hinted, named = _flags(tag, m.group(3), up)
+        group = made if tag == "form" or (tag == "article" and any(n.tag == "article" for n in stack)) else up.group
+        stack.append(_Node(tag, made, certain, inside, up.link or tag == "a", hinted, up.unseen or unseen, named, group))
         made += 1
     end_block()
     return out
@@ -245,8 +269,9 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 class CutParams:
     """``pages``: about as many are drawn for training, ``per_page`` blocks of each at most.
     ``adjacent``, ``sibling``: smoothness. ``article``: what standing inside or outside
-    an article adds to a block's cost, on pages that have one. ``hint``: what a form or
-    name adds to the cost of content; it also takes the article's part away."""
+    an article adds to a block's cost, on pages that have one. ``hint``: what a mention
+    adds to the cost of content; it also takes the article's part away. ``named``: what a
+    name, form or inner article adds, above all other costs."""
 
     pages: int = 400
     per_page: int = 40
@@ -254,6 +279,7 @@ class CutParams:
     sibling: float = 0.7
     article: float = 6.0
     hint: float = 3.0
+    named: float = 30.0
     certain: float = 1e6
     largest: float = 8.0
 
@@ -377,6 +403,15 @@ def ties_of(blocks: list[Block], p: CutParams) -> list[tuple[int, int, float]]:
     return ties
 
 
+def _small_groups(blocks: list[Block], core: np.ndarray) -> np.ndarray:
+    """Blocks in forms and inner articles that hold less than half of the text of ``core``."""
+    size = np.array([len(b.text) for b in blocks]) * core
+    held: dict[int, int] = {}
+    for b, n in zip(blocks, size.tolist()):
+        held[b.group] = held.get(b.group, 0) + n
+    return np.array([b.group > 0 and 2 * held[b.group] < size.sum() for b in blocks])
+
+
 def content(page: str, weights: np.ndarray, p: CutParams) -> str:
     """Main text of a page."""
     blocks = blocks_of(page)
@@ -387,12 +422,16 @@ def content(page: str, weights: np.ndarray, p: CutParams) -> str:
     certain = np.array([b.certain for b in blocks])
     hinted = np.array([b.hinted for b in blocks])
     core = inside & ~certain if (inside & ~certain).any() else ~certain
-    if hinted[core].all():  # names around all of it tell nothing apart
+    named = np.array([b.named for b in blocks]) | _small_groups(blocks, core)
+    # Names around all of it tell nothing apart.
+    if hinted[core].all():
         hinted = hinted & ~core
+    if named[core].all():
+        named = named & ~core
     if (inside & ~certain).any():
         bonus = np.where(inside, np.maximum(unary + p.article, -0.5), np.minimum(unary - p.article, 0.5))
         unary = np.where(inside & hinted, unary, bonus)
-    unary = unary - p.hint * hinted
+    unary = unary - p.hint * hinted - p.named * named
     unary[certain] = -p.certain
     keep = minimum_cut(unary, ties_of(blocks, p))
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
@@ -419,7 +458,7 @@ def train(pages: DataFrame, p: CutParams, id_col: str = "page_id", html_col: str
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["row"])
 
     drawn = pages.filter(F.substring(turn, 1, 8) <= limit).select(html_col)
-    rows = [r.row for r in drawn.mapInArrow(label, "row array<double>").orderBy("row").limit(2 * p.pages * p.per_page).collect()]
+    rows = [r.row for r in drawn.mapInArrow(label, "row array<double>").orderBy(F.xxhash64("row"), "row").limit(2 * p.pages * p.per_page).collect()]
     data = np.array(sorted(rows)).reshape(-1, FEATURES + 1)
     return fit(data[:, 1:], data[:, 0])
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +148,16 @@ class Model:
         )
 
 
+def packed(model: Model) -> tuple:
+    """Plain values of a model: workers need no installed copy of this package to read them."""
+    return model.labels, model.weights, model.bias, astuple(model.params), model.known, model.reached
+
+
+def unpacked(values: tuple) -> Model:
+    labels, weights, bias, params, known, reached = values
+    return Model(labels, weights, bias, LanguageParams(*params), known, reached)
+
+
 def fit(samples: list[tuple[str, bytes]], p: LanguageParams) -> Model:
     """Model from (label, segment) pairs, taken in the given order."""
     labels = sorted({label for label, _ in samples})
@@ -201,12 +211,12 @@ def train(docs: DataFrame, p: LanguageParams, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("label"))
     rows = training_rows(rows, "id", "text", "label").withColumn("turn", F.md5(F.concat(F.lit("lang:"), F.col("id").cast("string"))))
     counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    each = min(p.per_label, p.most // max(1, len(counts)))
+    each = max(1, min(p.per_label, p.most // max(1, len(counts))))
     # A share of each language that holds twice the draw, so that few texts move.
-    limit = F.lit("")
-    for label, n in counts.items():
-        limit = F.when(F.col("label") == label, f"{int(min(2 * each / n, 1.0) * (16**8 - 1)):08x}").otherwise(limit)
-    drawn = rows.filter(F.substring("turn", 1, 8) <= limit).select("label", "turn", "text")
+    limits = docs.sparkSession.createDataFrame(
+        [(label, f"{int(min(2 * each / n, 1.0) * (16**8 - 1)):08x}") for label, n in counts.items()], "label string, upto string"
+    )
+    drawn = rows.join(limits, "label").filter(F.substring("turn", 1, 8) <= F.col("upto")).select("label", "turn", "text")
     parts = drawn.mapInArrow(cut_segments, "label string, turn string, part binary")
     first = Window.partitionBy("label").orderBy("turn", "part")
     picked = parts.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each)
@@ -218,12 +228,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
     """Adds the predicted language and its score; all other columns pass through."""
     names = docs.columns
     at = names.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x labels, a fixed size per language
+    shared = docs.sparkSession.sparkContext.broadcast(packed(model))  # buckets x labels, a fixed size per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpacked(shared.value)
         for whole in batches:
             for batch in (whole.slice(i, 256) for i in range(0, len(whole), 256)):
-                label, score = shared.value.predict(batch.column(at).to_pylist())
+                label, score = known.predict(batch.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(label, pa.string()), pa.array(score, pa.float64())],
                     names=[*names, pred_col, score_col],
@@ -236,11 +247,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
 def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Rows whose text has a letter and is not foreign to all languages of the model."""
     at = docs.columns.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(packed(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpacked(shared.value)
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.fits(batch.column(at).to_pylist()), pa.bool_()))
+            yield batch.filter(pa.array(known.fits(batch.column(at).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
 
