@@ -205,3 +205,29 @@ def test_combine_is_always_called(spark):
     out = run_enrichment(threads, summarise, combine=lambda row: "+".join(row["parts"]))
     assert rows_of(out["summaries"].select("thread_id", "summary")) == {("a", "X1+X2"), ("b", "Y")}
     assert rows_of(out["failed"]) == {("c", "summary", "ValueError: no")}
+
+
+def test_taxonomy_is_reduced_as_a_tree(spark):
+    """Forty batches, four answers a call, three levels; one inner call of another root fails."""
+    rows = [(f"t{i}", f"s{i}", root) for root in ("ROOT A", "ROOT B") for i in range(400)] + [("one", "s", "ROOT C")]
+    anchored = spark.createDataFrame(rows, "thread_id string, summary string, root string")
+    before = spark.createDataFrame([(r, "old", "x") for r in ("ROOT A", "ROOT B", "ROOT C", "ROOT D")], "root_id string, domain string, topic string")
+
+    def induce(row):
+        assert row["current_tree"] == []
+        return [{"domain": "n", "topics": [f"{row['batch_no']}:{len(row['summaries'])}"]}]
+
+    def combine(row):
+        assert 1 <= len(row["partials"]) <= 4 and bool(row["current_tree"]) == row["is_last"]
+        topics = [x for answer in row["partials"] for d in answer if d["domain"] == "n" for x in d["topics"]]
+        if row["root_id"] == "ROOT B" and "17:" in " ".join(topics) and not row["is_last"]:
+            raise ValueError("lost")
+        return [{"domain": "n", "topics": topics}, {"domain": "old", "topics": [d["domain"] for d in row["current_tree"]]}]
+
+    tree, lost = taxonomy.induce_taxonomy(anchored, before, induce, batch=10, combine=combine, fan_in=4)
+    found = rows_of(tree)
+    mine = [t for r, d, t in found if r == "ROOT A" and d == "n"]
+    assert len(mine) > 30 and sum(int(x.split(":")[1]) for x in mine) == 400 and ("ROOT A", "old", "old") in found
+    assert {x for x in found if x[0] in ("ROOT B", "ROOT D")} == {("ROOT B", "old", "x"), ("ROOT D", "old", "x")}
+    assert {x for x in found if x[0] == "ROOT C"} == {("ROOT C", "n", "0:1"), ("ROOT C", "old", "old")}
+    assert [tuple(r) for r in lost.collect()] == [("ROOT B", -1, "ValueError: lost")]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators.rollups import dropped_threads, rollup_threads
+from threadloom.operators.skew import most_frequent, salted, salts_for
 from threadloom.operators.threads import assign_threads, resolve_targets
 from threadloom.sources.layers import path_exists
 from threadloom.streaming.stitcher import pending_messages, stitch_batch, thread_index
@@ -85,10 +86,25 @@ def test_one_parent_holds_a_third(spark):
     rows = [(1, i, None if i == 1 else 1 if i % 3 else i - 1) for i in range(1, 3000)]
     df = spark.createDataFrame(rows, KEYS)
     targets = resolve_targets(df, hot_rows=100)
-    assert max(targets.salts.values()) > 5
+    assert targets.salts.agg(F.max("_salts")).first()[0] > 5
     assert assigned(spark, rows, hot_rows=100) == walk(rows)
 
 
+def test_five_hundred_hot_parents(spark):
+    """Any number of hot keys is salted: no part of a key is twice the median part."""
+    replies = spark.range(500 * 300).select(
+        (F.col("id") % 5).alias("chat_id"), (F.col("id") + 1000).alias("message_id"), (F.col("id") % 500 + 1).alias("parent_id")
+    ).withColumn("n", F.col("message_id")).filter("parent_id <= 250 OR message_id % 2 = 0")
+    on = ["chat_id", "parent_id"]
+    salts = salts_for(replies, on, replies.agg(most_frequent(on)).first()[0], 100)
+    assert salts.count() == 500
+    parts = [r[0] for r in salted(replies, salts, on, ["message_id"]).groupBy(*on, "_salt").count().select("count").collect()]
+    assert max(parts) <= 2 * sorted(parts)[len(parts) // 2]
+    assert salts_for(replies, on, replies.agg(most_frequent(on)).first()[0], 400) is None
+    rows = [(1, p, None) for p in range(1, 501)] + [(1, 1000 + i, i % 500 + 1) for i in range(5000)]
+    assert assigned(spark, rows, hot_rows=5) == walk(rows)
+
+
 def test_long_chain_takes_few_rounds(spark):
     rows = [(1, i, i - 1 if i > 1 else None) for i in range(1, 1500)]
     targets = resolve_targets(spark.createDataFrame(rows, KEYS))

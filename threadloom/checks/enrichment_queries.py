@@ -2,6 +2,7 @@
 
 import hashlib
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
@@ -14,12 +15,13 @@ from threadloom.checks.views import (
     line_triplets,
 )
 from threadloom.functions.text import extract_tag
-from threadloom.lineage import cut
+from threadloom.lineage import cut, fresh_path
 from threadloom.operators import graph as G
 from threadloom.operators import routing, taxonomy, triplets
-from threadloom.operators.models import map_model
+from threadloom.operators.models import map_model, map_model_logged
 from threadloom.operators.speakers import tag_speakers
 from threadloom.plans.enrichment import run_enrichment
+from threadloom.sources.layers import layer_version, read_layer
 
 
 @query("extract_tag", r"""
@@ -67,6 +69,44 @@ def anchored_documents(t):
     return cut(routed_documents(t), "anchored")
 
 
+@query("map_model_logged", """
+SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN CAST(length(text) AS BIGINT) END AS chars,
+  CASE WHEN doc_id % 7 = 0 THEN 'ValueError' END AS error, 1 AS calls
+FROM documents
+""")
+def map_model_logged_query(t):
+    """A run that dies on the way and one that goes on: every row is called once.
+
+    An answer carries the number of the run; rows that the first run answered keep it.
+    """
+    documents = t("documents").select("doc_id", "text")
+    base = fresh_path(t.spark, "calls")
+
+    def describe(run, stop):
+        def call(row):
+            if stop and row["doc_id"] == stop:
+                raise KeyboardInterrupt  # ends the task, unlike an error of the row
+            if row["doc_id"] % 7 == 0:
+                raise ValueError("refused")
+            return {"chars": len(row["text"]), "run": run}
+
+        return call
+
+    last = documents.agg(F.max("doc_id")).first()[0]
+    kind = "struct<chars:bigint,run:int>"
+    try:
+        map_model_logged(documents, describe(1, last), ["doc_id"], kind, base, "calls", batches=4)
+        raise AssertionError("the first run should die")
+    except PySparkException:
+        pass
+    before = read_layer(t.spark, base, "calls") if layer_version(t.spark, base, "calls") is not None else None
+    out = cut(map_model_logged(documents, describe(2, None), ["doc_id"], kind, base, "calls", batches=4), "answers")
+    if before is not None and before.join(out, "doc_id").filter(before["result.run"] != out["result.run"]).count():
+        raise AssertionError("a row was called again")
+    counts = read_layer(t.spark, base, "calls").groupBy("doc_id").agg(F.count("*").cast("int").alias("calls"))
+    return out.join(counts, "doc_id").select("doc_id", "result.chars", F.substring_index("error", ":", 1).alias("error"), "calls")
+
+
 @query("route_by_lexicon", f"WITH {ROUTED_SQL} SELECT thread_id, root FROM routed")
 def route_by_lexicon(t):
     return routed_documents(t).select("thread_id", "root")
@@ -223,6 +263,47 @@ def taxonomy_partial_failure(t):
     return tree
 
 
+@query("taxonomy_tree", f"""
+WITH {ROUTED_SQL}
+, sized AS (SELECT root, CAST(ceil(count(*) / 5.0) AS BIGINT) AS batch_count FROM routed GROUP BY root)
+SELECT DISTINCT root AS root_id, lang AS domain, source AS topic FROM routed JOIN sized USING (root)
+WHERE root <> 'ROOT B' OR batch_count <= 4
+UNION ALL SELECT root, 'kept', 'as it was' FROM sized WHERE root <> 'ROOT B' OR batch_count > 4
+""")
+def taxonomy_tree(t):
+    """Batches of five, four answers a call: languages with their sources. Every inner call of ROOT B fails.
+
+    The tree that a root had is added by its last call, and by that one alone.
+    """
+    def induce(row):
+        pairs = [x.split("|") for x in row["summaries"]]
+        return [{"domain": d, "topics": sorted({s for lang, s in pairs if lang == d})} for d in {lang for lang, _ in pairs}]
+
+    def combine(row):
+        if row["root_id"] == "ROOT B" and not row["is_last"]:
+            raise RuntimeError("no answer")
+        if len(row["partials"]) > 4 or (row["current_tree"] and not row["is_last"]):
+            raise AssertionError("too many answers, or the tree came early")
+        topics = {d["domain"]: set(d["topics"]) for d in row["current_tree"] if row["root_id"] != "ROOT B"}
+        for answer in row["partials"]:
+            for d in answer:
+                topics.setdefault(d["domain"], set()).update(d["topics"])
+        return [{"domain": d, "topics": sorted(s)} for d, s in topics.items()]
+
+    anchored = routing.route_by_lexicon(
+        t("documents").select(
+            F.concat(F.lit("doc "), "doc_id").alias("thread_id"),
+            F.col("text").alias("summary"), F.concat_ws("|", "lang", "source").alias("short"),
+        ),
+        LEXICON,
+    ).select("thread_id", F.col("short").alias("summary"), "root")
+    before = anchored.select(F.col("root").alias("root_id")).distinct().select(
+        "root_id", F.lit("kept").alias("domain"), F.lit("as it was").alias("topic")
+    )
+    tree, _ = taxonomy.induce_taxonomy(anchored, before, induce, batch=5, combine=combine, fan_in=4)
+    return tree
+
+
 @query("speaker_roles", """
 SELECT conv_id, turn, CASE role WHEN 'assistant' THEN 'Answer Expert,Moderator'
   WHEN 'system' THEN 'Moderator' ELSE 'Participant' END AS roles

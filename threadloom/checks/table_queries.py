@@ -91,23 +91,31 @@ HAVING bool_or(regexp_matches(said, '(?i)there|eaux|ción'))
 """
 
 
-def _loaded(threads):
-    where = (F.col("message_count") > 3) & contains_any(
-        F.col("transcript"), ["there", "eaux", "ción"]
-    )
-    rows = whole_transcripts(Q.load_threads(threads, where))
+WORDS = ["there", "eaux", "ción"]
+
+
+def _loaded(threads, **texts):
+    rows = whole_transcripts(Q.load_threads(threads, F.col("message_count") > 3, **texts))
     return rows.select("thread_id", F.md5("transcript").alias("transcript_md5"))
 
 
 @query("load_threads", LOAD_SQL)
 def load_threads(t):
-    return _loaded(conversation_threads(t))
+    return _loaded(conversation_threads(t), holds=contains_any(F.col("transcript"), WORDS))
 
 
 @query("load_large_threads", LOAD_SQL)
 def load_large_threads(t):
     """A text that stands in one part loads all parts of the thread."""
-    return _loaded(cut(conversation_threads(t, part_chars=300), "threads"))
+    threads = cut(conversation_threads(t, part_chars=300), "threads")
+    return _loaded(threads, holds=contains_any(F.col("transcript"), WORDS))
+
+
+@query("load_threads_without", LOAD_SQL.replace("HAVING bool_or(", "HAVING NOT bool_or("))
+def load_threads_without(t):
+    """A text that stands in one of its parts keeps a thread out."""
+    threads = cut(conversation_threads(t, part_chars=300), "threads")
+    return _loaded(threads, lacks=contains_any(F.col("transcript"), WORDS))
 
 
 @query("stratified_sample", """

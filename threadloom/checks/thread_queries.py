@@ -261,6 +261,40 @@ def rich_transcripts(t):
     return X.rich_threads(attached_events(t)).select("thread_id", "transcript")
 
 
+@query("rich_thread_records", f"""
+WITH RECURSIVE {REACTIONS_SQL.replace(PLACED_SQL, ROLLUP_SQL)}
+, per AS (SELECT chat_id, root_id, emoji, CAST(sum(cnt) AS BIGINT) AS total FROM rx GROUP BY ALL)
+, emo AS (
+  SELECT chat_id, root_id, CAST(sum(total) AS BIGINT) AS total_count, string_agg(emoji, ' ' ORDER BY emoji) AS unique_emojis,
+    string_agg(emoji || '=' || total, ' ' ORDER BY emoji) AS emoji_counts FROM per GROUP BY ALL)
+, named AS (
+  SELECT chat_id, root_id, from_id, arg_max(sender, date_unixtime * 10000000 + message_id) FILTER (sender <> '') AS name
+  FROM attached WHERE from_id <> '' GROUP BY ALL)
+, people AS (
+  SELECT chat_id, root_id, string_agg(from_id, ' ' ORDER BY from_id) AS participant_ids,
+    coalesce(string_agg(from_id || '=' || name, ' ' ORDER BY from_id) FILTER (name IS NOT NULL), '') AS participant_names
+  FROM named GROUP BY ALL)
+SELECT thread_id, message_count, participant_count, coalesce(p.participant_ids, '') AS participant_ids,
+  coalesce(p.participant_names, '') AS participant_names, coalesce(total_count, 0) AS total_count,
+  coalesce(unique_emojis, '') AS unique_emojis, coalesce(emoji_counts, '') AS emoji_counts
+FROM thread t LEFT JOIN people p ON p.chat_id = t.chat_id AND p.root_id = t.root_message_id
+LEFT JOIN emo e ON e.chat_id = t.chat_id AND e.root_id = t.root_message_id
+""")
+def rich_thread_records(t):
+    attached = cut(attached_events(t), "attached")
+    records = X.rich_records(X.rich_threads(attached, stored=True), attached)
+
+    def pairs(column):
+        return F.array_join(F.transform(F.sort_array(F.map_entries(column)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), " ")
+
+    return records.select(
+        "thread_id", "message_count", "participant_count", F.array_join("participant_ids", " ").alias("participant_ids"),
+        pairs("participant_names").alias("participant_names"), F.col("reaction_summary.total_count").alias("total_count"),
+        F.array_join("reaction_summary.unique_emojis", " ").alias("unique_emojis"),
+        pairs("reaction_summary.emoji_counts").alias("emoji_counts"),
+    )
+
+
 @query("message_payload", f"""
 WITH RECURSIVE {ROLLUP_SQL}
 SELECT thread_id, row_number() OVER (PARTITION BY thread_id ORDER BY a.date_unixtime, a.message_id) AS position,

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from threadloom.lineage import cut
+from threadloom.functions.text import batch_number
+from threadloom.lineage import cut, job
+from threadloom.sources.layers import layer_version, read_layer, upsert_layer
 
 
 def map_model(
@@ -31,10 +33,7 @@ def map_model(
     the calls.
     """
     result = T._parse_datatype_string(result_type)
-    schema = T.StructType(
-        [df.schema[k] for k in keys]
-        + [T.StructField("result", result), T.StructField("error", T.StringType())]
-    )
+    schema = _result_schema(df, keys, result)
     arrow_result = to_arrow_type(result)
 
     def call(row: dict) -> tuple[Any, str | None]:
@@ -63,6 +62,55 @@ def map_model(
     return cut(df.mapInArrow(run, schema), "model-results")
 
 
+def _result_schema(df: DataFrame, keys: list[str], result: T.DataType) -> T.StructType:
+    return T.StructType([df.schema[k] for k in keys] + [T.StructField("result", result), T.StructField("error", T.StringType())])
+
+
+def map_model_logged(
+    df: DataFrame,
+    fn: Callable[[dict], Any],
+    keys: list[str],
+    result_type: str,
+    base: str,
+    name: str,
+    batches: int = 16,
+    retry_errors: bool = False,
+    concurrency: int = 4,
+) -> DataFrame:
+    """``map_model`` that calls once per row over any number of runs.
+
+    Answers are a stored layer, keyed by a hash of the whole row and of the result
+    type. Rows that it lists are not called again; the others are called in ``batches``
+    by a hash of the row, each committed as it ends. A run that dies, in a task or on the
+    driver, loses the calls of one batch at most, and the next run goes on after it.
+    Changed rows are new rows. Errors are answers too, unless ``retry_errors``.
+    """
+    spark = df.sparkSession
+    call = F.md5(F.concat(F.lit(f"{result_type}:"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))
+    rows = cut(df.withColumn("_call", call), "model-calls")
+    schema = _result_schema(df, keys, T._parse_datatype_string(result_type))
+
+    def known() -> DataFrame:
+        if layer_version(spark, base, name) is None:
+            return spark.createDataFrame([], T.StructType([T.StructField("_call", T.StringType()), *schema.fields]))
+        return read_layer(spark, base, name)
+
+    there = known()
+    if retry_errors:
+        there = there.filter(F.col("error").isNull())
+    # Equal rows are one call.
+    left = cut(rows.join(there.select("_call"), "_call", "left_anti").dropDuplicates(["_call"]), "model-calls-left")
+    turn = batch_number("_call", F.lit(batches))
+    for i in range(batches):
+        some = left.filter(turn == i)
+        if some.isEmpty():
+            continue
+        with job(spark):
+            answers = map_model(some, fn, ["_call", *keys], result_type, concurrency)
+            upsert_layer(answers, base, name, ["_call"], buckets=batches)
+    return rows.select("_call").join(known(), "_call").select(*schema.names)
+
+
 def succeeded(results: DataFrame) -> DataFrame:
     return results.filter(F.col("error").isNull()).drop("error")
 

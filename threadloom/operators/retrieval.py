@@ -39,21 +39,31 @@ def count(df: DataFrame, where: Column | None = None) -> DataFrame:
     return rows.agg(F.count("*").alias("count"))
 
 
-def load_threads(threads: DataFrame, where: Column | None = None) -> DataFrame:
-    """Thread ids with non-empty transcripts, one row per gold row.
+def load_threads(
+    threads: DataFrame, where: Column | None = None, holds: Column | None = None, lacks: Column | None = None
+) -> DataFrame:
+    """Thread ids with non-empty transcripts, one row per gold row; threads are loaded whole.
 
-    A thread of several parts is loaded whole as soon as ``where`` holds for one part.
+    ``where`` is about the thread: its header columns. ``holds`` must be true of some
+    part, ``lacks`` of none; these are about texts. So a thread of several parts is
+    loaded exactly when it would be as one, as parts are cut between messages (a
+    pattern that spans messages is only found within a part). Where threads have parts,
+    a ``where`` that names the text is refused by the analyser.
     """
-    if "part_no" not in threads.columns:
-        rows = find(threads, where)
-        return rows.filter(F.length("transcript") > 0).select("thread_id", "transcript")
+    shown = [c for c in ("thread_id", "part_no", "transcript") if c in threads.columns]
     rows = threads
+    if "part_no" not in threads.columns:
+        for test in (where, holds, None if lacks is None else ~F.coalesce(lacks, F.lit(False))):
+            rows = rows if test is None else rows.filter(test)
+        return rows.filter(F.length("transcript") > 0).select(*shown)
     if where is not None:
-        single = F.coalesce(F.col("part_count") == 1, F.lit(False)) if "part_count" in threads.columns else F.lit(False)
-        hits = threads.filter(~single).filter(where).select("thread_id").distinct()
-        several = threads.filter(~single).join(hits, "thread_id", "left_semi")
-        rows = threads.filter(single).filter(where).unionByName(several)
-    return rows.filter(F.length("transcript") > 0).select("thread_id", "part_no", "transcript")
+        whole = headers(threads).drop("transcript", "messages", "messages_json").filter(where).select("thread_id")
+        rows = rows.join(whole, "thread_id", "left_semi")
+    if holds is not None:
+        rows = rows.join(threads.filter(holds).select("thread_id").distinct(), "thread_id", "left_semi")
+    if lacks is not None:
+        rows = rows.join(threads.filter(lacks).select("thread_id").distinct(), "thread_id", "left_anti")
+    return rows.filter(F.length("transcript") > 0).select(*shown)
 
 
 def headers(threads: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import extract_tag
+from threadloom.functions.text import batch_number, extract_tag
 from threadloom.lineage import cut
 from threadloom.operators.models import map_model
 from threadloom.operators.skew import broadcast_if_small
@@ -65,11 +65,6 @@ def route_by_lexicon(summaries: DataFrame, lexicon: list[tuple[str, str]]) -> Da
     )
 
 
-def batch_number(key: str, n: Column) -> Column:
-    """Even, repeatable spread of keys over ``n`` batches."""
-    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % n
-
-
 def group_by_root(anchored: DataFrame, batch: int = BATCH_SUMMARIES) -> DataFrame:
     """Summaries of each root as arrays, in batches of about ``batch``.
 

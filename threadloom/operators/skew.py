@@ -1,47 +1,51 @@
-"""Equi lookups that stay balanced when one key holds much of the data.
+"""Equi lookups that stay balanced when keys hold much of the data.
 
-Hot keys are found while another job writes its rows: a mergeable frequent-items
-sketch over hashed keys rides along as an observed metric, so no extra pass is
-needed. A lookup then splits each hot key over several salts and repeats only
-the matching rows of the unique side. A hash collision merely salts a cold key.
+A sketch over hashed keys rides along as an observed metric while another job
+writes its rows, and tells whether any key is hot at all. Only then are the hot keys
+counted, exactly and in any number, into a small table of salts. A lookup joins that
+table to both sides: the rows of a hot key are spread over its salts, and only the
+matching row of the unique side is repeated.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.lineage import cut
+
 HOT_ROWS = 2_000_000  # rows of one key that a single task handles comfortably
-MAX_HOT_KEYS = 128  # bounds the literal map below
-TRACKED = 50_000  # sketch size: keys above 1/50000 of the rows cannot be missed
-MAX_SALTS = 20_000
+TRACKED = 50_000  # sketch size: a key above 1/50000 of the rows cannot be missed
 BROADCAST_BYTES = 32 << 20
 
 
-def frequent_keys(keys: list[str], where: Column | None = None) -> Column:
-    """Aggregate for ``observe``: the most frequent key hashes with counts."""
+def most_frequent(keys: list[str], where: Column | None = None) -> Column:
+    """Aggregate for ``observe``: the most frequent key hash with its count, estimated from above."""
     hashed = F.xxhash64(*keys)
     if where is not None:
         hashed = F.when(where, hashed)
-    return F.call_function("approx_top_k", hashed, F.lit(MAX_HOT_KEYS), F.lit(TRACKED))
+    return F.call_function("approx_top_k", hashed, F.lit(1), F.lit(TRACKED))
+
+
+def salts_for(rows: DataFrame, keys: list[str], metric, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """(keys, ``_salts``) of all keys of more than ``hot_rows`` rows; None if ``metric`` rules them out."""
+    if not any(r["item"] is not None and r["count"] > hot_rows for r in metric or []):
+        return None
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    return cut(counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")), "salts")
 
 
-def salts_for(metric, hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Key hash → number of salts, for keys estimated above ``hot_rows``."""
-    return {
-        row["item"]: min(row["count"] // hot_rows + 1, MAX_SALTS)
-        for row in metric or []
-        if row["item"] is not None and row["count"] > hot_rows
-    }
+def salted(rows: DataFrame, salts: DataFrame, on: list[str], spread_by: list[str]) -> DataFrame:
+    """Rows with ``_salt``, 0 where their key is not hot."""
+    known = rows.join(broadcast_if_small(salts), on, "left")
+    return known.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
 
 
 def lookup(
     rows: DataFrame,
     unique: DataFrame,
     on: list[str],
-    salts: dict[int, int],
+    salts: DataFrame | None,
     spread_by: list[str],
     how: str = "inner",
 ) -> DataFrame:
@@ -49,13 +53,12 @@ def lookup(
 
     ``spread_by`` names columns of ``rows`` that vary within a key.
     """
-    if not salts:
+    if salts is None:
         return rows.join(unique, on, how)
-    pairs = reduce(lambda acc, kv: acc + [F.lit(kv[0]), F.lit(kv[1])], salts.items(), [])
-    n_salts = F.coalesce(F.create_map(*pairs)[F.xxhash64(*on)], F.lit(1))
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), n_salts).cast("int"))
-    salted_unique = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
-    return salted_rows.join(salted_unique, on + ["_salt"], how).drop("_salt")
+    repeated = unique.join(broadcast_if_small(salts), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    return salted(rows, salts, on, spread_by).join(repeated.drop("_salts"), on + ["_salt"], how).drop("_salt")
 
 
 def size_in_bytes(df: DataFrame) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from threadloom.operators.routing import BATCH_SUMMARIES, group_by_root
 from threadloom.operators.skew import broadcast_if_small
 from threadloom.schemas import TAXONOMY_UPDATE
 
+FAN_IN = 16  # answers of one combining call
+
 
 def merge_taxonomy(current: DataFrame, updated: DataFrame) -> DataFrame:
     """Roots in ``updated`` replace the same roots of ``current`` as a whole."""
@@ -36,24 +39,15 @@ def with_current_tree(batches: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
 
 
-def last_per_domain(update):
-    """Domains of one answer; a domain named twice keeps its last topics."""
-    numbered = F.transform(update, lambda d, i: F.struct(i.alias("i"), d.alias("d")))
-    kept = F.filter(
-        numbered,
-        lambda x: ~F.exists(
-            numbered, lambda y: (y["d"]["domain"] == x["d"]["domain"]) & (y["i"] > x["i"])
-        ),
-    )
-    return F.transform(kept, lambda x: x["d"])
-
+def taxonomy_rows(answers: DataFrame) -> DataFrame:
+    """Answers (``result``: array of domain and topics, in the order of ``batch_no``) → long table.
 
-def taxonomy_rows(results: DataFrame) -> DataFrame:
-    """Answers (``result``: array of domain and topics) → long table."""
-    domains = results.select("root_id", F.explode(last_per_domain(F.col("result"))).alias("d"))
-    return domains.select(
-        "root_id", F.col("d.domain").alias("domain"), F.explode_outer("d.topics").alias("topic")
-    ).distinct()
+    A domain that a root's answers name twice keeps its last topics.
+    """
+    each = answers.select("root_id", "batch_no", F.posexplode("result").alias("pos", "d"))
+    named = each.select("root_id", F.col("d.domain").alias("domain"), F.struct("batch_no", "pos", "d.topics").alias("at"))
+    last = named.groupBy("root_id", "domain").agg(F.max_by("at", F.struct("at.batch_no", "at.pos")).alias("at"))
+    return last.select("root_id", "domain", F.explode_outer("at.topics").alias("topic")).distinct()
 
 
 def induce_taxonomy(
@@ -62,34 +56,60 @@ def induce_taxonomy(
     fn: Callable[[dict], list[dict]],
     batch: int = BATCH_SUMMARIES,
     combine: Callable[[dict], list[dict]] | None = None,
+    fan_in: int = FAN_IN,
 ) -> tuple[DataFrame, DataFrame]:
     """New taxonomy and failed calls.
 
     ``fn`` gets ``root_id``, ``batch_no``, ``summaries`` and ``current_tree`` and returns
-    domains with topics. The answers of a root's batches, in batch order, are then
-    one answer: ``combine`` gets ``root_id``, ``partials`` (list of answers) and
-    ``current_tree``; without it they are joined end to end. In either case a
-    domain named twice keeps its last topics, however many batches there are.
-    A root is replaced only if all its calls succeed; otherwise it keeps its tree
-    and its failed calls are listed (``combine`` as batch -1).
+    domains with topics. Without ``combine`` the answers of a root's batches, in batch
+    order, are joined end to end. With it they are reduced as a tree: ``combine`` gets
+    ``root_id``, ``partials`` (at most ``fan_in`` answers in order), ``current_tree`` and
+    ``is_last``, level by level until one answer is left, for roots of one batch too. The
+    current tree then enters once, with the last call; all other calls get an empty one.
+    In either case a domain named twice keeps its last topics. A root is replaced only
+    if all its calls succeed; otherwise it keeps its tree and its failed calls are
+    listed (``combine`` as batch -1, -2, … by level).
     """
-    batches = with_current_tree(group_by_root(anchored, batch), taxonomy)
+    batches = group_by_root(anchored, batch)
+    if combine is None:
+        batches = with_current_tree(batches, taxonomy)
+    else:
+        batches = batches.withColumn("current_tree", F.array().cast(TAXONOMY_UPDATE))
     results = map_model(batches, fn, ["root_id", "batch_no"], TAXONOMY_UPDATE)
     lost = failed(results)
     whole = succeeded(results).join(lost.select("root_id").distinct(), "root_id", "left_anti")
-    partials = whole.groupBy("root_id").agg(
-        F.sort_array(F.collect_list(F.struct("batch_no", "result"))).alias("_p")
-    ).select("root_id", F.transform("_p", lambda x: x["result"]).alias("partials"))
     if combine is None:
-        answers = partials.select("root_id", F.flatten("partials").alias("result"))
-    else:
-        merged = map_model(with_current_tree(partials, taxonomy), combine, ["root_id"], TAXONOMY_UPDATE)
-        answers = succeeded(merged)
-        lost = lost.unionByName(
-            failed(merged).select("root_id", F.lit(-1).cast("bigint").alias("batch_no"), "error")
-        )
+        return merge_roots(taxonomy, whole), lost
+    answers, more = _reduce(whole, taxonomy, combine, fan_in)
     # An empty answer still replaces its root.
-    return merge_roots(taxonomy, answers), lost
+    return merge_roots(taxonomy, answers), lost.unionByName(more)
+
+
+def _reduce(
+    answers: DataFrame, taxonomy: DataFrame, combine: Callable[[dict], list[dict]], fan_in: int
+) -> tuple[DataFrame, DataFrame]:
+    """One answer per root from (root_id, batch_no, result), and the failed calls."""
+    spans = answers.groupBy("root_id").agg((F.max("batch_no") + 1).alias("span"))
+    nodes, level, done, lost = cut(answers.join(spans, "root_id"), "partial-answers"), 0, [], []
+    while not nodes.isEmpty():
+        level += 1
+        groups = nodes.groupBy("root_id", "span", F.floor(F.col("batch_no") / fan_in).alias("batch_no")).agg(
+            F.sort_array(F.collect_list(F.struct("batch_no", "result"))).alias("_p")
+        )
+        groups = groups.select(
+            "root_id", "batch_no", F.ceil(F.col("span") / fan_in).alias("span"), (F.col("span") <= fan_in).alias("is_last"),
+            F.transform("_p", lambda x: x["result"]).alias("partials"),
+        )
+        last = with_current_tree(groups.filter("is_last"), taxonomy)
+        inner = groups.filter("NOT is_last").withColumn("current_tree", F.array().cast(TAXONOMY_UPDATE))
+        results = map_model(last.unionByName(inner), combine, ["root_id", "batch_no", "span", "is_last"], TAXONOMY_UPDATE)
+        failures = failed(results)
+        lost.append(failures.select("root_id", F.lit(-level).cast("bigint").alias("batch_no"), "error"))
+        good = succeeded(results).join(failures.select("root_id").distinct(), "root_id", "left_anti")
+        done.append(good.filter("is_last").select("root_id", "batch_no", "result"))
+        nodes = cut(good.filter("NOT is_last").drop("is_last"), "partial-answers")
+    none = answers.select("root_id", "batch_no", F.lit("").alias("error")).filter("false")
+    return reduce(DataFrame.unionByName, done, answers.select("root_id", "batch_no", "result").filter("false")), reduce(DataFrame.unionByName, lost, none)
 
 
 def merge_roots(taxonomy: DataFrame, answers: DataFrame) -> DataFrame:

@@ -8,14 +8,14 @@ their parent's root once at the end.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadloom.lineage import cut, fresh_path
 from threadloom.operators.messages import dedupe, require_columns
-from threadloom.operators.skew import HOT_ROWS, frequent_keys, lookup, salts_for
+from threadloom.operators.skew import HOT_ROWS, lookup, most_frequent, salts_for
 
 # Parent ids that mean "no parent".
 NO_PARENT = (0, -1)
@@ -70,8 +70,8 @@ def parent_lookup(
         *[F.col(c).alias(f"parent_{c}") for c in columns],
     )
     on = ["chat_id", "parent_id"]
-    hot = replies.agg(frequent_keys(on)).first()[0]
-    return lookup(replies, parents, on, salts_for(hot, hot_rows), spread_by=["message_id"])
+    salts = salts_for(replies, on, replies.agg(most_frequent(on)).first()[0], hot_rows)
+    return lookup(replies, parents, on, salts, spread_by=["message_id"])
 
 
 @dataclass
@@ -79,7 +79,7 @@ class ReplyTargets:
     """Thread root of every message that has replies."""
 
     roots: DataFrame  # chat_id, message_id, root_id
-    salts: dict[int, int] = field(default_factory=dict)  # hot parents, for the final join
+    salts: DataFrame | None = None  # hot parents (chat_id, _parent), for the final join
     rounds: int = 0
 
 
@@ -99,7 +99,8 @@ def resolve_targets(
     """
     links = _links(identified(messages))
     replies = links.filter(F.col("parent_id").isNotNull())
-    hot_parents = replies.agg(frequent_keys(["chat_id", "parent_id"])).first()[0]  # no shuffle
+    answered = ["chat_id", "parent_id"]
+    hot_parents = salts_for(replies, answered, replies.agg(most_frequent(answered)).first()[0], hot_rows)
     parents = replies.select("chat_id", F.col("parent_id").alias("message_id")).distinct()
 
     is_root = F.col("parent_id").isNull()
@@ -125,7 +126,7 @@ def resolve_targets(
         rows.observe(
             seen,
             F.count_if(waiting).alias("open"),
-            frequent_keys(["chat_id", "ptr"], where=waiting).alias("hot"),
+            most_frequent(["chat_id", "ptr"], where=waiting).alias("hot"),
         ).write.parquet(f"{folder}/round={number}")
         return seen.get
 
@@ -145,7 +146,7 @@ def resolve_targets(
             F.col("ptr").alias("next_ptr"),
             F.col("done").alias("next_done"),
         )
-        salts = salts_for(seen["hot"], hot_rows)
+        salts = salts_for(undone, ["chat_id", "ptr"], seen["hot"], hot_rows)
         step = lookup(undone, targets, ["chat_id", "ptr"], salts, spread_by=["message_id"])
         rounds += 1
         before = seen["open"]
@@ -157,7 +158,9 @@ def resolve_targets(
             rounds,
         )
     roots = written().filter("done").select("chat_id", "message_id", F.col("ptr").alias("root_id"))
-    return ReplyTargets(roots, salts_for(hot_parents, hot_rows), rounds)
+    if hot_parents is not None:
+        hot_parents = hot_parents.withColumnRenamed("parent_id", "_parent")
+    return ReplyTargets(roots, hot_parents, rounds)
 
 
 def attach(messages: DataFrame, targets: ReplyTargets) -> DataFrame:

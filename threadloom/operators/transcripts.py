@@ -20,6 +20,8 @@ from threadloom.operators.messages import require_columns
 from threadloom.operators.rollups import (
     KEYS,
     MIN_MESSAGES,
+    nested_participants,
+    reaction_summary,
     rollup_threads,
     top_emojis,
 )
@@ -156,15 +158,19 @@ def _in_parts(rows: DataFrame, part_chars: int) -> DataFrame:
     )
 
 
-def thread_parts(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
-    """Gold rows without transcript. Runs one narrow job to look for large threads."""
+def thread_parts(attached: DataFrame, part_chars: int = PART_CHARS, stored: bool = False) -> DataFrame:
+    """Gold rows without transcript. Runs one narrow job to look for large threads.
+
+    Sizes and rows are two reads of ``attached``. It is written for them, unless it is
+    ``stored``: then its wide rows are not copied.
+    """
     require_columns(attached, [*PAYLOAD, "root_id", "is_root"])
     weight = (
         F.coalesce(F.length("text"), F.lit(0)) + F.coalesce(F.length("sender"), F.lit(0)) + 64
     ).cast("bigint")
-    # Stored once: sizes and rows are read from it, and the final lookup of the threads
-    # is not made again.
-    rows = cut(typed(attached).withColumn("_weight", weight), "attached")
+    rows = typed(attached).withColumn("_weight", weight)
+    if not stored:
+        rows = cut(rows, "attached")
     sizes = rows.groupBy(*KEYS).agg(F.sum("_weight").alias("_size"))
     large = cut(sizes.filter(F.col("_size") > part_chars), "large-threads-sizes")
     if large.isEmpty():
@@ -201,15 +207,40 @@ def render_transcripts(parts: DataFrame, rich: bool = False) -> DataFrame:
     return parts.withColumn("transcript", F.when(F.col("part_no") == 0, first).otherwise(lines))
 
 
-def gold_threads(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+def gold_threads(attached: DataFrame, part_chars: int = PART_CHARS, stored: bool = False) -> DataFrame:
     """Threads with basic transcripts and the message payload."""
-    return render_transcripts(thread_parts(attached, part_chars)).select(*GOLD)
+    return render_transcripts(thread_parts(attached, part_chars, stored)).select(*GOLD)
+
+
+def rich_records(threads: DataFrame, attached: DataFrame) -> DataFrame:
+    """One record per thread of ``rich_threads``, with its people and reactions.
+
+    Adds ``participant_ids``, ``participant_names`` (id → last name) and
+    ``reaction_summary`` (total_count, unique_emojis, emoji_counts; of nothing: 0 and
+    empty) to each header. They hold one entry per participant and emoji of the thread.
+    """
+    attached = typed(attached)
+    summary = reaction_summary(attached).select(*KEYS, F.struct("total_count", "unique_emojis", "emoji_counts").alias("_s"))
+    extra = nested_participants(attached).join(summary, KEYS, "full_outer").withColumnRenamed("root_id", "root_message_id")
+    none = F.struct(
+        F.lit(0).cast("bigint").alias("total_count"), F.array().cast("array<string>").alias("unique_emojis"),
+        F.create_map().cast("map<string,bigint>").alias("emoji_counts"),
+    )
+    heads = threads.filter(F.col("part_no") == 0)
+    return heads.join(extra, ["chat_id", "root_message_id"], "left").select(
+        *heads.columns,
+        F.coalesce("participant_ids", F.array().cast("array<string>")).alias("participant_ids"),
+        F.coalesce("participant_names", F.create_map().cast("map<string,string>")).alias("participant_names"),
+        F.coalesce("_s", none).alias("reaction_summary"),
+    )
 
 
-def rich_threads(attached: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+def rich_threads(attached: DataFrame, part_chars: int = PART_CHARS, stored: bool = False) -> DataFrame:
     """Threads with rich transcripts and their velocity."""
-    attached = cut(typed(attached), "attached")
-    parts = with_sentiment(thread_parts(attached, part_chars), attached)
+    attached = typed(attached)
+    if not stored:
+        attached = cut(attached, "attached")
+    parts = with_sentiment(thread_parts(attached, part_chars, stored=True), attached)
     rate = velocity(F.col("message_count"), F.col("start_unixtime"), F.col("end_unixtime"))
     return render_transcripts(parts, rich=True).select(
         *GOLD, "sentiment", rate.alias("velocity")

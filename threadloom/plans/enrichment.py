@@ -49,6 +49,8 @@ def run_enrichment(
     extract: Callable[[dict], list[dict]] | None = None,
     taxonomy: DataFrame | None = None,
     combine: Callable[[dict], str] | None = None,
+    holds: Column | None = None,
+    lacks: Column | None = None,
 ) -> dict[str, DataFrame]:
     """Tables ``summaries``, ``anchored``, ``taxonomy``, ``entities``, ``edges``, ``failed``.
 
@@ -60,9 +62,10 @@ def run_enrichment(
     Routing uses the model ``route`` or, without one, the ``lexicon``. Triplets
     come from the model ``extract`` or, without one, from the relation lines of
     packet summaries. Failed items of any phase are listed with phase and error.
+    ``where``, ``holds`` and ``lacks`` choose the threads, as for ``load_threads``.
     """
     spark = threads.sparkSession
-    work = load_threads(threads, where)
+    work = load_threads(threads, where, holds, lacks)
     keys = [c for c in ("thread_id", "part_no") if c in work.columns]
     results = map_model(work, summarise, keys, "string")
     lost = failed(results).groupBy("thread_id").agg(F.min("error").alias("error"))

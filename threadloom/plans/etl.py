@@ -75,7 +75,7 @@ def _run_etl(
         quality, found = date_quality_report(messages), found_chats(messages)
         written["users"] = write_layer(distinct_users(messages), out, "users")
         attached = cut(assign_threads(messages), "attached")
-        threads = messages_json(gold_threads(attached))
+        threads = messages_json(gold_threads(attached, stored=True))
         written["threads"] = write_layer(threads, out, "threads")
         rows = [tuple(r) for r in etl_report(messages, attached).collect()]  # one per measure
         report = spark.createDataFrame(rows, "measure string, value bigint")
