@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.lineage import cut
+from threadloom.lineage import cut, drop, recorded
 from threadloom.llm.minhash import Shingler, _mix
 
 LENGTH, GRAM = 50, 26
@@ -43,6 +43,8 @@ SPREAD = LENGTH - GRAM + 1
 SIDE = SPREAD - 1
 RUN, CHUNK = 8192, 16384
 PIECE, PLACE_BITS = 1 << 23, np.uint64(24)
+PACK = 10  # bits for the two bounds of a suffix
+MASK = (1 << PACK // 2) - 1
 NONE = np.iinfo(np.int64).max
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,28 +138,26 @@ def _referred(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def retained(docs: DataFrame) -> DataFrame:
-    """(key, ref, place, n_left, n_right): the sparse suffixes, by the hash of their start."""
+    """(key, ref, place): the sparse suffixes, by the hash of their start; ``place`` packs n_left and n_right."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Shingler(1)
         for whole in batches:
             for batch in (whole.slice(i, 512) for i in range(0, len(whole), 512)):
-                keys, places, counts, lefts, rights = [], [], [], [], []
+                keys, places, counts = [], [], []
                 for text in batch.column(1):
                     grams = gram_hashes(hashes.word_hashes((text.as_py() or "").encode().split()))
                     at, first, last = minimisers(grams)
                     keys.append(grams[at])
-                    places.append(at)
                     counts.append(len(at))
-                    lefts.append(at - first)
-                    rights.append(SIDE - (at - last))
+                    # Place and bounds in one number: these rows are many.
+                    places.append(at << PACK | (at - first) << (PACK // 2) | (SIDE - (at - last)))
                 refs = np.repeat(batch.column(0).to_numpy(), counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(refs), *(pa.array(np.concatenate(x).astype(np.int32)) for x in (places, lefts, rights))],
-                    names=["key", "ref", "place", "n_left", "n_right"],
+                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(refs), pa.array(np.concatenate(places))], names=["key", "ref", "place"],
                 )
 
-    return docs.select("ref", "text").mapInArrow(run, "key long, ref long, place int, n_left int, n_right int")
+    return docs.select("ref", "text").mapInArrow(run, "key long, ref long, place long")
 
 
 def surrounded(docs: DataFrame) -> DataFrame:
@@ -172,10 +172,10 @@ def surrounded(docs: DataFrame) -> DataFrame:
                     words = hashes.word_hashes(text.encode().split())
                     near = np.concatenate([np.zeros(SIDE, np.uint32), (words >> np.uint64(32)).astype(np.uint32), np.zeros(SIDE + 1, np.uint32)])
                     for item in listed:
-                        at = item["place"]
+                        at = item["place"] >> PACK
                         rows.append((
                             item["key"], ref, doc, name, at, near[at:at + SIDE][::-1].tobytes(),
-                            near[at + SIDE + GRAM:at + 2 * SIDE + GRAM].tobytes(), item["n_left"], item["n_right"],
+                            near[at + SIDE + GRAM:at + 2 * SIDE + GRAM].tobytes(), item["place"] >> (PACK // 2) & MASK, item["place"] & MASK,
                         ))
                 columns = list(zip(*rows)) or [()] * 9
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
@@ -192,13 +192,12 @@ FOUND = "class long, least int, most int, source long"
 
 
 def classes_of(suffixes: DataFrame) -> DataFrame:
-    """One row per class: its words, smallest and largest document, smallest id; ``run`` counts the classes of its start."""
+    """One row per class: its words, smallest and largest document, smallest id."""
     rows = suffixes.groupBy("class").agg(
         *(F.first(c).alias(c) for c in CLASS), F.min("doc").alias("first"), F.max("doc").alias("last"),
         F.coalesce(F.min("id"), F.lit(int(NONE))).alias("source"),
     )
-    rows = cut(rows, "classes")
-    return rows.join(rows.groupBy("key").agg(F.count("*").alias("run")), "key")
+    return cut(rows, "classes")
 
 
 def _classes(table: pa.Table) -> Classes:
@@ -273,13 +272,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     every repeated window.
     """
     docs = _referred(docs, id_col, text_col)
-    suffixes = cut(retained(docs), "suffixes").distinct()
-    shared = suffixes.groupBy("key").agg(F.min("ref").alias("a"), F.max("ref").alias("b")).filter("a <> b").select("key")
-    listed = suffixes.join(shared, "key").groupBy("ref").agg(F.collect_list(F.struct("key", "place", "n_left", "n_right")).alias("listed"))
+    with recorded() as first:
+        suffixes = cut(retained(docs), "suffixes")
+        shared = suffixes.groupBy("key").agg(F.min("ref").alias("a"), F.max("ref").alias("b")).filter("a <> b").select("key")
+        # Rows of equal id and text give equal suffixes, which count once.
+        listed = suffixes.join(shared, "key").groupBy("ref").agg(F.collect_set(F.struct("key", "place")).alias("listed"))
     texts = docs.join(listed, "ref").select("ref", "doc", "id", "text", "listed")
     around = cut(surrounded(texts).withColumn("class", F.xxhash64(*CLASS)), "surrounded")
-    classes = cut(classes_of(around), "classes")
-    found = neighbours(classes.filter(F.col("run") <= RUN).drop("run")).union(frequent(classes.filter(F.col("run") > RUN)))
+    drop(docs.sparkSession, first)
+    classes = classes_of(around)
+    many = cut(classes.groupBy("key").agg(F.count("*").alias("run")).filter(F.col("run") > RUN).select("key"), "frequent-starts")
+    found = neighbours(classes.join(many, "key", "left_anti")).union(frequent(classes.join(many, "key", "left_semi")))
     # Places of the first and the last window of a stretch.
     met = around.select("class", "ref", "id", "place").join(cut(found, "stretches"), "class").select(
         "ref", "id", "source", (F.col("place") - F.col("most")).cast("long").alias("start"), (F.col("place") - F.col("least")).cast("long").alias("end"),
