@@ -1,14 +1,17 @@
 """Reading, flattening, time, users and reports."""
 
+import ast
+
 from pyspark.sql import functions as F
 
 from threadloom.checks.registry import query
-from threadloom.checks.views import MESSAGES_SQL, RAW_EVENTS_SQL, WEEK_SQL, event_messages, raw_events
+from threadloom.checks.views import MESSAGES_SQL, RAW_EVENTS_SQL, WEEK_SQL, event_messages, events_with_text, raw_events
 from threadloom.functions.text import relation_name, strip
 from threadloom.functions.times import RICH_STAMP, format_epoch
 from threadloom.lineage import fresh_path
 from threadloom.operators import messages as M
 from threadloom.operators.threads import dedupe_messages, parent_lookup
+from threadloom.schemas import RAW_MESSAGE, RENAMED
 from threadloom.sources.exports import read_export
 
 
@@ -16,7 +19,7 @@ def write_export(t) -> str:
     """The events as export documents, one message per document, written by Spark."""
     chat = F.struct(
         F.col("chat_id").alias("id"), F.col("chat_name").alias("name"),
-        F.array("raw_msg").alias("messages"),
+        F.array(F.struct(*RAW_MESSAGE.names)).alias("messages"),
     )
     document = F.struct(F.struct(F.array(chat).alias("list")).alias("chats"))
     path = fresh_path(t.spark, "export")
@@ -32,14 +35,9 @@ SELECT chat_id, chat_name, message_id,
 FROM raw
 """)
 def read_export_query(t):
-    rows = M.explode_messages(M.explode_chats(read_export(t.spark, write_export(t), multiline=False)))
-    m = F.col("raw_msg")
-    return rows.select(
-        "chat_id", "chat_name", m["id"].alias("message_id"), m["type"].alias("type"),
-        m["date"].alias("date"), m["from"].alias("sender"), m["from_id"].alias("from_id"),
-        m["text"].alias("text"), m["reply_to_message_id"].alias("reply_to_message_id"),
-        F.size(m["reactions"]).cast("bigint").alias("n_reactions"),
-    )
+    rows = M.messages_of(M.chats_of(read_export(t.spark, write_export(t), multiline=False)))
+    count = F.size("reactions").cast("bigint").alias("n_reactions")
+    return rows.withColumnsRenamed(RENAMED).select("*", count).drop("reactions")
 
 
 @query("target_chats", f"""
@@ -57,10 +55,7 @@ def target_chats(t):
 WITH {MESSAGES_SQL} SELECT chat_id, message_id, text FROM msg
 """)
 def text_filter(t):
-    rows = raw_events(t).filter(M.has_text(F.col("raw_msg.text")))
-    return rows.select(
-        "chat_id", F.col("raw_msg.id").alias("message_id"), F.col("raw_msg.text").alias("text")
-    )
+    return events_with_text(t).select("chat_id", F.col("id").alias("message_id"), "text")
 
 
 @query("flatten_messages", f"""
@@ -73,7 +68,7 @@ SELECT chat_id || '_' || message_id AS id, message_id, chat_id, chat_name, date,
 FROM msg
 """)
 def flatten(t):
-    return M.flatten_messages(raw_events(t).filter(M.has_text(F.col("raw_msg.text"))))
+    return M.flatten_messages(events_with_text(t))
 
 
 SPOILED = """
@@ -134,13 +129,32 @@ def date_quality(t):
     )
 
 
+@query("require_columns", f"""
+WITH {MESSAGES_SQL}
+SELECT 'whole' AS checked, '' AS missing, count(*) AS rows FROM msg
+UNION ALL SELECT 'without ids', 'message_id, reply_to_message_id', count(*) FROM msg
+""")
+def require_columns(t):
+    """What the thread builder says about messages with and without the columns it needs."""
+    messages, said = event_messages(t), None
+    for name, df in (("whole", messages), ("without ids", messages.drop("message_id", "reply_to_message_id"))):
+        missing = ""
+        try:
+            M.require_columns(df, ["chat_id", "message_id", "reply_to_message_id"])
+        except ValueError as e:
+            missing = ", ".join(ast.literal_eval(str(e).split(": ", 1)[1]))
+        part = df.agg(F.lit(name).alias("checked"), F.lit(missing).alias("missing"), F.count("*").alias("rows"))
+        said = part if said is None else said.unionByName(part)
+    return said
+
+
 @query("ingest_report", f"""
 WITH {MESSAGES_SQL}
 SELECT count(*) AS row_count, count(*) - count(chat_id) AS null_ids,
   count(DISTINCT chat_name) AS found_chats FROM msg
 """)
 def ingest_report(t):
-    return M.ingest_report(raw_events(t).filter(M.has_text(F.col("raw_msg.text"))))
+    return M.ingest_report(events_with_text(t))
 
 
 @query("missing_chats", """

@@ -15,7 +15,7 @@ EMOJIS = ["👍", "🔥", "😂", "❤", "🎉"]
 
 
 def raw_events(t: Tables) -> DataFrame:
-    """events as (chat_id, chat_name, raw_msg), texts partly empty, replies in any order."""
+    """events as messages of chats, texts partly empty, replies in any order."""
     e = F.col("event_id")
     reply = (
         F.when(e % 7 == 0, F.lit(None).cast("bigint"))
@@ -48,8 +48,8 @@ def raw_events(t: Tables) -> DataFrame:
     return t("events").select(
         (e % 20).alias("chat_id"),
         F.concat(F.lit("Chat "), (e % 20).cast("string")).alias("chat_name"),
-        message.alias("raw_msg"),
-    )
+        message.alias("m"),
+    ).select("chat_id", "chat_name", "m.*")
 
 
 RAW_EVENTS_SQL = """
@@ -106,8 +106,11 @@ CASE WHEN {ts} IS NULL THEN NULL ELSE
 
 def event_messages(t: Tables) -> DataFrame:
     """raw_events as flat, time-enriched messages with text."""
-    bronze = raw_events(t).filter(has_text(F.col("raw_msg.text")))
-    return enrich_time(flatten_messages(bronze))
+    return enrich_time(flatten_messages(events_with_text(t)))
+
+
+def events_with_text(t: Tables) -> DataFrame:
+    return raw_events(t).filter(has_text(F.col("text")))
 
 
 def conversation_messages(t: Tables) -> DataFrame:

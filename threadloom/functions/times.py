@@ -37,6 +37,12 @@ def week_id(ts: Column) -> Column:
     )
 
 
+def time_fields(text: Column) -> dict[str, Column]:
+    """The time columns of a message, by name."""
+    ts = parse_time(text)
+    return {"date_timestamp": ts, "date_unixtime": epoch_seconds(ts), "week_id": week_id(ts)}
+
+
 def format_epoch(seconds: Column, layout: str) -> Column:
     """Epoch seconds printed in the session time zone."""
     return F.date_format(F.timestamp_seconds(seconds), layout)

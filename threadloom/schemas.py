@@ -14,6 +14,27 @@ RAW_MESSAGE = T.StructType([
     T.StructField("reactions", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
 ])
 
+#: Fields of flat messages that have another name than in the export, and those left behind.
+RENAMED = {"id": "message_id", "from": "sender"}
+LEFT_OUT = ["type"]
+
+
+def holds_map(kind: T.DataType) -> bool:
+    """Maps have no order, so rows that hold one cannot be compared."""
+    return "map<" in kind.simpleString()
+
+
+#: A flat message: its own id, its chat, and the declared fields; what holds a map is JSON text.
+MESSAGE = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("chat_id", T.LongType()),
+    T.StructField("chat_name", T.StringType()),
+    *(
+        T.StructField(RENAMED.get(f.name, f.name), T.StringType() if holds_map(f.dataType) else f.dataType)
+        for f in RAW_MESSAGE if f.name not in LEFT_OUT
+    ),
+])
+
 CHAT = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("name", T.StringType()),
