@@ -1,7 +1,10 @@
 """Model jobs, routing, taxonomy, triplets and graph."""
 
 import json
+import time
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import contains_any
@@ -231,3 +234,36 @@ def test_taxonomy_is_reduced_as_a_tree(spark):
     assert {x for x in found if x[0] in ("ROOT B", "ROOT D")} == {("ROOT B", "old", "x"), ("ROOT D", "old", "x")}
     assert {x for x in found if x[0] == "ROOT C"} == {("ROOT C", "n", "0:1"), ("ROOT C", "old", "old")}
     assert [tuple(r) for r in lost.collect()] == [("ROOT B", -1, "ValueError: lost")]
+
+
+def test_model_calls_are_made_once_over_runs(spark, tmp_path):
+    """A run whose task dies halfway, one that goes on, one with changed rows, one that retries errors."""
+    from threadloom.operators.models import map_model_logged
+
+    made, base = tmp_path / "made", str(tmp_path / "log")
+    made.mkdir()
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(200)] + [(0, "t0")], "k bigint, text string").repartition(3)
+
+    def run(df, dies=False, works=False, **more):
+        def call(row):
+            (made / f"{row['k']}-{row['text']}-{time.time_ns()}").touch()
+            if dies and row["k"] == 150:
+                raise KeyboardInterrupt
+            if row["k"] % 50 == 7 and not works:
+                raise ValueError("no")
+            return row["text"].upper()
+
+        out = map_model_logged(df, call, ["k"], "string", base, "calls", batches=5, **more)
+        return sorted((r.k, r.result, r.error) for r in out.collect())
+
+    with pytest.raises(Exception):
+        run(rows, dies=True)
+    first = run(rows)
+    assert len(first) == 201 and first[0] == first[1] == (0, "T0", None) and first[8] == (7, None, "ValueError: no")
+    calls = Counter(p.name.rsplit("-", 1)[0] for p in made.iterdir())
+    assert len(calls) == 200 and sum(n > 1 for n in calls.values()) < 80  # one batch at most is called again
+    n = sum(calls.values())
+    assert run(rows) == first and len(list(made.iterdir())) == n  # nothing is left to call
+    changed = rows.withColumn("text", F.when(F.col("k") == 3, "new").otherwise(F.col("text")))
+    assert run(changed)[4] == (3, "NEW", None) and len(list(made.iterdir())) == n + 1
+    assert run(rows, works=True, retry_errors=True)[8] == (7, "T7", None) and len(list(made.iterdir())) == n + 5

@@ -100,6 +100,16 @@ def test_etl(spark, export_path, tmp_path):
     assert read_layer(spark, out, "messages").count() == 4
 
 
+def test_unreadable_documents_are_in_the_report(spark, tmp_path):
+    good = json.dumps(EXPORT, ensure_ascii=False)
+    (tmp_path / "a.json").write_text(good + "\n{broken\n" + good[:50] + "\n")
+    result = run_etl(spark, str(tmp_path / "a.json"), None, str(tmp_path / "out"), multiline=False)
+    assert {r.measure: r.value for r in result.report.collect()}["unreadable_documents"] == 2
+    assert {r["layer"]: r["row_count"] for r in result.counts.collect()}["messages"] == 5
+    nothing = run_etl(spark, str(tmp_path / "a.json"), ["Absent"], str(tmp_path / "none"), multiline=False)
+    assert [tuple(r) for r in nothing.report.collect()] == [("unreadable_documents", 2)]
+
+
 def test_users_csv(spark, tmp_path):
     rows = [("user1", 'Quote "Q", comma'), ("user2", "Éloïse")]
     path = str(tmp_path / "users")

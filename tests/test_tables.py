@@ -144,6 +144,18 @@ def test_sample_of_many_rows(spark, monkeypatch):
     assert rows_of(Q.stratified_sample(df, "g", [F.desc("id")], 40)) == want and len(want) == 120
 
 
+def test_large_samples_are_limited_before_the_shuffle(spark):
+    """5,000 rows of one group of 400,000: each task sends on 5,000 at most."""
+    df = spark.range(400_000, numPartitions=16).select(F.xxhash64("id").alias("v"), (F.col("id") % 1).alias("g"))
+    before = spark.conf.get(Q.RANK_LIMIT)
+    with Q._rank_limit(spark, 5000):
+        salted = Q._first_ranks(df.withColumn("_salt", F.spark_partition_id() % 4), ["g", "_salt"], ["v"], 5000)
+        plan = Q._first_ranks(salted.drop("_salt"), ["g"], ["v"], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 3 and spark.conf.get(Q.RANK_LIMIT) == before
+    got = [r.v for r in Q.stratified_sample(df, "g", ["v"], 5000).orderBy("v").collect()]
+    assert got == [r.v for r in df.orderBy("v").limit(5000).collect()]
+
+
 def test_unreadable_documents_are_listed(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"chats": {"list": []}}\n{"chats": broken\n')
     assert unreadable(spark, str(tmp_path), multiline=False).count() == 1

@@ -332,7 +332,8 @@ def etl_threads(t):
 @query("etl_report", f"""
 WITH RECURSIVE {PLACED_SQL}
 , per_thread AS (SELECT count(*) AS n, count(*) FILTER (date_unixtime IS NULL) AS u FROM attached GROUP BY chat_id, root_id)
-SELECT 'messages' AS measure, count(*) AS value FROM msg
+SELECT 'unreadable_documents' AS measure, 0 AS value
+UNION ALL SELECT 'messages', count(*) FROM msg
 UNION ALL SELECT 'without_id', count(*) FROM msg WHERE chat_id IS NULL OR message_id IS NULL
 UNION ALL SELECT 'without_date', count(*) FROM msg WHERE date IS NULL
 UNION ALL SELECT 'in_a_thread', count(*) FROM attached

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from threadloom.functions.text import batch_number
 from threadloom.lineage import cut, job
-from threadloom.sources.layers import layer_version, read_layer, upsert_layer
+from threadloom.sources.layers import append_layer, layer_version, read_layer, upsert_layer
 
 
 def map_model(
@@ -107,7 +107,10 @@ def map_model_logged(
             continue
         with job(spark):
             answers = map_model(some, fn, ["_call", *keys], result_type, concurrency)
-            upsert_layer(answers, base, name, ["_call"], buckets=batches)
+            if retry_errors:
+                upsert_layer(answers, base, name, ["_call"])
+            else:
+                append_layer(answers, base, name)  # new calls only
     return rows.select("_call").join(known(), "_call").select(*schema.names)
 
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from threadloom.lineage import cut
+
 RANDOM_SAMPLE = 100  # fixed value: default sample size
 PER_STRATUM = 5  # fixed value: default rows per stratum
-LIMITED_RANK = 1_000  # Spark limits ranks before the shuffle up to here
+LIMITED_RANK = 1_000  # Spark limits ranks before the shuffle up to here, unless told otherwise
+RANK_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 HIDDEN = ("_id",)  # store ids, left out unless asked for
 
@@ -82,17 +88,36 @@ def stratified_sample(
     """The first ``n`` rows of each group; rows without a group are left out.
 
     The rank limit also runs before the shuffle: a group of any size sends at
-    most ``n`` rows per input partition. Spark does so for small ``n`` only; for larger
-    ones a group is ranked in ``SALTS`` parts first, which gives the same rows.
+    most ``n`` rows per input partition. Up to ``LIMITED_RANK`` the sample is a plan.
+    Beyond, it is written, with Spark's own limit raised meanwhile, and a group that
+    many partitions hold is ranked in up to ``SALTS`` parts first: what meets in its last task
+    is at most ``SALTS`` times ``n`` rows.
     """
     rows = df.filter(F.col(by).isNotNull())
-    if n > LIMITED_RANK:
-        part = W.partitionBy(by, "_salt").orderBy(*order)
-        rows = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-        rows = rows.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= n).drop("_salt")
-    rank = F.row_number().over(W.partitionBy(by).orderBy(*order))
-    rows = rows.withColumn("_rank", rank)
-    return rows.filter(F.col("_rank") <= n).drop("_rank")
+    if n <= LIMITED_RANK:
+        return _first_ranks(rows, [by], order, n)
+    with _rank_limit(df.sparkSession, n):
+        parts = _first_ranks(rows.withColumn("_salt", F.spark_partition_id() % SALTS), [by, "_salt"], order, n)
+        return cut(_first_ranks(parts.drop("_salt"), [by], order, n), "stratified-sample")
+
+
+def _first_ranks(rows: DataFrame, by: list[str], order: list[Column | str], n: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+
+@contextmanager
+def _rank_limit(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let Spark limit ranks of up to ``n`` before the shuffle."""
+    before = spark.conf.get(RANK_LIMIT, None)
+    spark.conf.set(RANK_LIMIT, str(max(n, int(before or 0))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RANK_LIMIT)
+        else:
+            spark.conf.set(RANK_LIMIT, before)
 
 
 def random_sample(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.lineage import cut, job
@@ -20,7 +20,7 @@ from threadloom.operators.messages import (
 from threadloom.operators.rollups import dropped_threads
 from threadloom.operators.threads import assign_threads
 from threadloom.operators.transcripts import gold_threads, messages_json
-from threadloom.sources.exports import read_export
+from threadloom.sources.exports import is_unreadable, read_documents
 from threadloom.sources.layers import read_layer, write_layer
 
 
@@ -30,7 +30,7 @@ class EtlResult:
     date_quality: DataFrame | None
     found_chats: DataFrame | None  # chat_name, row_count
     missing_chats: DataFrame | None = None  # requested chats without messages
-    report: DataFrame | None = None  # what was read, what was left out and why
+    report: DataFrame | None = None  # what was read, what was left out and why, unreadable documents too
 
 
 def etl_report(messages: DataFrame, attached: DataFrame) -> DataFrame:
@@ -63,13 +63,16 @@ def run_etl(
 def _run_etl(
     spark: SparkSession, path: str | list[str], chats: list[str] | DataFrame | None, out: str, multiline: bool
 ) -> EtlResult:
-    export = read_export(spark, path, multiline)
+    seen = Observation()
+    # Documents that cannot be read are counted while the messages are written.
+    export = read_documents(spark, path, multiline).observe(seen, F.count_if(is_unreadable()).alias("unreadable"))
     silver = enrich_time(flatten_messages(bronze_messages(export, chats)))
     if export.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         # Fewer read tasks than cores: spread the rows before they are written.
         silver = silver.hint("rebalance")
     written = {"messages": write_layer(silver, out, "messages")}
-    quality = found = missing = report = None
+    quality = found = missing = None
+    rows = [("unreadable_documents", seen.get["unreadable"])]
     if written["messages"]:
         messages = read_layer(spark, out, "messages")
         quality, found = date_quality_report(messages), found_chats(messages)
@@ -77,11 +80,11 @@ def _run_etl(
         attached = cut(assign_threads(messages), "attached")
         threads = messages_json(gold_threads(attached, stored=True))
         written["threads"] = write_layer(threads, out, "threads")
-        rows = [tuple(r) for r in etl_report(messages, attached).collect()]  # one per measure
-        report = spark.createDataFrame(rows, "measure string, value bigint")
+        rows += [tuple(r) for r in etl_report(messages, attached).collect()]  # one per measure
         if chats is not None and (isinstance(chats, DataFrame) or chats):
             wanted = chats if isinstance(chats, DataFrame) else spark.createDataFrame([(c,) for c in chats], "name string")
             missing = missing_chats(wanted, messages)
+    report = spark.createDataFrame(rows, "measure string, value bigint")
     counts = [(n, written.get(n, 0)) for n in ("users", "threads", "messages")]
     return EtlResult(
         spark.createDataFrame(counts, "layer string, row_count bigint"), quality, found, missing, report

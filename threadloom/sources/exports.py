@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from threadloom.schemas import EXPORT, USERS
@@ -17,7 +16,17 @@ def read_export(spark: SparkSession, path: str | list[str], multiline: bool = Tr
     parallelism. ``multiline=False`` reads one document per line; such files are
     split over tasks and suit very large archives.
     """
-    return spark.read.schema(EXPORT).option("multiLine", multiline).json(path)
+    return read_documents(spark, path, multiline).drop("document")
+
+
+def read_documents(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """``read_export`` with ``document``: the text of documents that are no valid JSON, else NULL."""
+    schema = T.StructType([*EXPORT.fields, T.StructField("document", T.StringType())])
+    return spark.read.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", "document").json(path)
+
+
+def is_unreadable() -> Column:
+    return F.col("document").isNotNull() & F.col("chats").isNull()
 
 
 def unreadable(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
@@ -25,9 +34,7 @@ def unreadable(spark: SparkSession, path: str | list[str], multiline: bool = Tru
 
     ``read_export`` gives no chats for them.
     """
-    schema = T.StructType([*EXPORT.fields, T.StructField("document", T.StringType())])
-    rows = spark.read.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", "document").json(path)
-    return rows.filter(F.col("document").isNotNull() & F.col("chats").isNull()).select("document")
+    return read_documents(spark, path, multiline).filter(is_unreadable()).select("document")
 
 
 def read_users_csv(spark: SparkSession, path: str) -> DataFrame:
