@@ -64,7 +64,12 @@ def stage(fn):
 
 @stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letters, or n-grams that are foreign to all languages."""
+    """Drops documents without a letter, and those that the classifier knows no language for.
+
+    The model learns from the labelled documents at hand; what languages reach is
+    measured on held-out ones (``Model.fits``). NULL and empty texts have no letter. Long
+    texts are judged segment by segment, repeated rows alike, other columns pass through.
+    """
     return with_language(docs, train(docs, LanguageParams()))
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -97,27 +97,50 @@ class Model:
     params: LanguageParams
     known: np.ndarray  # buckets that a landmark holds
     reached: float = 1.0  # least share of known n-grams in a training segment
+    shuffled: float = 0.0  # mean share in training segments of shuffled letters
+    floors: tuple[tuple[int, float], ...] = ()  # bytes, and the least best value of held-out segments of so many
+
+    def best(self, parts: list[bytes]) -> float:
+        """Regression value of the best language of each segment, on average."""
+        return float(self.values(parts).max(axis=1).mean())
+
+    def shares(self, parts: list[bytes]) -> np.ndarray:
+        """Share of known n-grams of each segment."""
+        held = [presence(parts[i:i + 64], self.params) for i in range(0, len(parts), 64)]
+        return np.concatenate([x[:, self.known].sum(axis=1) / np.maximum(x.sum(axis=1), 1) for x in held])
+
+    def share(self, parts: list[bytes]) -> tuple[float, int]:
+        """Share of known n-grams over all segments, and how many n-grams there are."""
+        n = k = 0
+        for i in range(0, len(parts), 64):
+            held = presence(parts[i:i + 64], self.params)
+            n += int(held.sum())
+            k += int(held[:, self.known].sum())
+        return k / max(n, 1), n
 
     def fits(self, texts: list[str | None], chance: float = 1.8444397270569681) -> list[bool]:
-        """False without a letter, or where no language fits.
+        """Whether some language fits; False without a letter.
 
-        That takes a share of known n-grams which is, by Hoeffding bounds, below that of
-        every training segment and not above that of random n-grams. It depends neither
-        on the number of languages nor on their mixture, and short texts pass in doubt.
+        One fits whose value reaches what held-out segments of a known language as long
+        reach, segment by segment, so texts in several languages fit. Below that, as
+        where languages change from word to word, n-grams decide: the text goes if its share
+        of known ones is, by Hoeffding bounds, below that of every training segment and
+        nearer to that of shuffled letters. Very short texts pass in doubt.
         """
         out = []
         for text in texts:
             if text is None or not has_letter(text):
                 out.append(False)
                 continue
-            parts = segments(letters_only(text), self.params.segment)
-            n = k = 0
-            for i in range(0, len(parts), 64):
-                held = presence(parts[i:i + 64], self.params)
-                n += int(held.sum())
-                k += int(held[:, self.known].sum())
+            data = letters_only(text)
+            parts = segments(data, self.params.segment)
+            floor = max((v for size, v in self.floors if size <= len(data)), default=-np.inf) if self.labels else -np.inf
+            if floor == -np.inf or self.best(parts) >= floor:
+                out.append(True)
+                continue
+            share, n = self.share(parts)
             margin = float(np.sqrt(chance / max(n, 1)))
-            out.append(not self.labels or not (k / max(n, 1) + margin < self.reached and k / max(n, 1) - margin <= self.known.mean()))
+            out.append(not (share + margin < self.reached and share - margin <= (self.reached + self.shuffled) / 2))
         return out
 
     def values(self, parts: list[bytes]) -> np.ndarray:
@@ -150,36 +173,54 @@ class Model:
 
 def packed(model: Model) -> tuple:
     """Plain values of a model: workers need no installed copy of this package to read them."""
-    return model.labels, model.weights, model.bias, astuple(model.params), model.known, model.reached
+    rest = (model.known, model.reached, model.shuffled, model.floors)
+    return model.labels, model.weights, model.bias, astuple(model.params), *rest
 
 
 def unpacked(values: tuple) -> Model:
-    labels, weights, bias, params, known, reached = values
-    return Model(labels, weights, bias, LanguageParams(*params), known, reached)
+    return Model(*values[:3], LanguageParams(*values[3]), *values[4:])
 
 
-def fit(samples: list[tuple[str, bytes]], p: LanguageParams) -> Model:
-    """Model from (label, segment) pairs, taken in the given order."""
-    labels = sorted({label for label, _ in samples})
-    if not labels:
-        return Model([], np.zeros((p.buckets, 0), np.float32), np.zeros(0), p, np.zeros(p.buckets, bool))
+def _solved(samples: list[tuple[str, bytes]], labels: list[str], p: LanguageParams) -> tuple[Model, np.ndarray]:
+    """Model by kernel ridge regression over Nyström features, and its landmarks."""
     y = np.where(np.array([label for label, _ in samples])[:, None] == np.array(labels), 1.0, -1.0)
     spread = np.argsort(np.arange(len(samples)) * 0.6180339887498949 % 1.0, kind="stable")
     marks = normalised(presence([samples[i][1] for i in np.sort(spread[: p.landmarks])], p))
     value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = value > 1e-6 * value.max()
     project = vector[:, good] / np.sqrt(value[good])  # kernel values to Nyström features
-    known = marks.any(axis=0)
-    kernel, reached = [], 1.0
-    for i in range(0, len(samples), 64):
-        held = presence([s for _, s in samples[i:i + 64]], p)
-        kernel.append(normalised(held) @ marks.T)
-        reached = min(reached, float((held[:, known].sum(axis=1) / np.maximum(held.sum(axis=1), 1)).min()))
+    kernel = [normalised(presence([s for _, s in samples[i:i + 64]], p)) @ marks.T for i in range(0, len(samples), 64)]
     z = np.concatenate(kernel).astype(np.float64) @ project
     mean, bias = z.mean(axis=0), y.mean(axis=0)
     z0 = z - mean
     w = np.linalg.solve(z0.T @ z0 + p.ridge * np.eye(z.shape[1]), z0.T @ (y - bias))
-    return Model(labels, (marks.T @ (project @ w)).astype(np.float32), bias - mean @ w, p, known, reached)
+    return Model(labels, (marks.T @ (project @ w)).astype(np.float32), bias - mean @ w, p, marks.any(axis=0)), marks
+
+
+FLOOR_SIZES = (32, 64, 128, 256, 512, 1024)  # bytes
+
+
+def fit(samples: list[tuple[str, bytes]], p: LanguageParams) -> Model:
+    """Model from (label, segment) pairs, taken in the given order.
+
+    What a language reaches is measured on a fifth of the segments by a model of the others.
+    """
+    labels = sorted({label for label, _ in samples})
+    if not labels:
+        return Model([], np.zeros((p.buckets, 0), np.float32), np.zeros(0), p, np.zeros(p.buckets, bool))
+    model, _ = _solved(samples, labels, p)
+    parts = [part for _, part in samples]
+    rng = np.random.default_rng(0)
+    mixed = [bytes(rng.permutation(np.frombuffer(part, np.uint8))) for part in parts[:: max(1, len(parts) // 200)]]
+    held, rest = samples[4::5], [x for i, x in enumerate(samples) if i % 5 != 4]
+    floors = []
+    if held and {label for label, _ in rest} == set(labels):
+        other, _ = _solved(rest, labels, p)
+        for size in FLOOR_SIZES:
+            long = [part[:size] for _, part in held if len(part) >= size]
+            if long:
+                floors.append((size, float(other.values(long).max(axis=1).min())))
+    return replace(model, reached=float(model.shares(parts).min()), shuffled=float(model.shares(mixed).mean()), floors=tuple(floors))
 
 
 # ---- Spark side
