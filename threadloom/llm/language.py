@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.lineage import cut
+
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 # Bytes that are no letter become a blank; bytes above 127 stay.
@@ -257,7 +259,8 @@ def train(docs: DataFrame, p: LanguageParams, id_col: str = "doc_id", text_col:
     limits = docs.sparkSession.createDataFrame(
         [(label, f"{int(min(2 * each / n, 1.0) * (16**8 - 1)):08x}") for label, n in counts.items()], "label string, upto string"
     )
-    drawn = rows.join(limits, "label").filter(F.substring("turn", 1, 8) <= F.col("upto")).select("label", "turn", "text")
+    # Written, so that the planner knows its size and leaves the texts in place.
+    drawn = rows.join(cut(limits, "language-shares"), "label").filter(F.substring("turn", 1, 8) <= F.col("upto")).select("label", "turn", "text")
     parts = drawn.mapInArrow(cut_segments, "label string, turn string, part binary")
     first = Window.partitionBy("label").orderBy("turn", "part")
     picked = parts.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each)
