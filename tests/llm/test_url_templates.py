@@ -1,4 +1,8 @@
-from threadloom.llm.queries import RULES
+import duckdb
+import pyarrow as pa
+import pytest
+
+from threadloom.llm.queries import OP9_SQL, RULES
 from threadloom.llm.url_templates import judge_urls
 
 SCHEMA = "page_id long, url string, host string, template string"
@@ -66,3 +70,27 @@ def test_large_sections_stay_literal_whatever_their_number(spark):
     out = judged(spark, urls)
     assert len({out[i].template for i in range(4000)}) == 40
     assert {out[i].template for i in range(4000, 4040)} == {"/{w}/{n}"}
+
+
+def sections():
+    """Pages of hosts where share, count and labels decide about literals."""
+    urls = [f"http://a.net/es/{i}" for i in range(4)] + [f"http://a.net/fr/{i}" for i in range(4)]
+    urls += [f"http://a.net/{letters(i)}/{j}" for i in range(60) for j in range(4)]
+    urls += [f"http://b.example.com/en/{i}" for i in range(4)] + [f"http://b.example.com/{letters(i)}/{j}" for i in range(60) for j in range(4)]
+    urls += [f"http://s.org/{letters(i)}/{j}" for i in range(25) for j in range(100)] + [f"http://s.org/{letters(500 + i)}/1" for i in range(40)]
+    return urls
+
+
+@pytest.mark.parametrize("urls", [
+    sections(), [None, "", "no scheme", None, "http://h/x", "http://h/x", "http://h", "http://h/"] * 3,
+    ["http://one.net/es/" + "/".join(letters(i % 7) for i in range(d)) for d in range(14) for _ in range(3)],
+])
+def test_against_sql(spark, urls):
+    """NULL and repeated ids, repeated pages, NULL urls, and every rule for literals."""
+    rows = [(None if i % 11 == 0 else i // 2, u) for i, u in enumerate(urls)]
+    got = judge_urls(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA), RULES)
+    con = duckdb.connect()
+    con.register("pages", pa.table({"page_id": pa.array([r[0] for r in rows], pa.int64()), "url": pa.array([r[1] for r in rows], pa.string())}))
+    want = con.sql(OP9_SQL)
+    names = want.columns
+    assert sorted(map(tuple, got.select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)

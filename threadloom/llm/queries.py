@@ -56,6 +56,15 @@ def _rule_sql(field: str) -> str:
 
 
 _T = TreeParams()
+
+
+def _apart_sql(some: str, of: str) -> str:
+    """A segment's share differs from that of its siblings by more than chance."""
+    n, rest = f"nullif({of}, 0)", f"nullif(all_{of} - {of}, 0)"
+    gap = f"({some} / {n} - (all_{some} - {some}) / {rest})"
+    return f"coalesce({gap} * {gap} > {_T.chance!r} * (1.0 / {n} + 1.0 / {rest}), false)"
+
+
 OP9_SQL = rf"""
 WITH raw AS (
   SELECT page_id, CASE WHEN url IS NULL OR instr(url, '://') = 0 THEN '' ELSE substr(url, instr(url, '://') + 3) END AS rest FROM pages
@@ -76,13 +85,16 @@ WITH raw AS (
 ), numbered AS (
   SELECT row_number() OVER () AS r, * FROM typed
 ), exploded AS (
-  SELECT r, host, i, segments[i] AS s, kinds[i] AS k, coalesce(array_to_string(kinds[1:i-1], '/'), '') || '>' AS node
+  SELECT r, host, known, i, segments[i] AS s, kinds[i] AS k, coalesce(array_to_string(kinds[1:i-1], '/'), '') || '>' AS node
   FROM numbered, unnest(range(1, len(segments) + 1)) AS u(i)
+), counted AS (
+  SELECT host, node, s, count(*) AS pages, count(known) AS n, count(*) FILTER (known = 'block') AS b,
+    sum(count(*)) OVER at_node AS all_pages, sum(count(known)) OVER at_node AS all_n, sum(count(*) FILTER (known = 'block')) OVER at_node AS all_b
+  FROM exploded GROUP BY host, node, s WINDOW at_node AS (PARTITION BY host, node)
 ), literals AS (
-  SELECT host, node, s FROM (
-    SELECT host, node, s, count(*) AS n, sum(count(*)) OVER (PARTITION BY host, node) AS total
-    FROM exploded GROUP BY host, node, s
-  ) WHERE n * {_T.share} >= total AND NOT regexp_matches(s, '[0-9]')
+  SELECT host, node, s FROM counted
+  WHERE NOT regexp_matches(s, '[0-9]') AND (pages * {_T.share} >= all_pages OR pages >= {_T.support}
+    OR {_apart_sql("b", "n")} OR {_apart_sql("n", "pages")} OR {_apart_sql("b", "pages")})
 ), built AS (
   SELECT r, '/' || string_agg(coalesce(l.s, e.k), '/' ORDER BY i) AS template
   FROM exploded e LEFT JOIN literals l USING (host, node, s) GROUP BY r
@@ -265,15 +277,18 @@ WITH split AS (
   SELECT r, count(DISTINCT i + j) AS n FROM twice, range({WINDOW}) AS v(j) GROUP BY r
 ), counted AS (
   SELECT doc_id, len(words)::BIGINT AS n_words,
-    length(regexp_replace(body, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(body, '[ 	-
+]+', '', 'g'))::BIGINT AS word_chars,
     length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
     length(regexp_replace(body, '[^!]+', '', 'g'))::BIGINT AS n_exclamations,
     len(list_filter(words, lambda w: regexp_matches(w, '{LETTER}')))::BIGINT AS n_letter_words,
     len(list_filter(regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{LETTER}+'),
       lambda t: t IN ({_STOP})))::BIGINT AS n_stop_words,
     len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-    len(list_filter(lines, lambda x: regexp_matches(x, '^[ 	-]*[-*•]')))::BIGINT AS n_bullet_lines,
-    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-]*$')))::BIGINT AS n_ellipsis_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[ 	-
+]*[-*•]')))::BIGINT AS n_bullet_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ 	-
+]*$')))::BIGINT AS n_ellipsis_lines,
     coalesce(n, 0)::BIGINT AS n_repeat_words
   FROM split LEFT JOIN covered USING (r)
 ), ruled AS (
