@@ -121,3 +121,34 @@ def test_rest_of_a_partly_covered_token(spark):
     assert sum(x in out[160 + i] for i, x in enumerate(rest)) <= 1
     found = {r.doc_id: r for r in sg.scan(df).collect()}
     assert all(found[i].n_access == 1 for i in range(160, 180)) and all(found[i].n_hex == 1 for i in range(180, 190))
+
+
+def test_recall_and_precision_of_learned_formats():
+    """Tokens without a label: of the lengths that were learned, of others, and of prose with paths, names and dates."""
+    rng = random.Random(7)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+    def some(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    kinds = [
+        lambda n=None: "ghp_" + some(upper + lower + digits, n or rng.randint(30, 40)),
+        lambda n=None: "-".join(some(digits + lower, 8) for _ in range((n or 32) // 8)),
+        lambda n=None: some(upper + lower + digits, n or rng.randint(20, 32)),
+        lambda n=None: some(upper + lower, n or rng.randint(16, 24)),
+        lambda n=None: some(upper + lower + digits + "+/", n or 40),
+    ]
+    words = (
+        "ordinary conversation extraordinarily mail7.example.com understanding 10.20.30.40 path/to/somewhere1 /usr/lib/python3 "
+        "2024-05-06T10:11:12 internationalisation http://www.example.com/a/b.html some_function_name CamelCaseIdentifier version-1.2.3-beta"
+    ).split()
+    candidates = [t for _ in range(300) for _, _, t in sg.other_tokens(" ".join(rng.choice(words) for _ in range(30)), [])]
+    pairs = sg.Counter()
+    for t in candidates:
+        f = t.translate(sg._FORMAT)
+        pairs.update(zip(["", *f], [*f, sg.END]))
+    grammar = sg.Grammar({"assign": [make().translate(sg._FORMAT) for make in kinds for _ in range(80)]}, pairs, sg.GrammarParams())
+    for make in kinds:
+        for length in (None, 56):
+            assert sum(grammar.likely(make(length)) for _ in range(200)) >= 180
+    assert not any(grammar.likely(t) for t in candidates)
