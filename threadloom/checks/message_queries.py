@@ -13,6 +13,7 @@ from threadloom.operators import messages as M
 from threadloom.operators.threads import dedupe_messages, parent_lookup
 from threadloom.schemas import RAW_MESSAGE, RENAMED
 from threadloom.sources.exports import read_export
+from threadloom.sources.split_json import read_messages_split
 
 
 def write_export(t) -> str:
@@ -27,19 +28,39 @@ def write_export(t) -> str:
     return path
 
 
-@query("read_export", f"""
+EXPORT_SQL = f"""
 WITH {RAW_EVENTS_SQL}
 SELECT chat_id, chat_name, message_id,
   CASE WHEN event_type = 'signup' THEN 'service' ELSE 'message' END AS type,
   date, sender, from_id, text, reply_to_message_id, n_reactions
 FROM raw
-""")
+"""
+
+
+@query("read_export", EXPORT_SQL)
 def read_export_query(t):
-    rows = M.messages_of(M.chats_of(read_export(t.spark, write_export(t), multiline=False)))
+    return _raw_fields(M.messages_of(M.chats_of(read_export(t.spark, write_export(t), multiline=False))))
+
+
+def _raw_fields(rows):
     count = F.size("reactions").cast("bigint").alias("n_reactions")
     return rows.withColumnsRenamed(RENAMED).select("*", count).drop("reactions")
 
 
+@query("read_export_split", EXPORT_SQL)
+def read_export_split(t):
+    """All events as one document in one file, read in ranges of 64 KB."""
+    chat = F.struct(F.col("chat_id").alias("id"), F.col("chat_name").alias("name"), F.array(F.struct(*RAW_MESSAGE.names)).alias("messages"))
+    lines = raw_events(t).select(F.lit(1).alias("part"), F.concat(F.lit(", "), F.to_json(chat)).alias("value"))
+    ends = t("events").agg(F.count("*")).select(F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit('{"about": "{", "chats": {"list": [ {"messages": []}').alias("value")),
+        F.struct(F.lit(2).alias("part"), F.lit("]}}").alias("value")),
+    )).alias("e")).select("e.*")
+    path = fresh_path(t.spark, "export")
+    lines.unionByName(ends).repartitionByRange(1, "part").sortWithinPartitions("part").select("value").write.text(path)
+    return _raw_fields(read_messages_split(t.spark, path, range_bytes=64 << 10))
+
+
 @query("target_chats", f"""
 WITH {RAW_EVENTS_SQL}
 SELECT chat_id, chat_name, count(*) AS messages FROM raw

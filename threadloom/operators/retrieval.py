@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from threadloom.lineage import cut
+from threadloom.lineage import cut, settings
 
 RANDOM_SAMPLE = 100  # fixed value: default sample size
 PER_STRATUM = 5  # fixed value: default rows per stratum
@@ -106,18 +103,9 @@ def _first_ranks(rows: DataFrame, by: list[str], order: list[Column | str], n: i
     return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-@contextmanager
-def _rank_limit(spark: SparkSession, n: int) -> Iterator[None]:
+def _rank_limit(spark: SparkSession, n: int):
     """Let Spark limit ranks of up to ``n`` before the shuffle."""
-    before = spark.conf.get(RANK_LIMIT, None)
-    spark.conf.set(RANK_LIMIT, str(max(n, int(before or 0))))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(RANK_LIMIT)
-        else:
-            spark.conf.set(RANK_LIMIT, before)
+    return settings(spark, {RANK_LIMIT: str(max(n, int(spark.conf.get(RANK_LIMIT, "0"))))})
 
 
 def random_sample(

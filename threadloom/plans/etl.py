@@ -15,6 +15,8 @@ from threadloom.operators.messages import (
     enrich_time,
     flatten_messages,
     found_chats,
+    has_text,
+    keep_chats,
     missing_chats,
 )
 from threadloom.operators.rollups import dropped_threads
@@ -22,6 +24,7 @@ from threadloom.operators.threads import assign_threads
 from threadloom.operators.transcripts import gold_threads, messages_json
 from threadloom.sources.exports import is_unreadable, read_documents
 from threadloom.sources.layers import read_layer, write_layer
+from threadloom.sources.split_json import read_messages_split
 
 
 @dataclass
@@ -51,28 +54,34 @@ def run_etl(
     chats: list[str] | DataFrame | None,
     out: str,
     multiline: bool = True,
+    split: bool = False,
 ) -> EtlResult:
     """Read the export once, store the messages, derive the rest from the stored table.
 
+    ``split`` reads each (valid, multi-line) document by many tasks.
     Intermediate tables are deleted when the run ends.
     """
     with job(spark):
-        return _run_etl(spark, path, chats, out, multiline)
+        return _run_etl(spark, path, chats, out, multiline, split)
 
 
 def _run_etl(
-    spark: SparkSession, path: str | list[str], chats: list[str] | DataFrame | None, out: str, multiline: bool
+    spark: SparkSession, path: str | list[str], chats: list[str] | DataFrame | None, out: str, multiline: bool, split: bool
 ) -> EtlResult:
     seen = Observation()
-    # Documents that cannot be read are counted while the messages are written.
-    export = read_documents(spark, path, multiline).observe(seen, F.count_if(is_unreadable()).alias("unreadable"))
-    silver = enrich_time(flatten_messages(bronze_messages(export, chats)))
-    if export.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+    if split:
+        bronze = keep_chats(read_messages_split(spark, path), chats).filter(has_text(F.col("text")))
+    else:
+        # Documents that cannot be read are counted while the messages are written.
+        export = read_documents(spark, path, multiline).observe(seen, F.count_if(is_unreadable()).alias("unreadable"))
+        bronze = bronze_messages(export, chats)
+    silver = enrich_time(flatten_messages(bronze))
+    if bronze.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         # Fewer read tasks than cores: spread the rows before they are written.
         silver = silver.hint("rebalance")
     written = {"messages": write_layer(silver, out, "messages")}
     quality = found = missing = None
-    rows = [("unreadable_documents", seen.get["unreadable"])]
+    rows = [("unreadable_documents", 0 if split else seen.get["unreadable"])]
     if written["messages"]:
         messages = read_layer(spark, out, "messages")
         quality, found = date_quality_report(messages), found_chats(messages)
