@@ -351,7 +351,7 @@ def streamed(t, messages):
     path = messages.inputFiles()[0].rsplit("/", 1)[0]
     incoming = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(path)
     state = fresh_path(t.spark, "stream-state")
-    stream_threads(incoming, state, fresh_path(t.spark, "stream-progress"), buckets=8).awaitTermination()
+    stream_threads(incoming, state, fresh_path(t.spark, "stream-progress"), buckets=4).awaitTermination()
     return state
 
 
@@ -369,7 +369,7 @@ def shuffled_stream(t):
     """Messages in any order, every fifth delivered a second time, and the last batch applied again."""
     messages = event_messages(t)
     again = messages.filter(F.xxhash64("message_id") % 5 == 0)
-    rows = cut(messages.unionByName(again).repartition(4, F.xxhash64("message_id", F.rand(7))), "stream-source")
+    rows = cut(messages.unionByName(again).repartition(3, F.xxhash64("message_id", F.rand(7))), "stream-source")
     state = streamed(t, rows)
     stitch_batch(rows, versions(t.spark, state)[-1], state)
     return state

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadloom.lineage import cut, job
+from threadloom.lineage import cut, job, settings
 from threadloom.operators.rollups import is_thread
 from threadloom.operators.threads import attach, dedupe_messages, identified, parent_id, resolve_targets, thread_id
 from threadloom.operators.transcripts import typed
@@ -31,6 +31,9 @@ from threadloom.schemas import REACTIONS
 from threadloom.sources.versions import names, versions
 from threadloom.streaming.state import BUCKETS, Tables
 
+#: The folders of a few buckets are listed by the driver; above this many, a job does it.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+
 KEY = ["chat_id", "message_id"]
 THREAD = ["chat_id", "root_id"]
 #: Message fields that thread aggregates need; a stream without dates keeps none.
@@ -117,8 +120,9 @@ def stitch_batch(batch: DataFrame, batch_id: int, state: str, buckets: int = BUC
     """
     if batch_id in versions(batch.sparkSession, state.rstrip("/")):
         return
-    with job(batch.sparkSession):
-        _stitch(batch, _tables(batch.sparkSession, state, batch_id, buckets))
+    spark = batch.sparkSession
+    with job(spark), settings(spark, {LISTING: "1000"}):
+        _stitch(batch, _tables(spark, state, batch_id, buckets))
 
 
 @dataclass
