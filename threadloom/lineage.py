@@ -13,9 +13,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 _local_fallback: dict[str, str] = {}
+_found_shared: set[tuple[str, str]] = set()
 _running = threading.local()  # .jobs: paths of this thread's running jobs, innermost last
 
 
@@ -28,15 +31,17 @@ def _open_jobs() -> list[list[str]]:
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir`` (or set on the context).
 
-    Only a local-mode session without either setting falls back to a temporary
-    folder, since driver and executors then share one machine.
+    A path that names no file system is on Hadoop's default one, as everywhere in
+    Spark. If that is the machines' own disk, the first use tests that all of them
+    share the folder. Only a local-mode session without either setting falls back to
+    a temporary folder, since driver and executors then share one machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
     local = spark.sparkContext.master.startswith("local")
     if folder:
         if not local and ":" not in folder:
-            raise ValueError(f"{folder} names no file system; executors may not share it")
+            folder = _on_default_system(spark, folder)
         return folder.rstrip("/")
     if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
@@ -46,6 +51,29 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_fallback[app]
 
 
+def _on_default_system(spark: SparkSession, folder: str) -> str:
+    """``folder`` with its file system; an error if executors do not share it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if whole.startswith("file:") and (key := (spark.sparkContext.applicationId, whole)) not in _found_shared:
+        if not is_shared(spark, whole):
+            raise ValueError(f"{folder} is a folder of each machine by itself; set spark.checkpoint.dir to one that all executors can reach")
+        _found_shared.add(key)
+    return whole
+
+
+def is_shared(spark: SparkSession, folder: str) -> bool:
+    """Whether the driver finds, and tasks read, what all tasks write there."""
+    path, tasks = f"{folder.rstrip('/')}/threadloom/shared-{uuid.uuid4().hex}", 2 * spark.sparkContext.defaultParallelism
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        return spark.read.schema("id long").parquet(path).count() == tasks
+    except (PySparkException, Py4JJavaError):  # the commit or a reader misses files
+        return False
+    finally:
+        drop(spark, [path])
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     path = f"{shared_folder(spark)}/threadloom/{label}-{uuid.uuid4().hex}"
