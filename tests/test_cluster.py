@@ -40,7 +40,7 @@ ROWS = {
 }
 
 QUERIES = [
-    "current_tree",
+    "current_tree", "dropped_threads",
 ]
 
 
