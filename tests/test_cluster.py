@@ -40,7 +40,7 @@ ROWS = {
 }
 
 QUERIES = [
-    "current_tree", "dropped_threads",
+    "current_tree", "dropped_threads", "embed_and_store",
 ]
 
 
