@@ -40,7 +40,7 @@ ROWS = {
 }
 
 QUERIES = [
-    "current_tree", "dropped_threads", "embed_and_store", "enrichment_edges",
+    "current_tree", "dropped_threads", "embed_and_store", "enrichment_edges", "enrichment_failed",
 ]
 
 
