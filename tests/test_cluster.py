@@ -41,7 +41,7 @@ ROWS = {
 
 QUERIES = [
     "current_tree", "dropped_threads", "embed_and_store", "enrichment_edges", "enrichment_failed",
-    "enrichment_in_parts", "etl_report", "etl_threads",
+    "enrichment_in_parts", "etl_report", "etl_threads", "extract_triplets",
 ]
 
 
