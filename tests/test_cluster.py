@@ -43,7 +43,7 @@ QUERIES = [
     "current_tree", "dropped_threads", "embed_and_store", "enrichment_edges", "enrichment_failed",
     "enrichment_in_parts", "etl_report", "etl_threads", "extract_triplets", "gold_threads_in_parts", "induce_taxonomy",
     "layer_counts", "layer_round_trip", "load_threads", "load_large_threads", "load_threads_without", "map_model",
-    "map_model_logged", "message_payload", "nested_participants", "participants",
+    "map_model_logged", "message_payload", "nested_participants", "participants", "reaction_counts",
 ]
 
 
