@@ -81,3 +81,43 @@ def test_one_file_is_several_tasks(spark, tmp_path):
     result = run_etl(spark, str(path), ["c"], str(tmp_path / "out"), split=True)
     assert {r["layer"]: r["row_count"] for r in result.counts.collect()}["messages"] == 3000
     assert read_layer(spark, str(tmp_path / "out"), "messages").count() == 3000
+
+
+def test_small_ranges_share_tasks(spark, tmp_path, monkeypatch):
+    """A task per range of 64 KB cost more than reading it."""
+    chats = [{"id": i, "name": f"chat {i}", "messages": [{"id": i, "text": 'a "}" b'}]} for i in range(4000)]
+    path = tmp_path / "one.json"
+    path.write_text(json.dumps({"chats": {"list": chats}}))
+    tasks, summaries = [], S._summaries
+    monkeypatch.setattr(S, "_summaries", lambda ranges: tasks.append(ranges.rdd.getNumPartitions()) or summaries(ranges))
+    got = S.read_messages_split(spark, str(path), 1000)
+    assert path.stat().st_size > 200_000 and tasks[0] <= 8 * spark.sparkContext.defaultParallelism
+    assert sorted((r.chat_id, r.chat_name, r.id, r.text) for r in got.collect()) == [(i, f"chat {i}", i, 'a "}" b') for i in range(4000)]
+
+
+def cut_up(spark, path, size):
+    with S.settings(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size)}):
+        ranges = S._ranges(spark, str(path))
+        return S._cut_out(ranges, S._beginnings(S._summaries(ranges))).collect()
+
+
+def test_only_what_a_border_cuts_is_joined(spark, tmp_path):
+    chats = [{"id": i, "messages": [{"id": j, "text": "x" * 50} for j in range(2)], "name": "c"} for i in range(500)]
+    path = tmp_path / "one.json"
+    path.write_text(json.dumps({"chats": {"list": chats}}))
+    rows = cut_up(spark, path, 8000)
+    whole, ranges = [r for r in rows if r.own], -(-path.stat().st_size // 8000)
+    assert ranges > 5 and len(whole) >= 500 - ranges and all(len(r.texts) == 2 for r in whole)
+    assert len(rows) - len(whole) <= 6 * ranges
+    assert json.loads(whole[0].own) == {"id": 0, "messages": None, "name": "c"}
+
+
+def test_chat_larger_than_what_is_held(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "HELD_BYTES", 300)
+    chats = [{"messages": [{"id": 100 * i + j, "text": f"text {j}"} for j in range(i)], "id": i, "name": f"c{i}"} for i in range(30)]
+    path = tmp_path / "one.json"
+    path.write_text(json.dumps({"chats": {"list": chats}}))
+    rows = cut_up(spark, path, 1 << 20)
+    assert all(sum(map(len, r.texts[:-1])) <= 300 for r in rows if r.texts) and sum(r.own is not None for r in rows) < 29
+    got = S.read_messages_split(spark, str(path), 1 << 20)
+    assert sorted((r.chat_id, r.chat_name, r.id) for r in got.collect()) == [(i, f"c{i}", 100 * i + j) for i in range(30) for j in range(i)]
