@@ -93,9 +93,11 @@ def _write_folder(df: DataFrame, folder: str, fmt: str, partition_by: list[str]
     except Exception:
         delete(spark, folder)
         raise
-    if seen.get["rows"] == 0:
+    # A plan that Spark finds to be empty loses its observation.
+    count = seen.get["rows"] if seen._jo.getRow().length() else spark.read.schema(df.schema).format(fmt).load(folder).count()
+    if count == 0:
         delete(spark, folder)
-    return seen.get["rows"]
+    return count
 
 
 def write_store(df: DataFrame | None, fmt: str, **options: str) -> int:
